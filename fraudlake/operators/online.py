@@ -17,9 +17,9 @@ def format_dates(df: DataFrame, fmt: str = "yyyy-MM-dd") -> DataFrame:
 
 
 def build_profiles(cards: DataFrame, users: DataFrame) -> DataFrame:
-    """Cards INNER users on client_id; the user id column is not repeated."""
+    """Cards INNER users on client_id; card ``id`` kept as ``card_id``, user id not repeated."""
     u = users.withColumnRenamed("id", "client_id")
-    return cards.drop("id").join(u, "client_id", "inner")
+    return cards.withColumnRenamed("id", "card_id").join(u, "client_id", "inner")
 
 
 def last_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:

@@ -184,3 +184,103 @@ SELECT * FROM (
   UNION ALL
   SELECT 'expires', CAST((SELECT count(*) FROM silver_cards WHERE expires IS NULL)
             - (SELECT count(*) FROM raw_cards WHERE expires IS NULL) AS BIGINT))"""
+
+SILVER_USERS = f"""silver_users AS (
+  SELECT id, lower(gender) AS gender, trim(lower(address)) AS address,
+         {money_int('yearly_income')} AS yearly_income, {money_int('total_debt')} AS total_debt,
+         {money_int('per_capita_income')} AS per_capita_income,
+         {int_text('current_age')} AS current_age, {int_text('num_credit_cards')} AS num_credit_cards
+  FROM raw_users)"""
+
+LABELS = """silver_labels AS (
+  SELECT lower(CAST(event_id AS VARCHAR)) AS transaction_id,
+         trim(lower(CASE WHEN event_type = 'error' THEN ' Yes' ELSE 'NO ' END)) AS is_fraud
+  FROM events WHERE event_id % 9 <> 4)"""
+
+SQL["gold_with_labels"] = with_(RAW_TX, SILVER_TX, RAW_CARDS, SILVER_CARDS, RAW_USERS, SILVER_USERS, MCC, LABELS) + """
+SELECT t.id AS transaction_id, t.client_id, t.card_id, t.mcc, t.amount, CAST(t.date AS DATE) AS date,
+       t.merchant_state, t.zip, t.errors, t.use_chip, u.gender, u.address, c.card_brand, c.card_type,
+       c.credit_limit, c.acct_open_date, m.mcc_description,
+       round(CAST(date_diff('day', c.acct_open_date, CAST(t.date AS DATE)) AS DOUBLE) / 30.0, 1) + CAST(0 AS DOUBLE) AS acct_opened_months,
+       CAST(year(t.date) - c.year_pin_last_changed AS INTEGER) AS yrs_since_pin_changed,
+       l.is_fraud,
+       CAST(CASE WHEN trim(lower(l.is_fraud)) = 'yes' THEN 1 WHEN trim(lower(l.is_fraud)) = 'no' THEN 0 END AS INTEGER) AS label
+FROM silver_tx t
+LEFT JOIN silver_users u ON t.client_id = u.id
+LEFT JOIN silver_cards c ON t.card_id = c.id
+LEFT JOIN mcc m ON t.mcc = m.mcc_code
+LEFT JOIN silver_labels l ON t.id = l.transaction_id"""
+
+SQL["feature_label_join"] = """
+SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+
+SQL["unlabeled_share"] = """
+SELECT count(*) AS total, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) AS unlabeled,
+       round(CAST(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) AS DOUBLE) * 100.0 / count(*), 2) AS unlabeled_pct
+FROM documents d"""
+
+SQL["orphan_report"] = with_(TX, CARDS, USERS, MCC, LABELS, """orph AS (
+  SELECT 'labels_to_tx' AS check_name, k FROM (SELECT DISTINCT transaction_id AS k FROM silver_labels WHERE transaction_id IS NOT NULL)
+    WHERE k NOT IN (SELECT CAST(event_id AS VARCHAR) FROM events WHERE event_id % 11 <> 0)
+  UNION ALL
+  SELECT 'tx_client_to_users', k FROM (SELECT DISTINCT client_id AS k FROM tx WHERE client_id IS NOT NULL)
+    WHERE k NOT IN (SELECT id FROM users WHERE CAST(id AS BIGINT) % 11 <> 0)
+  UNION ALL
+  SELECT 'cards_client_to_users', k FROM (SELECT DISTINCT client_id AS k FROM cards WHERE client_id IS NOT NULL)
+    WHERE k NOT IN (SELECT id FROM users WHERE CAST(id AS BIGINT) % 11 <> 0)
+  UNION ALL
+  SELECT 'tx_card_to_cards', k FROM (SELECT DISTINCT card_id AS k FROM tx WHERE card_id IS NOT NULL)
+    WHERE k NOT IN (SELECT id FROM cards WHERE CAST(id AS BIGINT) % 11 <> 0)
+  UNION ALL
+  SELECT 'tx_mcc_to_mcc', k FROM (SELECT DISTINCT mcc AS k FROM tx WHERE mcc IS NOT NULL)
+    WHERE k NOT IN (SELECT mcc_code FROM mcc WHERE CAST(mcc_code AS BIGINT) % 11 <> 0))""", """names AS (
+  SELECT * FROM (VALUES ('labels_to_tx'), ('tx_client_to_users'), ('cards_client_to_users'),
+                        ('tx_card_to_cards'), ('tx_mcc_to_mcc')) v(check_name))""") + """
+SELECT n.check_name, count(o.k) AS missing,
+       coalesce((SELECT string_agg(k, ',' ORDER BY k) FROM (SELECT k FROM orph o2 WHERE o2.check_name = n.check_name ORDER BY k LIMIT 5)), '') AS examples
+FROM names n LEFT JOIN orph o ON o.check_name = n.check_name
+GROUP BY n.check_name"""
+
+SQL["online_profiles"] = with_(RAW_CARDS, SILVER_CARDS, RAW_USERS, SILVER_USERS, """prof AS (
+  SELECT '4' || lpad(CAST(CAST(c.id AS BIGINT) // 2 AS VARCHAR), 15, '0') AS card_number,
+         c.client_id, c.id AS card_id, c.card_brand, c.card_type, c.credit_limit, c.acct_open_date, c.expires,
+         c.year_pin_last_changed, u.gender, u.address, u.yearly_income
+  FROM silver_cards c JOIN silver_users u ON c.client_id = u.id)""", """last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY card_number
+                     ORDER BY acct_open_date DESC NULLS LAST, card_id DESC) AS rn FROM prof) WHERE rn = 1)""") + """
+SELECT card_number AS key,
+       CAST(json_object('client_id', coalesce(client_id, ''), 'card_id', coalesce(card_id, ''),
+         'card_brand', coalesce(card_brand, ''), 'card_type', coalesce(card_type, ''),
+         'credit_limit', coalesce(CAST(credit_limit AS VARCHAR), ''),
+         'acct_open_date', coalesce(strftime(acct_open_date, '%Y-%m-%d'), ''),
+         'expires', coalesce(strftime(expires, '%Y-%m-%d'), ''),
+         'year_pin_last_changed', coalesce(CAST(year_pin_last_changed AS VARCHAR), ''),
+         'gender', coalesce(gender, ''), 'address', coalesce(address, ''),
+         'yearly_income', coalesce(CAST(yearly_income AS VARCHAR), '')) AS VARCHAR) AS value
+FROM last"""
+
+SQL["last_per_key"] = """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
+
+REQUESTS = """req AS (
+  SELECT CAST(event_id AS VARCHAR) AS transaction_id,
+         '4' || lpad(CAST(event_id * 3 % 20011 AS VARCHAR), 15, '0') AS card_number,
+         ts AS date, value AS amount, json_extract_string(props, '$.k') AS mcc, event_type AS errors
+  FROM events)"""
+
+SQL["request_lookup"] = with_(CARDS, USERS, REQUESTS) + """
+SELECT r.transaction_id, r.card_number, r.amount, r.mcc, r.errors, c.card_brand, c.card_type, c.credit_limit,
+       u.gender, CAST(r.date AS DATE) AS date,
+       round(CAST(date_diff('day', c.acct_open_date, CAST(r.date AS DATE)) AS DOUBLE) / 30.0, 1) + CAST(0 AS DOUBLE) AS acct_opened_months,
+       CAST(year(r.date) - c.year_pin_last_changed AS INTEGER) AS yrs_since_pin_changed
+FROM req r JOIN cards c ON r.card_number = c.card_number JOIN users u ON c.client_id = u.id"""
+
+SQL["request_rejects"] = with_(CARDS, USERS, REQUESTS) + """
+SELECT r.transaction_id, r.card_number FROM req r
+WHERE r.card_number NOT IN (SELECT c.card_number FROM cards c JOIN users u ON c.client_id = u.id)"""
+
+SQL["dedup_rows"] = """
+SELECT DISTINCT event_id, user_id, event_type, value, props FROM (
+  SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0)"""

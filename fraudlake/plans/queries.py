@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import gold, online, silver
+from ..operators import gold, integrity, online, silver
 from ..sources import files
 from ..sources.tables import table
 from . import fixtures as fx
@@ -111,6 +111,123 @@ def gold_features(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*GOLD_COLUMNS)
 
 
+def _events_tx(spark: SparkSession, d: str) -> DataFrame:
+    """Silver transactions keyed by ``transaction_id`` (P14 rename), from events."""
+    return silver.clean_transactions(fx.raw_transactions(spark, d)).withColumnRenamed("id", "transaction_id")
+
+
+def _silver_labels(spark: SparkSession, d: str) -> DataFrame:
+    return silver.clean_labels(fx.raw_labels(spark, d))
+
+
+def gold_with_labels(spark: SparkSession, d: str) -> DataFrame:
+    """J4 + P15: five-table chain with labels by LEFT join; label yes/no -> 1/0."""
+    cards = silver.clean_cards(fx.raw_cards(spark, d))
+    users = silver.clean_users(fx.raw_users(spark, d))
+    feats = gold.build_features(_events_tx(spark, d), users, cards, fx.mcc(spark, d))
+    out = gold.attach_labels(feats, _silver_labels(spark, d), "transaction_id", how="left", require_rows=False)
+    return out.select(
+        "transaction_id", "client_id", "card_id", "mcc", "amount", "date", "merchant_state", "zip", "errors",
+        "use_chip", "gender", "address", "card_brand", "card_type", "credit_limit", "acct_open_date",
+        "mcc_description", "acct_opened_months", "yrs_since_pin_changed", "is_fraud",
+        C.label_to_int("is_fraud").alias("label"),
+    )
+
+
+def feature_label_join(spark: SparkSession, d: str) -> DataFrame:
+    """Items INNER labels; an empty result raises."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return gold.attach_labels(docs, table(spark, d, "labels"), "doc_id", how="inner")
+
+
+def unlabeled_share(spark: SparkSession, d: str) -> DataFrame:
+    """Items without a label: count and percent."""
+    return integrity.unlabeled_share(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id")
+
+
+def orphan_report(spark: SparkSession, d: str) -> DataFrame:
+    """Five key checks; parents lose the rows with key % 11 = 0 to create orphans."""
+    tx = fx.transactions(spark, d)
+    cards = fx.cards(spark, d)
+    users = fx.users(spark, d)
+    mcc = fx.mcc(spark, d)
+    ev_tx = _events_tx(spark, d)
+    drop11 = lambda df, k: df.filter(F.col(k).cast("long") % 11 != 0)
+    checks = [
+        ("labels_to_tx", _silver_labels(spark, d), "transaction_id", drop11(ev_tx, "transaction_id"), "transaction_id"),
+        ("tx_client_to_users", tx, "client_id", drop11(users, "id"), "id"),
+        ("cards_client_to_users", cards, "client_id", drop11(users, "id"), "id"),
+        ("tx_card_to_cards", tx, "card_id", drop11(cards, "id"), "id"),
+        ("tx_mcc_to_mcc", tx, "mcc", drop11(mcc, "mcc_code"), "mcc_code"),
+    ]
+    return integrity.orphan_report(checks, examples=5)
+
+
+PROFILE_VALUE_COLUMNS = [
+    "client_id", "card_id", "card_brand", "card_type", "credit_limit", "acct_open_date", "expires",
+    "year_pin_last_changed", "gender", "address", "yearly_income",
+]
+
+
+def online_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """J2 + U4 + P13 + P24 + K3: card profiles as (key, JSON value), latest card per number wins.
+
+    Card numbers are re-issued here (two cards share a number) so the
+    last-row-wins rule has work to do.
+    """
+    cards = silver.clean_cards(fx.raw_cards(spark, d)).withColumn(
+        "card_number", F.concat(F.lit("4"), F.lpad((F.col("id").cast("long") / 2).cast("long").cast("string"), 15, "0"))
+    )
+    users = silver.clean_users(fx.raw_users(spark, d)).select("id", "gender", "address", "yearly_income")
+    prof = online.build_profiles(
+        cards.select("id", "client_id", "card_number", "card_brand", "card_type", "credit_limit",
+                     "acct_open_date", "expires", "year_pin_last_changed"),
+        users,
+    ).select("card_number", *PROFILE_VALUE_COLUMNS)
+    return online.to_key_value(prof, "card_number", order=["acct_open_date", "card_id"])
+
+
+def last_per_key(spark: SparkSession, d: str) -> DataFrame:
+    """U4: latest event per user by (ts, event_id)."""
+    e = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return online.last_per_key(e, "user_id", ["ts", "event_id"]).drop("ts")
+
+
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    return e.select(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.concat(F.lit("4"), F.lpad((F.col("event_id") * 3 % 20011).cast("string"), 15, "0")).alias("card_number"),
+        F.col("ts").cast("timestamp").alias("date"),
+        F.col("value").alias("amount"),
+        F.get_json_object("props", "$.k").alias("mcc"),
+        F.col("event_type").alias("errors"),
+    )
+
+
+def request_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """J7 + P19 + P11/P12: requests enriched with the card profile and time features."""
+    prof = online.build_profiles(fx.cards(spark, d), fx.users(spark, d))
+    matched, _ = online.lookup_profiles(_requests(spark, d), prof)
+    scored = gold.add_time_features(matched)
+    return scored.select("transaction_id", "card_number", "amount", "mcc", "errors", "card_brand", "card_type",
+                         "credit_limit", "gender", "date", "acct_opened_months", "yrs_since_pin_changed")
+
+
+def request_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Requests whose card has no profile (rejected, not failing the batch)."""
+    prof = online.build_profiles(fx.cards(spark, d), fx.users(spark, d))
+    _, rejected = online.lookup_profiles(_requests(spark, d), prof)
+    return rejected.select("transaction_id", "card_number")
+
+
+def dedup_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Full-row dedup of events unioned with a repeated slice of itself."""
+    e = table(spark, d, "events")
+    doubled = e.unionByName(e.filter(F.col("event_id") % 10 == 0))
+    return doubled.dropDuplicates().select("event_id", "user_id", "event_type", "value", "props")
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -123,5 +240,13 @@ QUERIES = {
     "silver_categories": silver_categories,
     "silver_users": silver_users,
     "cast_nulls": cast_nulls,
+    "gold_with_labels": gold_with_labels,
+    "feature_label_join": feature_label_join,
+    "unlabeled_share": unlabeled_share,
+    "orphan_report": orphan_report,
+    "online_profiles": online_profiles,
+    "last_per_key": last_per_key,
+    "request_lookup": request_lookup,
+    "request_rejects": request_rejects,
+    "dedup_rows": dedup_rows,
 }
-_ = online
