@@ -284,3 +284,99 @@ WHERE r.card_number NOT IN (SELECT c.card_number FROM cards c JOIN users u ON c.
 SQL["dedup_rows"] = """
 SELECT DISTINCT event_id, user_id, event_type, value, props FROM (
   SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0)"""
+
+# ---------------------------------------------------------------- profiling
+GOLD_CTES = [TX, CARDS, USERS, MCC, "gold AS (" + SQL["gold_features"][SQL["gold_features"].index("SELECT tx.card_id"):] + ")"]
+GOLD_LABELS_CTES = [RAW_TX, SILVER_TX, RAW_CARDS, SILVER_CARDS, RAW_USERS, SILVER_USERS, MCC, LABELS,
+                    "gwl AS (" + SQL["gold_with_labels"][SQL["gold_with_labels"].index("SELECT t.id AS transaction_id"):] + ")"]
+NUMERIC_PROFILE = ["amount", "yearly_income", "credit_limit", "acct_opened_months", "yrs_since_pin_changed",
+                   "num_cards_issued"]
+RAW_TX_COLUMNS = ["id", "date", "client_id", "card_id", "amount", "use_chip", "merchant_id", "merchant_city",
+                  "merchant_state", "zip", "mcc", "errors"]
+
+SQL["profile_missing"] = with_(RAW_TX, f"""r AS (SELECT * REPLACE ({money_float('amount')} AS amount) FROM raw_tx)""") + (
+    "SELECT * FROM (" + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS missing_pct FROM r"
+        for c in RAW_TX_COLUMNS) + ") WHERE missing > 0")
+
+_CARD_COLS = ["transaction_id", "client_id", "card_id", "use_chip", "merchant_id", "merchant_city", "merchant_state",
+              "zip", "mcc", "errors"]
+SQL["profile_cardinality"] = with_(RAW_TX, SILVER_TX, "t AS (SELECT * RENAME (id AS transaction_id) FROM silver_tx)") + (
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS unique_values, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS missing_values, "
+        f"round(CAST(count(DISTINCT {c}) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE), 2) AS cardinality_pct FROM t"
+        for c in _CARD_COLS))
+
+SQL["profile_distribution"] = with_(RAW_TX) + (
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n, "
+        f"CAST(count(*) AS DOUBLE) * 100.0 / CAST((SELECT count(*) FROM raw_tx) AS DOUBLE) AS pct FROM raw_tx GROUP BY {c}"
+        for c in ["use_chip", "merchant_city", "merchant_state", "errors"]))
+
+SQL["profile_numeric"] = with_(*GOLD_CTES) + (
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(CAST({c} AS DOUBLE)) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+        f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, round(min(CAST({c} AS DOUBLE)), 6) AS min, "
+        f"round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50, "
+        f"round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75, round(max(CAST({c} AS DOUBLE)), 6) AS max FROM gold"
+        for c in NUMERIC_PROFILE))
+
+SQL["class_balance"] = with_(*GOLD_LABELS_CTES) + """
+SELECT CAST(label AS VARCHAR) AS label, count(*) AS n,
+       CAST(count(*) AS DOUBLE) * 100.0 / CAST((SELECT count(*) FROM gwl) AS DOUBLE) AS pct
+FROM gwl GROUP BY label"""
+
+SQL["histogram"] = with_(TX, """b AS (SELECT min(CAST(amount AS DOUBLE)) AS lo, max(CAST(amount AS DOUBLE)) AS hi,
+                 (max(CAST(amount AS DOUBLE)) - min(CAST(amount AS DOUBLE))) / 50 AS w FROM tx)""",
+                         """c AS (SELECT CAST(least(floor((CAST(amount AS DOUBLE) - b.lo) / b.w), 49) AS INTEGER) AS bin, count(*) AS n
+           FROM tx, b WHERE amount IS NOT NULL GROUP BY 1)""") + """
+SELECT CAST(g.bin AS INTEGER) AS bin, b.lo + CAST(g.bin AS DOUBLE) * b.w AS bin_lo,
+       b.lo + CAST(g.bin + 1 AS DOUBLE) * b.w AS bin_hi, coalesce(c.n, 0) AS n
+FROM (SELECT unnest(range(50)) AS bin) g CROSS JOIN b LEFT JOIN c ON c.bin = g.bin"""
+
+SQL["monthly_volume"] = with_(TX) + """
+SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n, count(*) FILTER (WHERE errors = 'r') AS n_returned
+FROM tx GROUP BY 1"""
+
+_PAIRS = [(a, b) for i, a in enumerate(NUMERIC_PROFILE) for b in NUMERIC_PROFILE[i + 1:]]
+SQL["corr_matrix"] = with_(*GOLD_CTES) + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM gold"
+    for a, b in _PAIRS)
+
+_TYPES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
+SQL["crosstab"] = with_(CARDS) + "SELECT card_brand, " + ", ".join(
+    f"count(*) FILTER (WHERE card_type = '{t}') AS \"{t}\"" for t in _TYPES) + " FROM cards GROUP BY card_brand"
+
+SQL["date_range"] = with_(TX, CARDS) + """
+SELECT 'transactions' AS table_name, CAST(min(date) AS DATE) AS min_date, CAST(max(date) AS DATE) AS max_date FROM tx
+UNION ALL SELECT 'cards', min(acct_open_date), max(acct_open_date) FROM cards
+UNION ALL SELECT 'events', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE) FROM events"""
+
+SQL["length_dist"] = with_(RAW_TX, SILVER_TX) + """
+SELECT CAST(length(zip) AS INTEGER) AS length, count(*) AS n FROM silver_tx GROUP BY 1"""
+
+SQL["distinct_values"] = with_(CARDS) + "SELECT DISTINCT card_brand, card_type FROM cards"
+
+SQL["top_values"] = with_(TX) + """
+SELECT mcc, count(*) AS n FROM tx GROUP BY mcc ORDER BY n DESC, mcc ASC LIMIT 10"""
+
+SQL["top_preview"] = with_(RAW_TX, SILVER_TX) + """
+SELECT id AS transaction_id, amount, merchant_state, errors FROM silver_tx
+WHERE merchant_state = 'online' AND amount IS NOT NULL ORDER BY amount DESC, id ASC LIMIT 5"""
+
+_FLAGS = {
+    "is_online_merchant": "merchant_state = 'online'", "is_refund": "amount < 0", "has_error": "errors <> 'no_error'",
+    "has_zip": "zip <> '0'", "has_merchant_state": "merchant_state <> 'online'",
+}
+SQL["profile_flags"] = with_(RAW_TX, SILVER_TX, RAW_CARDS, SILVER_CARDS) + "\nUNION ALL ".join(
+    [f"SELECT '{k}' AS flag, CAST(sum(CAST({v} AS INTEGER)) AS BIGINT) AS n, "
+     f"CAST(CAST(sum(CAST({v} AS INTEGER)) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct FROM silver_tx"
+     for k, v in _FLAGS.items()]
+    + ["SELECT 'cvv_available', CAST(sum(CAST(length(cvv) >= 3 AS INTEGER)) AS BIGINT), "
+       "CAST(CAST(sum(CAST(length(cvv) >= 3 AS INTEGER)) AS BIGINT) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) FROM silver_cards"])
+
+SQL["table_shape"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS name, count(*) AS rows, {n} AS columns FROM {t}"
+    for t, n in [("lineitem", 11), ("orders", 6), ("customer", 5), ("part", 6), ("events", 6)])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import gold, integrity, online, silver
+from ..operators import gold, integrity, online, profile, silver
 from ..sources import files
 from ..sources.tables import table
 from . import fixtures as fx
@@ -228,6 +228,110 @@ def dedup_rows(spark: SparkSession, d: str) -> DataFrame:
     return doubled.dropDuplicates().select("event_id", "user_id", "event_type", "value", "props")
 
 
+# ---------------------------------------------------------------- profiling
+NUMERIC_PROFILE = ["amount", "yearly_income", "credit_limit", "acct_opened_months", "yrs_since_pin_changed",
+                   "num_cards_issued"]
+
+
+def profile_missing(spark: SparkSession, d: str) -> DataFrame:
+    """A3: missing count and percent per column of the raw transactions."""
+    raw = fx.raw_transactions(spark, d)
+    return profile.profile_missing(raw.withColumn("amount", C.money_to_float("amount")))
+
+
+def profile_cardinality(spark: SparkSession, d: str) -> DataFrame:
+    """A4: unique/missing counts of id-like, text and two-valued columns."""
+    return profile.profile_cardinality(_events_tx(spark, d))
+
+
+def profile_distribution(spark: SparkSession, d: str) -> DataFrame:
+    """A5: value distribution (NULL included) of columns with 1-10 values."""
+    return profile.profile_distribution(fx.raw_transactions(spark, d))
+
+
+def profile_numeric(spark: SparkSession, d: str) -> DataFrame:
+    """Numeric summary of the gold features."""
+    return profile.profile_numeric(gold_features(spark, d), NUMERIC_PROFILE)
+
+
+def class_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Label counts and shares (unlabeled rows as NULL)."""
+    return profile.class_balance(gold_with_labels(spark, d), "label")
+
+
+def histogram(spark: SparkSession, d: str) -> DataFrame:
+    """50-bin histogram of transaction amounts."""
+    return profile.histogram(fx.transactions(spark, d), "amount", 50)
+
+
+def monthly_volume(spark: SparkSession, d: str) -> DataFrame:
+    """A10: transactions and error rows per month."""
+    tx = fx.transactions(spark, d)
+    return tx.groupBy(C.month_start("date").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("errors") == "r").alias("n_returned")
+    )
+
+
+def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Pairwise Pearson correlation of the gold numeric features."""
+    return profile.corr_matrix(gold_features(spark, d), NUMERIC_PROFILE)
+
+
+def crosstab(spark: SparkSession, d: str) -> DataFrame:
+    """Card brand x card type counts."""
+    return profile.crosstab(fx.cards(spark, d), "card_brand", "card_type")
+
+
+def date_range(spark: SparkSession, d: str) -> DataFrame:
+    """First and last date of each dated table."""
+    return (
+        profile.date_range(fx.transactions(spark, d), "date", "transactions")
+        .unionByName(profile.date_range(fx.cards(spark, d), "acct_open_date", "cards"))
+        .unionByName(profile.date_range(table(spark, d, "events"), "ts", "events"))
+    )
+
+
+def length_dist(spark: SparkSession, d: str) -> DataFrame:
+    """Distribution of zip text lengths."""
+    return profile.length_distribution(_events_tx(spark, d), "zip")
+
+
+def distinct_values(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (brand, type) pairs of cards."""
+    return fx.cards(spark, d).select("card_brand", "card_type").distinct()
+
+
+def top_values(spark: SparkSession, d: str) -> DataFrame:
+    """Ten most frequent merchant categories."""
+    return profile.top_values(fx.transactions(spark, d), "mcc", 10)
+
+
+def top_preview(spark: SparkSession, d: str) -> DataFrame:
+    """Five largest online transactions (NULL-state rows), ties by id."""
+    tx = _events_tx(spark, d)
+    online_tx = tx.filter((F.col("merchant_state") == "online") & F.col("amount").isNotNull())
+    return online_tx.orderBy(F.desc("amount"), F.asc("transaction_id")).limit(5).select(
+        "transaction_id", "amount", "merchant_state", "errors"
+    )
+
+
+def profile_flags(spark: SparkSession, d: str) -> DataFrame:
+    """P17 + A8: derived transaction flags, counts and rates in one pass."""
+    flags = profile.transaction_flags(_events_tx(spark, d))
+    names = ["is_online_merchant", "is_refund", "has_error", "has_zip", "has_merchant_state"]
+    cards = silver.clean_cards(fx.raw_cards(spark, d)).select(profile.cvv_available("cvv").alias("cvv_available"))
+    return profile.flag_rates(flags, names).unionByName(profile.flag_rates(cards, ["cvv_available"]))
+
+
+def table_shape(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and columns of the source tables."""
+    out = None
+    for name in ("lineitem", "orders", "customer", "part", "events"):
+        st = files.file_stats(table(spark, d, name), name).drop("schema")
+        out = st if out is None else out.unionByName(st)
+    return out
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -249,4 +353,20 @@ QUERIES = {
     "request_lookup": request_lookup,
     "request_rejects": request_rejects,
     "dedup_rows": dedup_rows,
+    "profile_missing": profile_missing,
+    "profile_cardinality": profile_cardinality,
+    "profile_distribution": profile_distribution,
+    "profile_numeric": profile_numeric,
+    "class_balance": class_balance,
+    "histogram": histogram,
+    "monthly_volume": monthly_volume,
+    "corr_matrix": corr_matrix,
+    "crosstab": crosstab,
+    "date_range": date_range,
+    "length_dist": length_dist,
+    "distinct_values": distinct_values,
+    "top_values": top_values,
+    "top_preview": top_preview,
+    "profile_flags": profile_flags,
+    "table_shape": table_shape,
 }
