@@ -380,3 +380,114 @@ SQL["profile_flags"] = with_(RAW_TX, SILVER_TX, RAW_CARDS, SILVER_CARDS) + "\nUN
 SQL["table_shape"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS name, count(*) AS rows, {n} AS columns FROM {t}"
     for t, n in [("lineitem", 11), ("orders", 6), ("customer", 5), ("part", 6), ("events", 6)])
+
+# ------------------------------------------------------ splits and metrics
+def oot_ctes(src: str, date_expr: str, splits: int, days: int, prefix: str) -> list[str]:
+    ctes = [f"{prefix}d AS (SELECT DISTINCT CAST({date_expr} AS DATE) AS d FROM {src} WHERE {date_expr} IS NOT NULL)",
+            f"{prefix}1 AS (SELECT max(d) - {days} AS c FROM {prefix}d)"]
+    for i in range(2, splits + 1):
+        ctes.append(f"{prefix}{i} AS (SELECT max(d) - {days} AS c FROM {prefix}d WHERE d < (SELECT c FROM {prefix}{i - 1}))")
+    return ctes
+
+
+def oot_case(date_expr: str, splits: int, prefix: str) -> str:
+    whens = " ".join(f"WHEN CAST({date_expr} AS DATE) >= (SELECT c FROM {prefix}{i}) THEN 'oot{i}'" for i in range(1, splits + 1))
+    return f"CASE {whens} ELSE 'train' END"
+
+
+SCORED_SPLIT = [SCORED, *oot_ctes("scored", "day", 3, 7, "e"),
+                f"ss AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS prediction, {oot_case('day', 3, 'e')} AS split_id FROM scored)"]
+
+SQL["rolling_rate"] = with_(SCORED) + """
+SELECT event_id, CASE WHEN rn >= 1000 THEN round(CAST(s AS DOUBLE) / 1000.0, 6) END AS rolling_rate FROM (
+  SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS rn,
+         sum(label) OVER (ORDER BY ts, event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS s FROM scored)"""
+
+SQL["oot_splits"] = with_(TX, *oot_ctes("tx", "date", 3, 30, "t")) + f"""
+SELECT split_id, count(*) AS n, min(CAST(date AS DATE)) AS min_date, max(CAST(date AS DATE)) AS max_date
+FROM (SELECT *, {oot_case('date', 3, 't')} AS split_id FROM tx) GROUP BY split_id"""
+
+
+def strat_rank(src: str, seed: int) -> str:
+    return (f"row_number() OVER (PARTITION BY label ORDER BY md5('{seed}:' || CAST(event_id AS VARCHAR)), event_id) AS rn, "
+            f"count(*) OVER (PARTITION BY label) AS n_label")
+
+
+SQL["cutoff_splits"] = with_(SCORED, """ev AS (SELECT *, CASE WHEN day >= DATE '2024-01-26' THEN 'oot3'
+                                 WHEN day >= DATE '2024-01-21' THEN 'oot2'
+                                 WHEN day >= DATE '2024-01-16' THEN 'oot1' ELSE 'pool' END AS split_id FROM scored)""",
+                             f"pool AS (SELECT *, {strat_rank('ev', 42)} FROM ev WHERE split_id = 'pool')") + """
+SELECT split_id, label, count(*) AS n FROM (
+  SELECT split_id, label FROM ev WHERE split_id <> 'pool'
+  UNION ALL
+  SELECT CASE WHEN rn <= floor(CAST(0.2 AS DOUBLE) * n_label + 0.5) THEN 'test' ELSE 'train' END, label FROM pool)
+GROUP BY split_id, label"""
+
+SQL["stratified_split"] = with_(SCORED, f"r AS (SELECT *, {strat_rank('scored', 42)} FROM scored)") + """
+SELECT event_id, label, CAST(rn <= floor(CAST(0.2 AS DOUBLE) * n_label + 0.5) AS INTEGER) AS is_test FROM r"""
+
+SQL["validation_split"] = with_(
+    SCORED, f"r AS (SELECT *, {strat_rank('scored', 42)} FROM scored)",
+    "tr AS (SELECT event_id, label FROM r WHERE NOT (rn <= floor(CAST(0.2 AS DOUBLE) * n_label + 0.5)))",
+    f"v AS (SELECT *, {strat_rank('tr', 7)} FROM tr)") + """
+SELECT event_id, label, CAST(rn <= floor(CAST(0.25 AS DOUBLE) * n_label + 0.5) AS INTEGER) AS is_val FROM v"""
+
+SQL["undersample"] = with_(SCORED, f"r AS (SELECT *, {strat_rank('scored', 42)} FROM scored)",
+                           "m AS (SELECT min(n) AS n_min FROM (SELECT count(*) AS n FROM scored GROUP BY label))") + """
+SELECT event_id, label FROM r
+WHERE rn <= CASE WHEN n_label = (SELECT n_min FROM m) THEN n_label
+                 ELSE least(n_label, floor(CAST(1.0 AS DOUBLE) * (SELECT n_min FROM m) + 0.5)) END"""
+
+F1_EXPR = """round(CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) ELSE 0.0 END, 6)"""
+COUNTS = """count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+       count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn"""
+
+SQL["trial_champion"] = with_(SCORED, f"""f AS (SELECT CAST(dayofmonth(day) AS INTEGER) AS trial, {COUNTS}
+   FROM (SELECT *, CAST(score >= 0.5 AS INTEGER) AS prediction FROM scored) GROUP BY 1)""",
+                              f"v AS (SELECT trial, {F1_EXPR} AS value FROM f)",
+                              "p AS (SELECT trial, value, max(value) OVER (ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best FROM v)") + """
+SELECT trial, value, prev_best, CAST(prev_best IS NULL OR value > prev_best AS INTEGER) AS is_champion,
+       CASE WHEN (prev_best IS NULL OR value > prev_best) AND prev_best IS NOT NULL
+            THEN round(abs(prev_best - value) / value * 100.0, 6) END AS improvement_pct
+FROM p"""
+
+SQL["confusion"] = with_(SCORED) + """
+SELECT label, CAST(score >= 0.5 AS INTEGER) AS prediction, count(*) AS n FROM scored GROUP BY 1, 2"""
+
+SQL["f1_by_split"] = with_(*SCORED_SPLIT, f"c AS (SELECT split_id, {COUNTS} FROM ss GROUP BY split_id)") + f"""
+SELECT split_id, tp, fp, fn, tn,
+       round(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END, 6) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END, 6) AS recall,
+       {F1_EXPR} AS f1
+FROM c"""
+
+SQL["log_loss"] = with_(*SCORED_SPLIT, """q AS (SELECT split_id, CAST(label AS DOUBLE) AS y,
+    least(greatest(CAST(score AS DOUBLE), 1e-15), 1 - 1e-15) AS p FROM ss)""") + """
+SELECT split_id, round(avg(-(y * ln(p) + (1.0 - y) * ln(1.0 - p))), 6) AS log_loss, count(*) AS n FROM q GROUP BY split_id"""
+
+GROUPS = """g AS (SELECT split_id, CAST(score AS DOUBLE) AS score, count(*) FILTER (WHERE label = 1) AS pos,
+                      count(*) FILTER (WHERE label = 0) AS neg FROM ss GROUP BY 1, 2)"""
+
+SQL["roc_auc"] = with_(*SCORED_SPLIT, GROUPS, """c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY split_id ORDER BY score
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)""") + """
+SELECT split_id, round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+         sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + CAST(neg AS DOUBLE) / 2.0))
+         / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END, 6) AS roc_auc
+FROM c GROUP BY split_id"""
+
+SQL["avg_precision"] = with_(*SCORED_SPLIT, GROUPS, """c AS (SELECT *,
+    sum(pos) OVER (PARTITION BY split_id ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+    sum(neg) OVER (PARTITION BY split_id ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp FROM g)""") + """
+SELECT split_id, round(CASE WHEN sum(pos) > 0 THEN
+         sum(CAST(pos AS DOUBLE) * (CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE))) / CAST(sum(pos) AS DOUBLE) END, 6) AS avg_precision
+FROM c GROUP BY split_id"""
+
+SQL["roc_curve"] = with_(SCORED, """g AS (SELECT CAST(score AS DOUBLE) AS score, count(*) FILTER (WHERE label = 1) AS pos,
+                      count(*) FILTER (WHERE label = 0) AS neg FROM scored GROUP BY 1)""", """c AS (SELECT *,
+    sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+    sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+    sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM g)""") + """
+SELECT score AS threshold, round(CAST(tp AS DOUBLE) / CAST(P AS DOUBLE), 6) AS tpr,
+       round(CAST(fp AS DOUBLE) / CAST(N AS DOUBLE), 6) AS fpr,
+       round(CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE), 6) AS precision
+FROM c"""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import gold, integrity, online, profile, silver
+from ..operators import gold, integrity, metrics, online, ordered, profile, silver, splits
 from ..sources import files
 from ..sources.tables import table
 from . import fixtures as fx
@@ -332,6 +332,107 @@ def table_shape(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+# ------------------------------------------------------ splits and metrics
+ROLLING_N = 1000
+OOT_TX = (3, 30)      # splits x days on the card transactions (model configs)
+OOT_EVENTS = (3, 7)   # splits x days on the events (demo config)
+EVENT_CUTOFFS = {"oot1": "2024-01-16", "oot2": "2024-01-21", "oot3": "2024-01-26"}
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return fx.scored_events(spark, d).withColumn("prediction", metrics.predict("score", 0.5))
+
+
+def _scored_split(spark: SparkSession, d: str) -> DataFrame:
+    return splits.split_oot(_scored(spark, d), "day", *OOT_EVENTS)
+
+
+def rolling_rate(spark: SparkSession, d: str) -> DataFrame:
+    """Fraud rate over the last 1,000 events in time order."""
+    ev = fx.scored_events(spark, d)
+    r = ordered.rolling_rate(ev, ["ts", "event_id"], "label", ROLLING_N, keep=["event_id"])
+    return r.select("event_id", F.round("rolling_rate", 6).alias("rolling_rate"))
+
+
+def oot_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Three inclusive 30-day out-of-time windows carved from the latest date back."""
+    tx = splits.split_oot(fx.transactions(spark, d), "date", *OOT_TX)
+    return tx.groupBy("split_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.to_date("date")).alias("min_date"), F.max(F.to_date("date")).alias("max_date")
+    )
+
+
+def cutoff_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Named cutoff windows, the rest split 80/20 train/test by class."""
+    ev = splits.split_cutoffs(fx.scored_events(spark, d), "day", EVENT_CUTOFFS, default="pool")
+    pool = splits.stratified_split(ev.filter(F.col("split_id") == "pool"), "event_id", "label", 0.2, 42)
+    pool = pool.withColumn("split_id", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test")
+    rest = ev.filter(F.col("split_id") != "pool")
+    return rest.unionByName(pool).groupBy("split_id", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stratified_split(spark: SparkSession, d: str) -> DataFrame:
+    """80/20 split per class, seed 42."""
+    out = splits.stratified_split(fx.scored_events(spark, d), "event_id", "label", 0.2, 42)
+    return out.select("event_id", "label", F.col("is_test").cast("int").alias("is_test"))
+
+
+def validation_split(spark: SparkSession, d: str) -> DataFrame:
+    """75/25 validation split of the training part, by class, with a trial seed (before any resampling)."""
+    train = splits.stratified_split(fx.scored_events(spark, d), "event_id", "label", 0.2, 42).filter(~F.col("is_test"))
+    out = splits.stratified_split(train.drop("is_test"), "event_id", "label", 0.25, 7, out="is_val")
+    return out.select("event_id", "label", F.col("is_val").cast("int").alias("is_val"))
+
+
+def undersample(spark: SparkSession, d: str) -> DataFrame:
+    """M6: majority class cut to the minority size in hash order."""
+    out = splits.undersample(fx.scored_events(spark, d), "event_id", "label", 1.0, 42)
+    return out.select("event_id", "label")
+
+
+def trial_champion(spark: SparkSession, d: str) -> DataFrame:
+    """Daily F1 as a trial series; running champion and improvement."""
+    sc = _scored(spark, d).withColumn("trial", F.dayofmonth("day").cast("int"))
+    f1 = metrics.f1_scores(sc, "label", "prediction", by="trial").select("trial", F.round("f1", 6).alias("value"))
+    out = metrics.running_champion(f1, "trial", "value")
+    return out.select("trial", "value", "prev_best", "is_champion", F.round("improvement_pct", 6).alias("improvement_pct"))
+
+
+def confusion(spark: SparkSession, d: str) -> DataFrame:
+    """Confusion counts at threshold 0.5."""
+    return metrics.confusion(_scored(spark, d), "label", "prediction")
+
+
+def f1_by_split(spark: SparkSession, d: str) -> DataFrame:
+    """Precision, recall and F1 per out-of-time split."""
+    f = metrics.f1_scores(_scored_split(spark, d), "label", "prediction", by="split_id")
+    return f.select("split_id", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+def log_loss(spark: SparkSession, d: str) -> DataFrame:
+    """Clipped log loss per split."""
+    ll = metrics.log_loss(_scored_split(spark, d), "label", "score", by="split_id")
+    return ll.select("split_id", F.round("log_loss", 6).alias("log_loss"), "n")
+
+
+def roc_auc(spark: SparkSession, d: str) -> DataFrame:
+    """ROC AUC per split (tied scores count half)."""
+    a = metrics.roc_auc(_scored_split(spark, d), "label", "score", by="split_id")
+    return a.select("split_id", F.round("roc_auc", 6).alias("roc_auc"))
+
+
+def avg_precision(spark: SparkSession, d: str) -> DataFrame:
+    """Average precision per split."""
+    a = metrics.average_precision(_scored_split(spark, d), "label", "score", by="split_id")
+    return a.select("split_id", F.round("avg_precision", 6).alias("avg_precision"))
+
+
+def roc_curve(spark: SparkSession, d: str) -> DataFrame:
+    """ROC / PR curve points at every distinct score."""
+    c = metrics.curve_points(_scored(spark, d), "label", "score")
+    return c.select("threshold", *[F.round(x, 6).alias(x) for x in ("tpr", "fpr", "precision")])
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -369,4 +470,17 @@ QUERIES = {
     "top_preview": top_preview,
     "profile_flags": profile_flags,
     "table_shape": table_shape,
+    "rolling_rate": rolling_rate,
+    "oot_splits": oot_splits,
+    "cutoff_splits": cutoff_splits,
+    "stratified_split": stratified_split,
+    "validation_split": validation_split,
+    "undersample": undersample,
+    "trial_champion": trial_champion,
+    "confusion": confusion,
+    "f1_by_split": f1_by_split,
+    "log_loss": log_loss,
+    "roc_auc": roc_auc,
+    "avg_precision": avg_precision,
+    "roc_curve": roc_curve,
 }
