@@ -491,3 +491,56 @@ SELECT score AS threshold, round(CAST(tp AS DOUBLE) / CAST(P AS DOUBLE), 6) AS t
        round(CAST(fp AS DOUBLE) / CAST(N AS DOUBLE), 6) AS fpr,
        round(CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE), 6) AS precision
 FROM c"""
+
+# -------------------------------------------------------------------- drift
+DRIFT_CATEGORICAL = ["errors", "use_chip", "card_brand", "card_type", "gender", "has_chip"]
+DRIFT_NUMERIC = ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_changed", "yearly_income",
+                 "num_cards_issued"]
+DRIFT_SIDES = [*GOLD_CTES, "ref AS (SELECT * FROM gold WHERE date < DATE '2000-01-01')",
+               "cur AS (SELECT * FROM gold WHERE date >= DATE '2000-01-01')"]
+
+
+def psi_ctes(value_of: dict[str, str]) -> list[str]:
+    def counts(side: str) -> str:
+        return "\nUNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({e} AS VARCHAR) AS value, count(*) AS n FROM {side} GROUP BY 2"
+                                   for c, e in value_of.items())
+    return [f"rc AS ({counts('ref')})", f"cc AS ({counts('cur')})", """sh AS (
+  SELECT coalesce(r.column_name, c.column_name) AS column_name,
+         greatest(CAST(coalesce(r.n, 0) AS DOUBLE) / CAST((SELECT count(*) FROM ref) AS DOUBLE), 0.0001) AS p,
+         greatest(CAST(coalesce(c.n, 0) AS DOUBLE) / CAST((SELECT count(*) FROM cur) AS DOUBLE), 0.0001) AS q
+  FROM rc r FULL JOIN cc c ON r.column_name = c.column_name AND r.value IS NOT DISTINCT FROM c.value)""",
+            "psi AS (SELECT column_name, sum((q - p) * ln(q / p)) AS psi FROM sh GROUP BY column_name)"]
+
+
+_EDGES = "edges AS (SELECT " + ", ".join(
+    f"list_sort(list_distinct(quantile_cont(CAST({c} AS DOUBLE), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) AS e_{c}"
+    for c in DRIFT_NUMERIC) + " FROM ref)"
+_BINS = {c: f"(CASE WHEN {c} IS NULL THEN -1 ELSE len(list_filter((SELECT e_{c} FROM edges), lambda e: CAST({c} AS DOUBLE) > e)) END)"
+         for c in DRIFT_NUMERIC}
+
+SQL["psi_categorical"] = with_(*DRIFT_SIDES, *psi_ctes({c: c for c in DRIFT_CATEGORICAL})) + \
+    "SELECT column_name, round(psi, 6) AS psi FROM psi"
+
+SQL["psi_numeric"] = with_(*DRIFT_SIDES, _EDGES, *psi_ctes(_BINS)) + "SELECT column_name, round(psi, 6) AS psi FROM psi"
+
+SQL["ks_numeric"] = with_(*DRIFT_SIDES, "vals AS (" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v, 1 AS is_ref FROM ref WHERE {c} IS NOT NULL "
+    f"UNION ALL SELECT '{c}', CAST({c} AS DOUBLE), 0 FROM cur WHERE {c} IS NOT NULL" for c in DRIFT_NUMERIC) + ")",
+    """g AS (SELECT column_name, v, count(*) FILTER (WHERE is_ref = 1) AS nr, count(*) FILTER (WHERE is_ref = 0) AS nc
+          FROM vals GROUP BY 1, 2)""", """c AS (SELECT *,
+    sum(nr) OVER (PARTITION BY column_name ORDER BY v ROWS UNBOUNDED PRECEDING) AS cr,
+    sum(nc) OVER (PARTITION BY column_name ORDER BY v ROWS UNBOUNDED PRECEDING) AS cc,
+    sum(nr) OVER (PARTITION BY column_name) AS tr, sum(nc) OVER (PARTITION BY column_name) AS tc FROM g)""") + """
+SELECT column_name, round(max(abs(CAST(cr AS DOUBLE) / CAST(tr AS DOUBLE) - CAST(cc AS DOUBLE) / CAST(tc AS DOUBLE))), 6) AS ks
+FROM c GROUP BY column_name"""
+
+_PSI_CAT = psi_ctes({c: c for c in DRIFT_CATEGORICAL})
+_PSI_NUM = [x.replace("rc AS", "rn AS").replace("cc AS", "cn AS").replace("sh AS", "shn AS").replace("psi AS (", "psin AS (")
+            .replace("FROM rc r FULL JOIN cc c", "FROM rn r FULL JOIN cn c").replace("FROM sh GROUP", "FROM shn GROUP")
+            for x in psi_ctes(_BINS)]
+SQL["dataset_drift"] = with_(*DRIFT_SIDES, _EDGES, *_PSI_CAT, *_PSI_NUM,
+                             "allp AS (SELECT psi FROM psi UNION ALL SELECT psi FROM psin)") + """
+SELECT count(*) AS n_columns, CAST(sum(CAST(psi >= 0.2 AS INTEGER)) AS BIGINT) AS n_drifted,
+       round(CAST(sum(CAST(psi >= 0.2 AS INTEGER)) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS share,
+       CAST(CAST(sum(CAST(psi >= 0.2 AS INTEGER)) AS DOUBLE) / CAST(count(*) AS DOUBLE) >= 0.5 AS INTEGER) AS dataset_drift
+FROM allp"""

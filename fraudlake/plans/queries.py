@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import gold, integrity, metrics, online, ordered, profile, silver, splits
+from ..operators import drift, gold, integrity, metrics, online, ordered, profile, silver, splits
 from ..sources import files
 from ..sources.tables import table
 from . import fixtures as fx
@@ -433,6 +433,46 @@ def roc_curve(spark: SparkSession, d: str) -> DataFrame:
     return c.select("threshold", *[F.round(x, 6).alias(x) for x in ("tpr", "fpr", "precision")])
 
 
+# -------------------------------------------------------------------- drift
+DRIFT_CUTOFF = "2000-01-01"
+DRIFT_CATEGORICAL = ["errors", "use_chip", "card_brand", "card_type", "gender", "has_chip"]
+DRIFT_NUMERIC = ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_changed", "yearly_income",
+                 "num_cards_issued"]
+
+
+def _drift_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """reference = gold rows before the cutoff, current = from it on; configured columns only."""
+    g = gold_features(spark, d)
+    cols = [*DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
+    cut = F.lit(DRIFT_CUTOFF).cast("date")
+    return g.filter(F.col("date") < cut).select(*cols), g.filter(F.col("date") >= cut).select(*cols)
+
+
+def psi_categorical(spark: SparkSession, d: str) -> DataFrame:
+    """Categorical PSI, reference vs current."""
+    ref, cur = _drift_sides(spark, d)
+    return drift.psi_categorical(ref, cur, DRIFT_CATEGORICAL).select("column_name", F.round("psi", 6).alias("psi"))
+
+
+def psi_numeric(spark: SparkSession, d: str) -> DataFrame:
+    """D2(a): numeric PSI at reference deciles."""
+    ref, cur = _drift_sides(spark, d)
+    return drift.psi_numeric(ref, cur, DRIFT_NUMERIC).select("column_name", F.round("psi", 6).alias("psi"))
+
+
+def ks_numeric(spark: SparkSession, d: str) -> DataFrame:
+    """D2(b): two-sample KS statistic."""
+    ref, cur = _drift_sides(spark, d)
+    return drift.ks_numeric(ref, cur, DRIFT_NUMERIC).select("column_name", F.round("ks", 6).alias("ks"))
+
+
+def dataset_drift(spark: SparkSession, d: str) -> DataFrame:
+    """D3: share of drifted columns (PSI >= 0.2) and the dataset flag (share >= 0.5)."""
+    ref, cur = _drift_sides(spark, d)
+    _, ds = drift.drift_report(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.2, share=0.5)
+    return ds.select("n_columns", "n_drifted", F.round("share", 6).alias("share"), "dataset_drift")
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -483,4 +523,8 @@ QUERIES = {
     "roc_auc": roc_auc,
     "avg_precision": avg_precision,
     "roc_curve": roc_curve,
+    "psi_categorical": psi_categorical,
+    "psi_numeric": psi_numeric,
+    "ks_numeric": ks_numeric,
+    "dataset_drift": dataset_drift,
 }
