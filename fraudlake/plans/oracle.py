@@ -544,3 +544,31 @@ SELECT count(*) AS n_columns, CAST(sum(CAST(psi >= 0.2 AS INTEGER)) AS BIGINT) A
        round(CAST(sum(CAST(psi >= 0.2 AS INTEGER)) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS share,
        CAST(CAST(sum(CAST(psi >= 0.2 AS INTEGER)) AS DOUBLE) / CAST(count(*) AS DOUBLE) >= 0.5 AS INTEGER) AS dataset_drift
 FROM allp"""
+
+# ------------------------------------------------------- prep and resampling
+STANDARDISE_COLUMNS = ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_changed"]
+SQL["standardise"] = with_(*GOLD_LABELS_CTES, "tr AS (SELECT * FROM gwl WHERE date < DATE '2024-01-21')", "st AS (SELECT " + ", ".join(
+    f"avg(CAST({c} AS DOUBLE)) AS m_{c}, sqrt(var_pop(CAST({c} AS DOUBLE)) * count({c}) / count(*)) AS s_{c}"
+    for c in STANDARDISE_COLUMNS) + " FROM tr)") + "SELECT transaction_id, " + ", ".join(
+    f"round((coalesce(CAST({c} AS DOUBLE), m_{c}) - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END, 6) AS {c}"
+    for c in STANDARDISE_COLUMNS) + " FROM gwl, st"
+
+_OH = {"merchant_state": ["cl", "er", "pu", "si", "vi"], "errors": ["click", "error", "purchase", "signup", "view"],
+       "use_chip": ["Chip Transaction", "Swipe Transaction"]}
+SQL["one_hot"] = with_(RAW_TX, """x AS (SELECT id AS transaction_id, CAST(CAST(date AS TIMESTAMP) AS DATE) AS day,
+    trim(lower(merchant_state)) AS merchant_state, trim(lower(errors)) AS errors, use_chip FROM raw_tx)""",
+                       "md AS (SELECT " + ", ".join(f"mode() WITHIN GROUP (ORDER BY {c}) AS md_{c}" for c in _OH)
+                       + " FROM x WHERE day < DATE '2024-01-21')") + "SELECT transaction_id, " + ", ".join(
+    f"CAST(coalesce({c}, md_{c}) = '{v}' AS DOUBLE) AS \"{c}={v}\"" for c, vs in _OH.items() for v in vs) + " FROM x, md"
+
+SQL["smote_neighbours"] = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS nn_id,
+             list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))) AS dist
+      FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nn_id) AS rank FROM p)
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, nn_id, round(dist, 6) AS dist FROM r WHERE rank <= 5"""
+
+SQL["smote_rows"] = """
+WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
+SELECT label, (SELECT max(n) FROM c) AS n_rows, CAST((SELECT max(n) FROM c) - n AS BIGINT) AS n_synthetic FROM c"""

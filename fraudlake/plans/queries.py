@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import drift, gold, integrity, metrics, online, ordered, profile, silver, splits
+from ..operators import drift, gold, integrity, metrics, online, ordered, prep, profile, resample, silver, splits
 from ..sources import files
 from ..sources.tables import table
 from . import fixtures as fx
@@ -473,6 +473,47 @@ def dataset_drift(spark: SparkSession, d: str) -> DataFrame:
     return ds.select("n_columns", "n_drifted", F.round("share", 6).alias("share"), "dataset_drift")
 
 
+# ------------------------------------------------------- prep and resampling
+PREP_CUTOFF = "2024-01-21"
+STANDARDISE_COLUMNS = ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_changed"]
+ONE_HOT_COLUMNS = ["merchant_state", "errors", "use_chip"]
+
+
+def standardise(spark: SparkSession, d: str) -> DataFrame:
+    """M2/M4: mean impute + standardise (population std), fitted on the rows before the cutoff."""
+    g = gold_with_labels(spark, d).select("transaction_id", "date", *STANDARDISE_COLUMNS)
+    model = prep.Standardiser.fit(g.filter(F.col("date") < F.lit(PREP_CUTOFF).cast("date")), STANDARDISE_COLUMNS)
+    z = model.transform(g)
+    return z.select("transaction_id", *[F.round(c, 6).alias(c) for c in STANDARDISE_COLUMNS])
+
+
+def _prep_input(spark: SparkSession, d: str) -> DataFrame:
+    raw = fx.raw_transactions(spark, d)
+    return raw.select(
+        F.col("id").alias("transaction_id"), F.to_date("date").alias("day"),
+        C.norm_category("merchant_state").alias("merchant_state"), C.norm_category("errors").alias("errors"), "use_chip",
+    )
+
+
+def one_hot(spark: SparkSession, d: str) -> DataFrame:
+    """M3/M4: mode impute + one-hot over training categories (unknown -> all zeros)."""
+    x = _prep_input(spark, d)
+    enc = prep.OneHot.fit(x.filter(F.col("day") < F.lit(PREP_CUTOFF).cast("date")), ONE_HOT_COLUMNS)
+    return enc.dummy_columns(x.drop("day"))
+
+
+def smote_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """M5: exact 5 nearest neighbours of every vector inside its class."""
+    nn = resample.knn_within_class(table(spark, d, "embeddings"), "vec_id", "label", "embedding", k=5)
+    return nn.select(F.col("id").alias("vec_id"), "rank", "nn_id", F.round("dist", 6).alias("dist"))
+
+
+def smote_rows(spark: SparkSession, d: str) -> DataFrame:
+    """M5: every class oversampled to the largest class; rows and synthetic rows per class."""
+    out = resample.smote(table(spark, d, "embeddings"), "vec_id", "label", "embedding", k=5, seed=42)
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("is_synthetic").cast("long").alias("n_synthetic"))
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -527,4 +568,8 @@ QUERIES = {
     "psi_numeric": psi_numeric,
     "ks_numeric": ks_numeric,
     "dataset_drift": dataset_drift,
+    "standardise": standardise,
+    "one_hot": one_hot,
+    "smote_neighbours": smote_neighbours,
+    "smote_rows": smote_rows,
 }
