@@ -572,3 +572,28 @@ SELECT vec_id, CAST(rank AS INTEGER) AS rank, nn_id, round(dist, 6) AS dist FROM
 SQL["smote_rows"] = """
 WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
 SELECT label, (SELECT max(n) FROM c) AS n_rows, CAST((SELECT max(n) FROM c) - n AS BIGINT) AS n_synthetic FROM c"""
+
+# ---------------------------------------------------------------- streaming
+SQL["stream_enrich"] = with_(CARDS, USERS, REQUESTS, """prof AS (SELECT c.*, u.gender FROM cards c JOIN users u ON c.client_id = u.id)""") + """
+SELECT r.transaction_id, r.card_number, r.amount, r.mcc, r.errors, p.card_brand, p.card_type, p.credit_limit,
+       p.gender, CAST(r.date AS DATE) AS date,
+       round(CAST(date_diff('day', p.acct_open_date, CAST(r.date AS DATE)) AS DOUBLE) / 30.0, 1) + CAST(0 AS DOUBLE) AS acct_opened_months,
+       CAST(year(r.date) - p.year_pin_last_changed AS INTEGER) AS yrs_since_pin_changed,
+       CASE WHEN p.card_number IS NULL THEN 0 ELSE 1 END AS matched
+FROM req r LEFT JOIN prof p ON r.card_number = p.card_number"""
+
+PRED_LOG = with_(SCORED) + """SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS event_time, CAST(ts AS DATE) AS event_date,
+       CAST(event_id AS VARCHAR) AS transaction_id, CAST(score >= 0.5 AS INTEGER) AS is_fraud FROM scored"""
+SQL["stream_predictions"] = PRED_LOG
+
+SQL["prediction_range"] = "SELECT event_time, transaction_id, is_fraud FROM (" + PRED_LOG + """)
+WHERE event_time BETWEEN CAST(epoch_us(TIMESTAMP '2024-01-10 00:00:00') // 1000000 AS BIGINT)
+                     AND CAST(epoch_us(TIMESTAMP '2024-01-12 12:00:00') // 1000000 AS BIGINT)"""
+
+SQL["stream_daily"] = """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2"""
+
+SQL["stream_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, value FROM events"
+
+SQL["stream_bronze"] = with_(TX) + """
+SELECT CAST(date_trunc('month', date) AS DATE) AS snapshot_date, count(*) AS n FROM tx GROUP BY 1"""

@@ -7,12 +7,15 @@ and aliased so the DuckDB twin in ``plans.oracle`` yields the same schema.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import drift, gold, integrity, metrics, online, ordered, prep, profile, resample, silver, splits
 from ..sources import files
+from ..streaming import jobs as stream_jobs
 from ..sources.tables import table
 from . import fixtures as fx
 
@@ -514,6 +517,89 @@ def smote_rows(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("is_synthetic").cast("long").alias("n_synthetic"))
 
 
+# ---------------------------------------------------------------- streaming
+PREDICTION_WINDOW = ("2024-01-10 00:00:00", "2024-01-12 12:00:00")
+
+
+def _request_columns(ev: DataFrame) -> DataFrame:
+    return ev.select(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.concat(F.lit("4"), F.lpad((F.col("event_id") * 3 % 20011).cast("string"), 15, "0")).alias("card_number"),
+        F.col("ts").cast("timestamp").alias("date"),
+        F.col("value").alias("amount"),
+        F.get_json_object("props", "$.k").alias("mcc"),
+        F.col("event_type").alias("errors"),
+    )
+
+
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
+    return stream_jobs.read_table_stream(spark, d, "events.parquet", table(spark, d, "events").schema)
+
+
+def stream_enrich(spark: SparkSession, d: str) -> DataFrame:
+    """Streamed requests, stream-static LEFT join with profiles, time features, file sink."""
+    prof = online.build_profiles(fx.cards(spark, d), fx.users(spark, d))
+    out = stream_jobs.enrich_stream(_request_columns(_event_stream(spark, d)), prof).select(
+        "transaction_id", "card_number", "amount", "mcc", "errors", "card_brand", "card_type", "credit_limit",
+        "gender", "date", "acct_opened_months", "yrs_since_pin_changed", "matched",
+    )
+    path = stream_jobs.run_available(out, stream_jobs.new_sink(spark, "stream_enrich"))
+    return spark.read.parquet(path)
+
+
+def stream_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Streamed scoring into a prediction log partitioned by date."""
+    scored = _event_stream(spark, d).withColumn("prediction", metrics.predict(fx.score(), 0.5))
+    log = stream_jobs.prediction_log(scored, "ts", "event_id", "prediction")
+    path = stream_jobs.run_available(log, stream_jobs.new_sink(spark, "predictions"), ["event_date"])
+    return spark.read.parquet(path)
+
+
+def prediction_range(spark: SparkSession, d: str) -> DataFrame:
+    """S10 + K6: append a batch prediction log, then read a time range back (date partitions pruned)."""
+    scored = fx.scored_events(spark, d).withColumn("prediction", metrics.predict("score", 0.5))
+    path = stream_jobs.new_sink(spark, "prediction_log")
+    files.append_table(stream_jobs.prediction_log(scored, "ts", "event_id", "prediction"), path, ["event_date"])
+    lo, hi = (F.unix_timestamp(F.lit(t).cast("timestamp")) for t in PREDICTION_WINDOW)
+    bounds = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
+    return files.read_predictions(spark.read.parquet(path), bounds["lo"], bounds["hi"]).select(
+        "event_time", "transaction_id", "is_fraud"
+    )
+
+
+def stream_daily(spark: SparkSession, d: str) -> DataFrame:
+    """T4: daily tumbling counts per event type with a watermark (complete mode, bounded result)."""
+    counts = stream_jobs.windowed_counts(_event_stream(spark, d), "ts", ["event_type"], "1 day", "1 day")
+    name = f"daily_{uuid.uuid4().hex[:10]}"
+    q = (counts.writeStream.format("memory").queryName(name).outputMode("complete")
+         .option("checkpointLocation", stream_jobs.new_sink(spark, name)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.table(name).select(
+        F.to_date(F.col("w.start")).alias("window_start"), "event_type", "n"
+    )
+
+
+def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """T5: two deliveries of the same events; duplicates dropped within the watermark."""
+    twice = _event_stream(spark, d).unionByName(_event_stream(spark, d))
+    out = stream_jobs.dedup_stream(twice, "ts", "event_id", "1 day").select("event_id", "user_id", "event_type", "value")
+    path = stream_jobs.run_available(out, stream_jobs.new_sink(spark, "dedup"))
+    return spark.read.parquet(path)
+
+
+def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
+    """Raw CSV files ingested incrementally into monthly snapshot partitions; rows per month."""
+    raw_dir = stream_jobs.new_sink(spark, "raw_csv")
+    raw = fx.transactions(spark, d).select(
+        "card_id", "client_id", "mcc", F.col("amount").cast("string").alias("amount"),
+        F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"),
+    )
+    raw.write.option("header", "true").csv(raw_dir)
+    schema = files.string_schema(["card_id", "client_id", "mcc", "amount", "date"])
+    sink = stream_jobs.ingest_files(spark, raw_dir, schema, "csv", stream_jobs.new_sink(spark, "bronze"), "date")
+    return files.read_snapshots(spark, sink).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -572,4 +658,10 @@ QUERIES = {
     "one_hot": one_hot,
     "smote_neighbours": smote_neighbours,
     "smote_rows": smote_rows,
+    "stream_enrich": stream_enrich,
+    "stream_predictions": stream_predictions,
+    "prediction_range": prediction_range,
+    "stream_daily": stream_daily,
+    "stream_dedup": stream_dedup,
+    "stream_bronze": stream_bronze,
 }
