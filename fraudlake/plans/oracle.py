@@ -597,3 +597,6 @@ SQL["stream_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, value FROM
 
 SQL["stream_bronze"] = with_(TX) + """
 SELECT CAST(date_trunc('month', date) AS DATE) AS snapshot_date, count(*) AS n FROM tx GROUP BY 1"""
+
+SQL["unix_seconds"] = """
+SELECT event_id, CAST(epoch_us(timezone('America/New_York', ts)) // 1000000 AS BIGINT) AS unix_seconds FROM events"""

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import drift, gold, integrity, metrics, online, ordered, prep, profile, resample, silver, splits
+from ..operators import drift, gold, integrity, metrics, model, online, ordered, prep, profile, resample, silver, splits
+from ..session import checkpoint_root
 from ..sources import files
 from ..streaming import jobs as stream_jobs
 from ..sources.tables import table
@@ -600,6 +601,70 @@ def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
     return files.read_snapshots(spark, sink).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ------------------------------------------------------------------- models
+MODEL_NUMERIC = ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_changed"]
+MODEL_CATEGORICAL = ["use_chip", "card_brand", "card_type", "gender", "merchant_state"]
+MODEL_TRIALS = 2
+MODEL_ITER_CAP = 50
+
+
+def _model_frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labelled gold rows with 3 x 7-day OOT windows; the rest split 80/20 by class."""
+    checkpoint_root(spark)
+    # the OOT cutoffs and class counts each read the labelled rows: materialise them first
+    g = gold_with_labels(spark, d).filter(F.col("label").isNotNull()).checkpoint(eager=True)
+    g = splits.split_oot(g, "date", *OOT_EVENTS)
+    strat = splits.stratified_split(g.filter(F.col("split_id") == "train"), "transaction_id", "label", 0.2, 42)
+    strat = strat.withColumn("split_id", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test")
+    # every fit, trial and evaluation below reads these rows: materialise them once
+    rows = g.filter(F.col("split_id") != "train").unionByName(strat).checkpoint(eager=True)
+    train = rows.filter(F.col("split_id") == "train").drop("split_id")
+    test = rows.filter(F.col("split_id") == "test")
+    return rows.filter(F.col("split_id") != "train"), train, test
+
+
+def model_search(spark: SparkSession, d: str) -> DataFrame:
+    """M8/M9: seeded random search over the logistic space, F1 objective, SMOTE on the fit part."""
+    _, train, _ = _model_frames(spark, d)
+    return model.search(train, "label", "transaction_id", MODEL_NUMERIC, MODEL_CATEGORICAL, "logistic",
+                        n_trials=MODEL_TRIALS, seed=42, max_iter_cap=MODEL_ITER_CAP)
+
+
+def _final_model(spark: SparkSession, d: str):
+    held_out, train, _ = _model_frames(spark, d)
+    trials = model_search(spark, d)
+    best = trials.orderBy(F.desc("f1"), "trial").first()
+    import json
+    trained = model.fit_final(train, "label", "transaction_id", MODEL_NUMERIC, MODEL_CATEGORICAL, "logistic",
+                              json.loads(best["params"]), seed=42, max_iter_cap=MODEL_ITER_CAP)
+    return trained, held_out, train
+
+
+def model_eval(spark: SparkSession, d: str) -> DataFrame:
+    """Best trial refit on all training rows; F1 / AUC / log loss on train, test and each OOT window."""
+    trained, held_out, train = _final_model(spark, d)
+    every = train.withColumn("split_id", F.lit("train")).unionByName(held_out)
+    scored = trained.score(every.withColumn("label", F.col("label").cast("int")))
+    return model.evaluate(scored, "label", "p1", 0.5, by="split_id")
+
+
+def batch_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Requests looked up, time features, prepared and scored: (transaction_id, probability, is_fraud)."""
+    trained, _, _ = _final_model(spark, d)
+    req = silver.clean_transactions(fx.raw_transactions(spark, d)).withColumnRenamed("id", "transaction_id")
+    cards = silver.clean_cards(fx.raw_cards(spark, d))
+    users = silver.clean_users(fx.raw_users(spark, d))
+    feats = gold.build_features(req, users, cards, fx.mcc(spark, d))
+    out = trained.score(feats)
+    return out.select("transaction_id", F.round("p1", 6).alias("probability"), "is_fraud")
+
+
+def unix_seconds(spark: SparkSession, d: str) -> DataFrame:
+    """Event wall-clock time in New York -> Unix seconds."""
+    e = table(spark, d, "events")
+    return e.select("event_id", C.local_to_unix_seconds("ts", "America/New_York").alias("unix_seconds"))
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -664,4 +729,8 @@ QUERIES = {
     "stream_daily": stream_daily,
     "stream_dedup": stream_dedup,
     "stream_bronze": stream_bronze,
+    "unix_seconds": unix_seconds,
+    "model_search": model_search,
+    "model_eval": model_eval,
+    "batch_scores": batch_scores,
 }
