@@ -122,3 +122,9 @@ def report_rows(columns: DataFrame, run_id: str | None = None, run_time: dt.date
     rid = run_id or uuid.uuid4().hex
     rt = run_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return columns.select(F.lit(rid).alias("run_id"), F.lit(rt).alias("run_time"), "*")
+
+
+def write_reference_set(df: DataFrame, cols: list[str], path: str, run_name: str) -> None:
+    """K4: the training reference rows (configured columns) kept for later drift checks, one partition per run."""
+    out = df.select(*cols).withColumn("run_name", F.lit(run_name))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_name").parquet(path))

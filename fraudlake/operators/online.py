@@ -64,3 +64,9 @@ def lookup_profiles(requests: DataFrame, profiles: DataFrame, key: str = "card_n
     matched = joined.filter(F.col("_found").isNotNull()).drop("_found")
     rejected = joined.filter(F.col("_found").isNull()).select(*requests.columns)
     return matched, rejected
+
+
+def from_key_value(kv: DataFrame, fields: list[str], key_name: str = "card_number") -> DataFrame:
+    """P20: decode the JSON values of a key-value table back into text columns."""
+    schema = "struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">"
+    return kv.select(F.col("key").alias(key_name), F.from_json("value", schema).alias("_v")).select(key_name, "_v.*")

@@ -600,3 +600,21 @@ SELECT CAST(date_trunc('month', date) AS DATE) AS snapshot_date, count(*) AS n F
 
 SQL["unix_seconds"] = """
 SELECT event_id, CAST(epoch_us(timezone('America/New_York', ts)) // 1000000 AS BIGINT) AS unix_seconds FROM events"""
+
+# ------------------------------------------------------------ more sources
+SQL["snapshot_roundtrip"] = with_(TX) + """
+SELECT CAST(date_trunc('month', date) AS DATE) AS snapshot_date, count(*) AS n FROM tx
+WHERE CAST(date_trunc('month', date) AS DATE) BETWEEN DATE '1999-01-01' AND DATE '2000-12-01' GROUP BY 1"""
+
+SQL["profile_decode"] = SQL["online_profiles"].rsplit("SELECT card_number AS key", 1)[0] + """
+SELECT card_number, coalesce(client_id, '') AS client_id, coalesce(card_id, '') AS card_id,
+       coalesce(card_brand, '') AS card_brand, coalesce(CAST(credit_limit AS VARCHAR), '') AS credit_limit,
+       coalesce(strftime(acct_open_date, '%Y-%m-%d'), '') AS acct_open_date
+FROM last"""
+
+SQL["imputation_values"] = with_(*GOLD_LABELS_CTES, """x AS (SELECT CAST(CAST(date AS TIMESTAMP) AS DATE) AS day,
+    trim(lower(merchant_state)) AS merchant_state, trim(lower(errors)) AS errors, use_chip FROM raw_tx
+    WHERE CAST(CAST(date AS TIMESTAMP) AS DATE) < DATE '2024-01-21')""", "g AS (SELECT * FROM gwl WHERE date < DATE '2024-01-21')") + "\nUNION ALL ".join(
+    [f"SELECT '{c}' AS column_name, (SELECT mode() WITHIN GROUP (ORDER BY {c}) FROM x) AS mode, CAST(NULL AS DOUBLE) AS mean"
+     for c in ["merchant_state", "errors", "use_chip"]]
+    + [f"SELECT '{c}', CAST(NULL AS VARCHAR), round((SELECT avg(CAST({c} AS DOUBLE)) FROM g), 6)" for c in STANDARDISE_COLUMNS])

@@ -665,6 +665,33 @@ def unix_seconds(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", C.local_to_unix_seconds("ts", "America/New_York").alias("unix_seconds"))
 
 
+# ------------------------------------------------------------ more sources
+def snapshot_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K1 + S2/S5/U1: write monthly snapshots in one pass (range 1996-2000), read back from 1999-01 on."""
+    path = stream_jobs.new_sink(spark, "snapshots")
+    files.write_snapshots(fx.transactions(spark, d), path, "date", start="1996-01-01", end="2000-12-31")
+    snap = files.read_snapshots(spark, path, start="1999-01-01")
+    return snap.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def profile_decode(spark: SparkSession, d: str) -> DataFrame:
+    """P20: online profile values decoded from JSON back into columns."""
+    kv = online_profiles(spark, d)
+    return online.from_key_value(kv, ["client_id", "card_id", "card_brand", "credit_limit", "acct_open_date"])
+
+
+def imputation_values(spark: SparkSession, d: str) -> DataFrame:
+    """Training mode (categorical, smallest on a tie) and mean (numeric) used for imputation."""
+    x = _prep_input(spark, d).filter(F.col("day") < F.lit(PREP_CUTOFF).cast("date"))
+    g = gold_with_labels(spark, d).filter(F.col("date") < F.lit(PREP_CUTOFF).cast("date"))
+    modes = prep.OneHot.fit(x, ONE_HOT_COLUMNS).modes
+    means = prep.Standardiser.fit(g, STANDARDISE_COLUMNS).params
+    rows = [(c, v, None) for c, v in modes.items()] + [(c, None, m) for c, (m, _) in means.items()]
+    return spark.createDataFrame(rows, "column_name string, mode string, mean double").select(
+        "column_name", "mode", F.round("mean", 6).alias("mean")
+    )
+
+
 QUERIES = {
     "gold_features": gold_features,
     "month_sequence": month_sequence,
@@ -730,6 +757,9 @@ QUERIES = {
     "stream_dedup": stream_dedup,
     "stream_bronze": stream_bronze,
     "unix_seconds": unix_seconds,
+    "snapshot_roundtrip": snapshot_roundtrip,
+    "profile_decode": profile_decode,
+    "imputation_values": imputation_values,
     "model_search": model_search,
     "model_eval": model_eval,
     "batch_scores": batch_scores,
