@@ -648,9 +648,15 @@ def model_eval(spark: SparkSession, d: str) -> DataFrame:
     return model.evaluate(scored, "label", "p1", 0.5, by="split_id")
 
 
+# M11 scores with a model fitted at fixed parameters; choosing them is M9/M10's job (model_eval)
+SCORING_PARAMS = {"C": 1.0, "penalty": "l2", "max_iter": 100}
+
+
 def batch_scores(spark: SparkSession, d: str) -> DataFrame:
     """Requests looked up, time features, prepared and scored: (transaction_id, probability, is_fraud)."""
-    trained, _, _ = _final_model(spark, d)
+    _, train, _ = _model_frames(spark, d)
+    trained = model.fit_final(train, "label", "transaction_id", MODEL_NUMERIC, MODEL_CATEGORICAL, "logistic",
+                              SCORING_PARAMS, seed=42, max_iter_cap=MODEL_ITER_CAP)
     req = silver.clean_transactions(fx.raw_transactions(spark, d)).withColumnRenamed("id", "transaction_id")
     cards = silver.clean_cards(fx.raw_cards(spark, d))
     users = silver.clean_users(fx.raw_users(spark, d))
