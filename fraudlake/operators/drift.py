@@ -13,7 +13,7 @@ import datetime as dt
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import running_sums
@@ -31,20 +31,16 @@ def _long_values(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
 
 def _psi_from_values(ref: DataFrame, cur: DataFrame, cols: dict[str, Column] | None = None,
                      cols_cur: dict[str, Column] | None = None, floor: float = PSI_FLOOR) -> DataFrame:
-    # each column's value counts sum to the side's row count: take the total from
-    # a per-column window over the (small) grouped counts instead of an extra job
-    per_col = Window.partitionBy("column_name")
-    rc = (_long_values(ref, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_ref"))
-          .withColumn("t_ref", F.sum("n_ref").over(per_col)))
-    cc = (_long_values(cur, cols_cur or cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_cur"))
-          .withColumn("t_cur", F.sum("n_cur").over(per_col)))
-    j = rc.join(cc, (rc.column_name == cc.column_name) & rc.value.eqNullSafe(cc.value), "full")
-    name = F.coalesce(rc.column_name, cc.column_name)
-    j = j.select(
-        name.alias("column_name"), "n_ref", "n_cur",
-        F.max("t_ref").over(Window.partitionBy(name)).alias("t_ref"),
-        F.max("t_cur").over(Window.partitionBy(name)).alias("t_cur"),
-    ).select(
+    # each column's value counts sum to the side's row count; the per-column totals
+    # table has one row per column (a bound we know), so it is broadcast back
+    rc = _long_values(ref, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_ref"))
+    cc = _long_values(cur, cols_cur or cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_cur"))
+    t_ref = rc.groupBy("column_name").agg(F.sum("n_ref").alias("t_ref"))
+    t_cur = cc.groupBy("column_name").agg(F.sum("n_cur").alias("t_cur"))
+    j = rc.join(cc, (rc.column_name == cc.column_name) & rc.value.eqNullSafe(cc.value), "full").select(
+        F.coalesce(rc.column_name, cc.column_name).alias("column_name"), "n_ref", "n_cur"
+    )
+    j = j.join(F.broadcast(t_ref), "column_name", "left").join(F.broadcast(t_cur), "column_name", "left").select(
         "column_name",
         F.greatest(F.coalesce(F.col("n_ref"), F.lit(0)).cast("double") / F.col("t_ref").cast("double"), F.lit(floor)).alias("p"),
         F.greatest(F.coalesce(F.col("n_cur"), F.lit(0)).cast("double") / F.col("t_cur").cast("double"), F.lit(floor)).alias("q"),
@@ -94,7 +90,7 @@ def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
         F.min(F.col("cum_n_ref") - F.col("n_ref")).alias("_br"), F.min(F.col("cum_n_cur") - F.col("n_cur")).alias("_bc"),
         F.sum("n_ref").alias("_tr"), F.sum("n_cur").alias("_tc"),
     )
-    j = cum.join(per_col, "column_name")
+    j = cum.join(F.broadcast(per_col), "column_name")  # one row per column
     f_ref = (F.col("cum_n_ref") - F.col("_br")).cast("double") / F.col("_tr").cast("double")
     f_cur = (F.col("cum_n_cur") - F.col("_bc")).cast("double") / F.col("_tc").cast("double")
     return j.groupBy("column_name").agg(F.max(F.abs(f_ref - f_cur)).alias("ks"))

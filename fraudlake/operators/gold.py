@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import pin_age_years, tenure_months
-from .joins import dimension_join
+from .joins import dimension_join, maybe_broadcast_all
 
 
 def add_time_features(df: DataFrame, tx_date: str = "date", open_date: str = "acct_open_date",
@@ -30,9 +30,10 @@ def build_features(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataF
     dimension is broadcast only when its measured size allows, otherwise the
     join shuffles on the key (AQE splits a hot card or client).
     """
-    out = dimension_join(tx, users, "client_id", "id")
-    out = dimension_join(out, cards, "card_id", "id", drop=("client_id",))
-    out = dimension_join(out, mcc, "mcc", "mcc_code")
+    users, cards, mcc = maybe_broadcast_all([users, cards, mcc])
+    out = dimension_join(tx, users, "client_id", "id", checked=True)
+    out = dimension_join(out, cards, "card_id", "id", drop=("client_id",), checked=True)
+    out = dimension_join(out, mcc, "mcc", "mcc_code", checked=True)
     return add_time_features(out)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -36,14 +38,23 @@ def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
+def maybe_broadcast_all(dims: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS,
+                        max_bytes: int = MAX_BROADCAST_BYTES) -> list[DataFrame]:
+    """``maybe_broadcast`` for several dimensions; the size checks run as concurrent jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
+        fits = list(pool.map(lambda d: fits_broadcast(d, max_rows, max_bytes), dims))
+    return [F.broadcast(d) if ok else d for d, ok in zip(dims, fits)]
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "left",
-                   drop: tuple[str, ...] = ()) -> DataFrame:
+                   drop: tuple[str, ...] = (), checked: bool = False) -> DataFrame:
     """Fact-to-dimension equi-join that keeps the fact's row count for unique dim keys.
 
     The dimension key and any ``drop`` columns are removed from the result, as the
-    gold step drops duplicate keys after each join.
+    gold step drops duplicate keys after each join. ``checked=True``: the caller
+    already applied the broadcast decision.
     """
-    d = maybe_broadcast(dim)
+    d = dim if checked else maybe_broadcast(dim)
     joined = fact.join(d, fact[fact_key] == d[dim_key], how)
     for c in (dim_key, *drop):
         joined = joined.drop(d[c])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.gold import add_time_features
+from ..operators.joins import maybe_broadcast
 from ..session import scratch_path
 
 
@@ -49,7 +50,8 @@ def enrich_stream(requests: DataFrame, profiles: DataFrame, key: str = "card_num
     fields and ``matched = 0`` so they can be routed to a reject sink.
     """
     clash = [c for c in profiles.columns if c in requests.columns and c != key]
-    prof = profiles.drop(*clash).withColumn("_found", F.lit(1))
+    # the stream must be the outer side; the static profiles are broadcast when measured small
+    prof = maybe_broadcast(profiles.drop(*clash).withColumn("_found", F.lit(1)))
     joined = requests.join(prof, key, "left")
     return add_time_features(joined).withColumn("matched", F.coalesce(F.col("_found"), F.lit(0))).drop("_found")
 
