@@ -49,25 +49,45 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        value = spark.sparkContext.getConf().get(key, None)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        value = None
+    return value or spark.conf.get(key, None)
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Connect session
+        return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001
+        return (spark.conf.get("spark.master", "") or "").startswith("local")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the operator (a shared filesystem);
     only a local-mode session (tests) gets a private temporary folder.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if conf_dir:
+    conf_dir = _conf(spark, "spark.checkpoint.dir")
+    if not conf_dir:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        conf_dir = tempfile.mkdtemp(prefix="fraudlake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    try:
         spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    local_dir = tempfile.mkdtemp(prefix="fraudlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local_dir)
-    spark.sparkContext.setCheckpointDir(local_dir)
-    return local_dir
+    except Exception:  # noqa: BLE001 - Connect sessions take the directory from the conf
+        pass
+    return conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

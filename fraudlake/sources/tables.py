@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import default_parallelism
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -29,5 +31,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
     df = spark.read.parquet(path)
     if os.path.isfile(path) and os.path.getsize(path) > SPREAD_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism, *df.columns[:2])
+        df = df.repartition(default_parallelism(spark), *df.columns[:2])
     return df
