@@ -22,35 +22,48 @@ PSI_FLOOR = 0.0001
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 
+SIDE = "_is_ref"
+
+
+def tag_sides(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """One frame of both sides with a reference flag (``_is_ref`` 1/0)."""
+    return ref.withColumn(SIDE, F.lit(1)).unionByName(cur.withColumn(SIDE, F.lit(0)))
+
+
 def _long_values(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """(column_name, value) pairs for the given column expressions."""
-    return df.select(F.explode(F.array(*[
+    """(side, column_name, value) triples for the given column expressions."""
+    return df.select(F.col(SIDE), F.explode(F.array(*[
         F.struct(F.lit(name).alias("column_name"), expr.cast("string").alias("value")) for name, expr in cols.items()
-    ])).alias("p")).select("p.*")
-
-
-def _psi_from_values(ref: DataFrame, cur: DataFrame, cols: dict[str, Column] | None = None,
-                     cols_cur: dict[str, Column] | None = None, floor: float = PSI_FLOOR) -> DataFrame:
-    # each column's value counts sum to the side's row count; the per-column totals
-    # table has one row per column (a bound we know), so it is broadcast back
-    rc = _long_values(ref, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_ref"))
-    cc = _long_values(cur, cols_cur or cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_cur"))
-    t_ref = rc.groupBy("column_name").agg(F.sum("n_ref").alias("t_ref"))
-    t_cur = cc.groupBy("column_name").agg(F.sum("n_cur").alias("t_cur"))
-    j = rc.join(cc, (rc.column_name == cc.column_name) & rc.value.eqNullSafe(cc.value), "full").select(
-        F.coalesce(rc.column_name, cc.column_name).alias("column_name"), "n_ref", "n_cur"
+    ])).alias("p")).select(SIDE, "p.*")
+
+
+def _psi(tagged: DataFrame, cols: dict[str, Column], floor: float = PSI_FLOOR) -> DataFrame:
+    """PSI per column from ONE pass over a side-tagged frame.
+
+    Counts of both sides come out of the same grouping (a value seen on one
+    side only counts 0 on the other); each column's counts sum to the side's
+    row count, taken from a per-column aggregate (one row per column, broadcast).
+    """
+    counts = _long_values(tagged, cols).groupBy("column_name", "value").agg(
+        F.count_if(F.col(SIDE) == 1).alias("n_ref"), F.count_if(F.col(SIDE) == 0).alias("n_cur")
     )
-    j = j.join(F.broadcast(t_ref), "column_name", "left").join(F.broadcast(t_cur), "column_name", "left").select(
+    totals = counts.groupBy("column_name").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
+    j = counts.join(F.broadcast(totals), "column_name").select(
         "column_name",
-        F.greatest(F.coalesce(F.col("n_ref"), F.lit(0)).cast("double") / F.col("t_ref").cast("double"), F.lit(floor)).alias("p"),
-        F.greatest(F.coalesce(F.col("n_cur"), F.lit(0)).cast("double") / F.col("t_cur").cast("double"), F.lit(floor)).alias("q"),
+        F.greatest(F.col("n_ref").cast("double") / F.col("t_ref").cast("double"), F.lit(floor)).alias("p"),
+        F.greatest(F.col("n_cur").cast("double") / F.col("t_cur").cast("double"), F.lit(floor)).alias("q"),
     )
     return j.groupBy("column_name").agg(F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))).alias("psi"))
 
 
+def psi_categorical_tagged(tagged: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:
+    """D1 on a side-tagged frame: ``(column_name, psi)``; NULL is a category."""
+    return _psi(tagged, {c: F.col(c) for c in cols}, floor)
+
+
 def psi_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:
     """``(column_name, psi)`` per categorical column (NULL is a category)."""
-    return _psi_from_values(ref, cur, {c: F.col(c) for c in cols}, floor=floor)
+    return psi_categorical_tagged(tag_sides(ref, cur), cols, floor)
 
 
 def decile_edges(ref: DataFrame, cols: list[str]) -> dict[str, list[float]]:
@@ -67,23 +80,24 @@ def bin_index(c: str, edges: list[float]) -> Column:
     return F.when(x.isNull(), F.lit(-1)).otherwise(idx)
 
 
+def psi_numeric_tagged(tagged: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:
+    """D2(a) on a side-tagged frame: PSI over bins at the reference deciles."""
+    edges = decile_edges(tagged.filter(F.col(SIDE) == 1), cols)
+    return _psi(tagged, {c: bin_index(c, edges[c]) for c in cols}, floor)
+
+
 def psi_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:
     """D2(a): PSI over bins at the reference deciles."""
-    edges = decile_edges(ref, cols)
-    binned = {c: bin_index(c, edges[c]) for c in cols}
-    return _psi_from_values(ref, cur, binned, floor=floor)
+    return psi_numeric_tagged(tag_sides(ref, cur), cols, floor)
 
 
-def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """D2(b): two-sample KS statistic per numeric column (NULLs ignored)."""
-    def side(df: DataFrame, is_ref: int) -> DataFrame:
-        return df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
-        ])).alias("p")).select("p.*").filter(F.col("v").isNotNull()).withColumn("is_ref", F.lit(is_ref))
-
-    both = side(ref, 1).unionByName(side(cur, 0))
-    g = both.groupBy("column_name", "v").agg(
-        F.count_if(F.col("is_ref") == 1).alias("n_ref"), F.count_if(F.col("is_ref") == 0).alias("n_cur")
+def ks_numeric_tagged(tagged: DataFrame, cols: list[str]) -> DataFrame:
+    """D2(b) on a side-tagged frame: two-sample KS statistic per column (NULLs ignored)."""
+    vals = tagged.select(F.col(SIDE), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
+    ])).alias("p")).select(SIDE, "p.*").filter(F.col("v").isNotNull())
+    g = vals.groupBy("column_name", "v").agg(
+        F.count_if(F.col(SIDE) == 1).alias("n_ref"), F.count_if(F.col(SIDE) == 0).alias("n_cur")
     )
     cum = running_sums(g, ["column_name", "v"], ["n_ref", "n_cur"])
     per_col = cum.groupBy("column_name").agg(
@@ -96,13 +110,17 @@ def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     return j.groupBy("column_name").agg(F.max(F.abs(f_ref - f_cur)).alias("ks"))
 
 
-def drift_report(ref: DataFrame, cur: DataFrame, num_cols: list[str], cat_cols: list[str], threshold: float = 0.2,
-                 share: float = 0.5) -> tuple[DataFrame, DataFrame]:
-    """Per-column PSI with a drift flag, and the dataset flag (share of drifted columns >= ``share``)."""
-    ref = ref.select(*num_cols, *cat_cols)
-    cur = cur.select(*num_cols, *cat_cols)
-    cols = psi_categorical(ref, cur, cat_cols).withColumn("kind", F.lit("categorical")).unionByName(
-        psi_numeric(ref, cur, num_cols).withColumn("kind", F.lit("numeric"))
+def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+    """D2(b): two-sample KS statistic per numeric column (NULLs ignored)."""
+    return ks_numeric_tagged(tag_sides(ref, cur), cols)
+
+
+def drift_report_tagged(tagged: DataFrame, num_cols: list[str], cat_cols: list[str], threshold: float = 0.2,
+                        share: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """D1-D4 on a side-tagged frame: per-column PSI with a drift flag, and the dataset flag."""
+    t = tagged.select(SIDE, *num_cols, *cat_cols)
+    cols = psi_categorical_tagged(t, cat_cols).withColumn("kind", F.lit("categorical")).unionByName(
+        psi_numeric_tagged(t, num_cols).withColumn("kind", F.lit("numeric"))
     ).withColumn("drifted", (F.col("psi") >= F.lit(threshold)).cast("int"))
     dataset = cols.agg(
         F.count(F.lit(1)).alias("n_columns"), F.sum("drifted").cast("long").alias("n_drifted"),
@@ -113,6 +131,13 @@ def drift_report(ref: DataFrame, cur: DataFrame, num_cols: list[str], cat_cols:
     return cols, dataset
 
 
+def drift_report(ref: DataFrame, cur: DataFrame, num_cols: list[str], cat_cols: list[str], threshold: float = 0.2,
+                 share: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """Per-column PSI with a drift flag, and the dataset flag (share of drifted columns >= ``share``)."""
+    cols = [*num_cols, *cat_cols]
+    return drift_report_tagged(tag_sides(ref.select(*cols), cur.select(*cols)), num_cols, cat_cols, threshold, share)
+
+
 def report_rows(columns: DataFrame, run_id: str | None = None, run_time: dt.datetime | None = None) -> DataFrame:
     """Report rows tagged with a run id and time, ready to append to a report table."""
     rid = run_id or uuid.uuid4().hex

@@ -444,36 +444,36 @@ DRIFT_NUMERIC = ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_
                  "num_cards_issued"]
 
 
-def _drift_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """reference = gold rows before the cutoff, current = from it on; configured columns only."""
+def _drift_frame(spark: SparkSession, d: str) -> DataFrame:
+    """Gold rows tagged reference (before the cutoff) or current (from it on); configured columns only.
+
+    One frame for both sides, so the gold join runs once per pass instead of once per side.
+    """
     g = gold_features(spark, d)
-    cols = [*DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
-    cut = F.lit(DRIFT_CUTOFF).cast("date")
-    return g.filter(F.col("date") < cut).select(*cols), g.filter(F.col("date") >= cut).select(*cols)
+    is_ref = (F.col("date") < F.lit(DRIFT_CUTOFF).cast("date")).cast("int")
+    return g.filter(F.col("date").isNotNull()).select(is_ref.alias(drift.SIDE), *DRIFT_NUMERIC, *DRIFT_CATEGORICAL)
 
 
 def psi_categorical(spark: SparkSession, d: str) -> DataFrame:
     """Categorical PSI, reference vs current."""
-    ref, cur = _drift_sides(spark, d)
-    return drift.psi_categorical(ref, cur, DRIFT_CATEGORICAL).select("column_name", F.round("psi", 6).alias("psi"))
+    out = drift.psi_categorical_tagged(_drift_frame(spark, d), DRIFT_CATEGORICAL)
+    return out.select("column_name", F.round("psi", 6).alias("psi"))
 
 
 def psi_numeric(spark: SparkSession, d: str) -> DataFrame:
     """D2(a): numeric PSI at reference deciles."""
-    ref, cur = _drift_sides(spark, d)
-    return drift.psi_numeric(ref, cur, DRIFT_NUMERIC).select("column_name", F.round("psi", 6).alias("psi"))
+    out = drift.psi_numeric_tagged(_drift_frame(spark, d), DRIFT_NUMERIC)
+    return out.select("column_name", F.round("psi", 6).alias("psi"))
 
 
 def ks_numeric(spark: SparkSession, d: str) -> DataFrame:
     """D2(b): two-sample KS statistic."""
-    ref, cur = _drift_sides(spark, d)
-    return drift.ks_numeric(ref, cur, DRIFT_NUMERIC).select("column_name", F.round("ks", 6).alias("ks"))
+    return drift.ks_numeric_tagged(_drift_frame(spark, d), DRIFT_NUMERIC).select("column_name", F.round("ks", 6).alias("ks"))
 
 
 def dataset_drift(spark: SparkSession, d: str) -> DataFrame:
     """D3: share of drifted columns (PSI >= 0.2) and the dataset flag (share >= 0.5)."""
-    ref, cur = _drift_sides(spark, d)
-    _, ds = drift.drift_report(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.2, share=0.5)
+    _, ds = drift.drift_report_tagged(_drift_frame(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.2, share=0.5)
     return ds.select("n_columns", "n_drifted", F.round("share", 6).alias("share"), "dataset_drift")
 
 
