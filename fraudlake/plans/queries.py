@@ -7,6 +7,8 @@ and aliased so the DuckDB twin in ``plans.oracle`` yields the same schema.
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -561,9 +563,8 @@ def prediction_range(spark: SparkSession, d: str) -> DataFrame:
     scored = fx.scored_events(spark, d).withColumn("prediction", metrics.predict("score", 0.5))
     path = stream_jobs.new_sink(spark, "prediction_log")
     files.append_table(stream_jobs.prediction_log(scored, "ts", "event_id", "prediction"), path, ["event_date"])
-    lo, hi = (F.unix_timestamp(F.lit(t).cast("timestamp")) for t in PREDICTION_WINDOW)
-    bounds = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
-    return files.read_predictions(spark.read.parquet(path), bounds["lo"], bounds["hi"]).select(
+    lo, hi = (calendar.timegm(dt.datetime.strptime(t, "%Y-%m-%d %H:%M:%S").timetuple()) for t in PREDICTION_WINDOW)
+    return files.read_predictions(spark.read.parquet(path), lo, hi).select(
         "event_time", "transaction_id", "is_fraud"
     )
 

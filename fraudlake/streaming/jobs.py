@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from ..operators.gold import add_time_features
 from ..operators.joins import maybe_broadcast
@@ -57,10 +57,18 @@ def enrich_stream(requests: DataFrame, profiles: DataFrame, key: str = "card_num
 
 
 def prediction_log(scored: DataFrame, time_col: str, id_col: str, label_col: str) -> DataFrame:
-    """Prediction records ``(event_time seconds, event_date, transaction_id, is_fraud)``."""
-    ts = F.col(time_col).cast("timestamp")
+    """Prediction records ``(event_time seconds, event_date, transaction_id, is_fraud)``.
+
+    A zone-less (``TIMESTAMP_NTZ``) time is read as UTC wall-clock time whatever
+    the session zone; a zoned timestamp is an instant already.
+    """
+    t = F.col(time_col)
+    if isinstance(scored.schema[time_col].dataType, TimestampNTZType):
+        seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), t)
+    else:
+        seconds = F.unix_timestamp(t)
     return scored.select(
-        F.unix_timestamp(ts).cast("long").alias("event_time"), F.to_date(ts).alias("event_date"),
+        seconds.cast("long").alias("event_time"), F.to_date(t).alias("event_date"),
         F.col(id_col).cast("string").alias("transaction_id"), F.col(label_col).cast("int").alias("is_fraud"),
     )
 
