@@ -24,16 +24,17 @@ def build_profiles(cards: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def last_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
-    """U4: the row with the greatest ``order`` tuple per key.
+    """U4: the row with the greatest ``order`` tuple per key (end ``order`` with a unique column).
 
-    A grouped ``max(struct(order..., row))`` runs with map-side partial
-    aggregation, so a hot key never gathers its rows in one task (a
-    ``row_number`` window would).
+    ``max_by(row, order)`` aggregates map-side first (partial aggregation;
+    Spark runs it sort-based since the buffer is a struct), so a hot key sends
+    one row per map task to the shuffle and never gathers its rows in one task
+    (a ``row_number`` window would).
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*rest).alias("_row"))
-    return df.groupBy(*keys).agg(F.max(packed).alias("_m")).select(*keys, "_m._row.*")
+    by = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_row")).select(*keys, "_row.*")
 
 
 def to_json_row(cols: list[str]) -> Column:
