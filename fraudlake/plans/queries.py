@@ -8,6 +8,7 @@ and aliased so the DuckDB twin in ``plans.oracle`` yields the same schema.
 from __future__ import annotations
 
 import calendar
+import random
 import datetime as dt
 import uuid
 
@@ -666,6 +667,20 @@ def batch_scores(spark: SparkSession, d: str) -> DataFrame:
     return out.select("transaction_id", F.round("p1", 6).alias("probability"), "is_fraud")
 
 
+GBT_ITER_CAP = 20
+
+
+def gbt_eval(spark: SparkSession, d: str) -> DataFrame:
+    """Boosted trees (positive-class weight 2.5) at one seeded draw from their space, per-split metrics."""
+    held_out, train, _ = _model_frames(spark, d)
+    params = model.draw(model.SPACES["gbt"], random.Random(42))
+    trained = model.fit_final(train, "label", "transaction_id", MODEL_NUMERIC, MODEL_CATEGORICAL, "gbt", params,
+                              seed=42, max_iter_cap=GBT_ITER_CAP)
+    every = train.withColumn("split_id", F.lit("train")).unionByName(held_out)
+    scored = trained.score(every.withColumn("label", F.col("label").cast("int")))
+    return model.evaluate(scored, "label", "p1", 0.5, by="split_id")
+
+
 def unix_seconds(spark: SparkSession, d: str) -> DataFrame:
     """Event wall-clock time in New York -> Unix seconds."""
     e = table(spark, d, "events")
@@ -770,4 +785,5 @@ QUERIES = {
     "model_search": model_search,
     "model_eval": model_eval,
     "batch_scores": batch_scores,
+    "gbt_eval": gbt_eval,
 }
