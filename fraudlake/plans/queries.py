@@ -706,7 +706,7 @@ def imputation_values(spark: SparkSession, d: str) -> DataFrame:
     """Training mode (categorical, smallest on a tie) and mean (numeric) used for imputation."""
     x = _prep_input(spark, d).filter(F.col("day") < F.lit(PREP_CUTOFF).cast("date"))
     g = gold_with_labels(spark, d).filter(F.col("date") < F.lit(PREP_CUTOFF).cast("date"))
-    modes = prep.OneHot.fit(x, ONE_HOT_COLUMNS).modes
+    modes = prep.OneHot.fit_modes(x, ONE_HOT_COLUMNS)
     means = prep.Standardiser.fit(g, STANDARDISE_COLUMNS).params
     rows = [(c, v, None) for c, v in modes.items()] + [(c, None, m) for c, (m, _) in means.items()]
     return spark.createDataFrame(rows, "column_name string, mode string, mean double").select(
