@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import neardup, quality
 from .store import read_table
 
 QUERIES = {}
@@ -21,6 +21,11 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents")).drop("host_rules")
 
 
+@query
+def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), k=3, share=(85, 100))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _rates = ",\n".join(
