@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import flat
-from .store import id_type, lookup_join, saved
+from .store import id_type, if_small, lookup_join, saved
 
 HASHES = 128
 ORDERS = 24
@@ -89,7 +89,8 @@ def sketch_texts(t: flat.Texts, k: int) -> dict:
             low = np.minimum.reduceat((h * _MULT[j] + _ADD[j]) >> np.uint64(32), at)
             sig[:, j] = flat.mix(low) & np.uint64(0xFFFF)
     rows = [None] * t.n
-    for i, row in zip(some, sig.astype(">u2")):
+    split = np.concatenate([sig >> np.uint16(8), sig & np.uint16(255)], axis=1).astype(np.uint8)
+    for i, row in zip(some, split):
         rows[i] = row.tobytes()
     return {"n_shingles": n.astype(np.int64), "fp1": fps[0], "fp2": fps[1], "sig": pa.array(rows, pa.binary())}
 
@@ -100,8 +101,18 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return flat.map_texts(docs, lambda own, t: {"doc_id": own[0]} | sketch_texts(t, k), schema)
 
 
+def _bytes(col: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, width)
+
+
 def _signatures(col: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), ">u2").reshape(-1, HASHES)
+    """The 16-bit values of signatures kept as all high bytes, then all low bytes."""
+    both = _bytes(col, 2 * HASHES).astype(np.uint16)
+    return both[:, :HASHES] << np.uint16(8) | both[:, HASHES:]
+
+
+#: The low bytes alone, which neighbours are compared by; chance adds 1 in 256 to an agreement.
+_LOW = F.expr(f"substring(sig, {HASHES + 1}, {HASHES})")
 
 
 def _turned(sig: np.ndarray, t: int) -> np.ndarray:
@@ -144,7 +155,7 @@ def _deeper(rows: DataFrame, depth: int, id_kind: str) -> DataFrame:
 
 
 def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Rows (rep, t, sig, region) of the regions that hold two classes or more, each of a bounded
+    """Rows (rep, t, low, region) of the regions that hold two classes or more, each of a bounded
     size; and pairs (a, b) of the first classes of cut-off parts with those of their regions."""
     kind = id_type(classes, "rep")
     placed = _place(classes, kind)
@@ -153,8 +164,8 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     rows = rows.join(classes.select("rep", "sig"), "rep").select("rep", "sig", F.explode("at").alias("p")).select("rep", "sig", "p.*")
     big = sizes.where(F.col("n") > REGION_ROWS)
     if not big.head(1):
-        return rows.select("rep", "t", "sig", "region"), None
-    done, pairs, depth = [rows.where(F.col("n") <= REGION_ROWS).select("rep", "t", "sig", "region")], [], MIN_DEPTH
+        return rows.select("rep", "t", _LOW.alias("low"), "region"), None
+    done, pairs, depth = [rows.where(F.col("n") <= REGION_ROWS).select("rep", "t", _LOW.alias("low"), "region")], [], MIN_DEPTH
     hot = saved(rows.where(F.col("n") > REGION_ROWS).select("rep", "t", "sig", "region", "first"), "crowded")
     while hot.head(1):
         depth = min(2 * depth, HASHES)
@@ -167,7 +178,7 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         pairs.append(lookup_join(sizes, firsts, "parent", "inner", rows=None).where("first <> root").select(F.least("first", "root").alias("a"), F.greatest("first", "root").alias("b")))
         sized = lookup_join(cut.drop("parent"), sizes.drop("parent"), "region", "inner", rows=None)
         more = (F.col("n") > REGION_ROWS) & F.lit(depth < HASHES)
-        done.append(sized.where((F.col("n") > 1) & ~more).select("rep", "t", "sig", "region"))
+        done.append(sized.where((F.col("n") > 1) & ~more).select("rep", "t", _LOW.alias("low"), "region"))
         hot = saved(sized.where(more).select("rep", "t", "sig", "region", "first"), "crowded")
     return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, pairs).distinct()
 
@@ -178,7 +189,7 @@ def _neighbours(rows: DataFrame, least: int, every: bool) -> DataFrame:
     ``every``: all of them; otherwise the best neighbour of each row, on either side.
     """
     kind = id_type(rows, "rep")
-    key = F.expr(f"concat(substring(sig, {2 * MIN_DEPTH} * t + 1), substring(sig, 1, {2 * MIN_DEPTH} * t))")
+    key = F.expr(f"concat(substring(low, {MIN_DEPTH} * t + 1), substring(low, 1, {MIN_DEPTH} * t))")
     rows = rows.withColumn("turned", key).select("region", "turned", "rep", "label")
     rows = rows.repartition("region").sortWithinPartitions("region", "turned", "rep")
 
@@ -187,7 +198,7 @@ def _neighbours(rows: DataFrame, least: int, every: bool) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            now = (b.column("region").to_numpy(), _signatures(b.column("turned")), b.column("rep").to_numpy(zero_copy_only=False), b.column("label").to_numpy(zero_copy_only=False))
+            now = (b.column("region").to_numpy(), _bytes(b.column("turned"), HASHES), b.column("rep").to_numpy(zero_copy_only=False), b.column("label").to_numpy(zero_copy_only=False))
             seen = 0 if tail is None else len(tail[0])
             region, sig, rep, label = now if tail is None else [np.concatenate(p) for p in zip(tail, now)]
             best, by = np.zeros(len(rep), np.int32), np.zeros(len(rep), np.int32)
@@ -223,7 +234,7 @@ def set_rows(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
         cut = np.searchsorted(owner, np.arange(t.n + 1))
         return {"rep": own[0], "shingles": pa.array([np.sort(h[a:b]).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())}
 
-    wanted = docs.select("doc_id", "text").join(ids.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    wanted = docs.select("doc_id", "text").join(if_small(ids.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
     return flat.map_texts(wanted, run, f"rep {id_type(docs)}, shingles binary").dropDuplicates(["rep"])
 
 
@@ -245,7 +256,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
 
     one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
+    return if_small(pairs.select("a", "b")).join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -310,7 +321,7 @@ def _labels(docs: DataFrame, classes: DataFrame, k: int, share: tuple[int, int])
     pairs = saved((pairs if ties is None else pairs.unionByName(ties)).distinct(), "pairs")
 
     # whoever has any candidate has a best one
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    ids = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "candidates")
     sets = saved(set_rows(docs, ids, k), "sets")
     checked = saved(_confirm(pairs, sets, share), "checked")
     labels = saved(components(checked.where("linked")), "labels")
@@ -318,6 +329,7 @@ def _labels(docs: DataFrame, classes: DataFrame, k: int, share: tuple[int, int])
     in_play = places.join(ids, "rep", "left_semi").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     across = _neighbours(in_play, least, True).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     across = across.join(checked, ["a", "b"], "left_anti")
+    across = saved(across, "pairs_across")
     last = saved(_confirm(across, sets, share).where("linked"), "links_across")
     if not last.head(1):
         return labels

@@ -42,6 +42,11 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     return salted.join(copies, [key, "__salt"], how).drop("__salt")
 
 
+def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a written frame of narrow rows for broadcast if it has so few; else it is shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def id_type(df: DataFrame, name: str = "doc_id") -> str:
     return df.schema[name].dataType.simpleString()
 
