@@ -111,8 +111,9 @@ def _signatures(col: pa.Array) -> np.ndarray:
     return both[:, :HASHES] << np.uint16(8) | both[:, HASHES:]
 
 
-#: The low bytes alone, which neighbours are compared by; chance adds 1 in 256 to an agreement.
-_LOW = F.expr(f"substring(sig, {HASHES + 1}, {HASHES})")
+def _low():
+    """The low bytes alone, which neighbours are compared by; chance adds 1 in 256 to an agreement."""
+    return F.expr(f"substring(sig, {HASHES + 1}, {HASHES})").alias("low")
 
 
 def _turned(sig: np.ndarray, t: int) -> np.ndarray:
@@ -164,8 +165,8 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     rows = rows.join(classes.select("rep", "sig"), "rep").select("rep", "sig", F.explode("at").alias("p")).select("rep", "sig", "p.*")
     big = sizes.where(F.col("n") > REGION_ROWS)
     if not big.head(1):
-        return rows.select("rep", "t", _LOW.alias("low"), "region"), None
-    done, pairs, depth = [rows.where(F.col("n") <= REGION_ROWS).select("rep", "t", _LOW.alias("low"), "region")], [], MIN_DEPTH
+        return rows.select("rep", "t", _low(), "region"), None
+    done, pairs, depth = [rows.where(F.col("n") <= REGION_ROWS).select("rep", "t", _low(), "region")], [], MIN_DEPTH
     hot = saved(rows.where(F.col("n") > REGION_ROWS).select("rep", "t", "sig", "region", "first"), "crowded")
     while hot.head(1):
         depth = min(2 * depth, HASHES)
@@ -178,7 +179,7 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         pairs.append(lookup_join(sizes, firsts, "parent", "inner", rows=None).where("first <> root").select(F.least("first", "root").alias("a"), F.greatest("first", "root").alias("b")))
         sized = lookup_join(cut.drop("parent"), sizes.drop("parent"), "region", "inner", rows=None)
         more = (F.col("n") > REGION_ROWS) & F.lit(depth < HASHES)
-        done.append(sized.where((F.col("n") > 1) & ~more).select("rep", "t", _LOW.alias("low"), "region"))
+        done.append(sized.where((F.col("n") > 1) & ~more).select("rep", "t", _low(), "region"))
         hot = saved(sized.where(more).select("rep", "t", "sig", "region", "first"), "crowded")
     return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, pairs).distinct()
 
