@@ -35,7 +35,7 @@ from .store import id_type, if_small, lookup_join, saved
 HASHES = 128
 ORDERS = 24
 MIN_DEPTH = 4
-REGION_ROWS = 4096
+REGION_ROWS = 1024
 WINDOW = 32
 PICKS = 2
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, quality
+from . import decontam, langid, neardup, quality, toxicity
 from .store import read_table
 
 QUERIES = {}
@@ -21,11 +21,26 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents")).drop("host_rules")
 
 
+@query
+def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), k=3, share=(85, 100))
 
 
+@query
+def op4_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(read_table(spark, sf_dir, "documents"))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _rates = ",\n".join(
