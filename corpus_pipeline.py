@@ -14,6 +14,10 @@ from fraudlake.llm.store import read_table, saved
 
 STAGES = [
     ("quality_rules", stages.quality_rules),
+    ("near_dedup", stages.near_dedup),
+    ("decontaminate", stages.decontaminate),
+    ("secret_scan", stages.secret_scan),
+    ("bpe_round_trip", stages.bpe_round_trip),
 ]
 
 #: SQL cannot express the stages; tests/llm holds them against brute force.

@@ -7,6 +7,8 @@ texts; each hit fixes a diagonal (offset of the text against the item), along wh
 stretch with at least 80 % equal tokens is measured. A text is contaminated by an item if that
 stretch is 13 tokens, or 80 % of a shorter item.
 
+Tokens are runs of letters and digits in lower case, so punctuation never hides a passage.
+
 Defined results: null or empty texts and items match nothing; items shorter than a mask are
 searched by their whole token sequence; repeated items are each reported, a repeated doc_id
 once per item; rows without an id are not reported; extra columns are ignored.
@@ -34,10 +36,18 @@ MISS = 4
 FILTER_SEEDS = 2_000_000
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
 def _tokens(t: flat.Texts) -> tuple[np.ndarray, np.ndarray]:
-    t = t.lowered()
-    starts, ends, doc = t.words()
-    return flat.hash_spans(t.buf, starts, ends), doc
+    """Hashes and text index of the tokens: runs of letters and digits of texts in lower case."""
+    starts, ends = t.runs(_LETTER[t.buf])
+    return flat.hash_spans(t.buf, starts, ends), t.owner(starts)
+
+
+def _lower(column: str):
+    return F.lower(F.col(column).cast("string"))
 
 
 def seeds(words: np.ndarray, doc: np.ndarray, lengths: tuple[int, ...] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -64,10 +74,10 @@ def item_seeds(items: DataFrame) -> DataFrame:
             got += [(h[keep], at[keep]) for h, at in list(seeds(words, doc, (n,)))[-1:] for keep in [count[doc[at]] == n] if n <= len(words)]
         h = np.concatenate([x for x, _ in got]) if got else np.zeros(0, np.uint64)
         at = np.concatenate([x for _, x in got]) if got else np.zeros(0, np.int64)
-        return {"h": h.view(np.int64), "item_id": own[0].take(pa.array(doc[at])), "pos": (at - first[doc[at]]).astype(np.int64)}
+        return {"h": h.view(np.int64), "item_id": own[0].take(pa.array(doc[at])), "pos": (at - first[doc[at]]).astype(np.int64), "n": count[doc[at]]}
 
-    rows = items.where("item_id is not null and text is not null")
-    return flat.map_texts(rows, run, f"h long, item_id {id_type(items, 'item_id')}, pos long", carry=("item_id",))
+    rows = items.where("item_id is not null and text is not null").select("item_id", _lower("text").alias("text"))
+    return flat.map_texts(rows, run, f"h long, item_id {id_type(items, 'item_id')}, pos long, n long", carry=("item_id",))
 
 
 def text_seeds(docs: DataFrame, lengths: tuple[int, ...], wanted) -> DataFrame:
@@ -92,7 +102,7 @@ def text_seeds(docs: DataFrame, lengths: tuple[int, ...], wanted) -> DataFrame:
         h, at = np.concatenate(hs), np.concatenate(ats)
         return {"h": h.view(np.int64), "doc_id": own[0].take(pa.array(doc[at])), "pos": (at - first[doc[at]]).astype(np.int64)}
 
-    rows = docs.where("doc_id is not null and text is not null")
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", _lower("text").alias("text"))
     return flat.map_texts(rows, run, f"h long, doc_id {id_type(docs)}, pos long")
 
 
@@ -126,8 +136,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per contaminated (doc_id, item_id): n_item_words, run_words, matched_words, overlap."""
     spark = docs.sparkSession
     found = saved(item_seeds(items), "item_seeds")
-    sizes = items.select(F.size(F.expr(r"regexp_extract_all(text, '[^ \\t-\\r]+', 0)")).alias("n"))
-    lengths = tuple(r.n for r in sizes.where(F.col("n").between(1, SPAN - 1)).distinct().collect())  # SPAN - 1 values at most
+    lengths = tuple(r.n for r in found.where(F.col("n") < SPAN).select("n").distinct().collect())  # SPAN - 1 values at most
     distinct = found.select("h").distinct()
     few = distinct.limit(FILTER_SEEDS + 1).count() <= FILTER_SEEDS
     wanted = None
@@ -135,12 +144,12 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         wanted = spark.sparkContext.broadcast(np.sort(distinct.toPandas()["h"].to_numpy(np.int64).view(np.uint64)))
         if not len(wanted.value):
             wanted = spark.sparkContext.broadcast(np.zeros(1, np.uint64))
-    hits = text_seeds(docs, lengths, wanted).join(if_small(found.withColumnRenamed("pos", "at")), "h")
+    hits = text_seeds(docs, lengths, wanted).join(if_small(found.select("h", "item_id", F.col("pos").alias("at"))), "h")
     pairs = hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.col("pos") - F.col("at")).alias("diagonals"))
     pairs = saved(pairs, "leak_pairs")
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = docs.select("doc_id", _lower("text").alias("text"))
     texts = texts.join(if_small(pairs.select("doc_id").distinct()), "doc_id", "left_semi")
-    named = items.select("item_id", F.col("text").cast("string").alias("item"))
+    named = items.select("item_id", _lower("text").alias("item"))
     named = named.join(pairs.select("item_id").distinct(), "item_id", "left_semi").dropDuplicates()
     rows = pairs.join(if_small(named, BROADCAST_ROWS // 100), "item_id").join(texts, "doc_id").select("doc_id", "item_id", "diagonals", "item", "text")
     kinds = id_type(docs), id_type(items, "item_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, neardup, quality, toxicity
+from . import bpe, decontam, langid, neardup, quality, secrets, tokencount, toxicity
 from .store import read_table
 
 QUERIES = {}
@@ -36,6 +36,21 @@ def op4_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(read_table(spark, sf_dir, "documents"), bpe.default_path(), limit=512)
+
+
+@query
+def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), bpe.default_path())
+
+
 @query
 def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(read_table(spark, sf_dir, "documents"))

@@ -9,15 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import bpe, decontam, neardup, quality, secrets
+from .store import if_small, read_table, saved
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id isn't in ``gone``; rows without an id stay."""
-    ids = gone.select(F.col("doc_id").alias("__gone")).where(F.col("__gone").isNotNull()).distinct()
-    return docs.join(ids, docs["doc_id"] == ids["__gone"], "left_anti")
+    ids = saved(gone.select(F.col("doc_id").alias("__gone")).where(F.col("__gone").isNotNull()).distinct(), "gone")
+    return docs.join(if_small(ids), docs["doc_id"] == F.col("__gone"), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality.keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: that with the smallest doc_id, once."""
+    return _without(docs, neardup.near_duplicates(docs).where(~F.col("kept")))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return _without(docs, decontam.overlaps(docs, read_table(spark, sf_dir, "benchmark")))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; the documents stay."""
+    return secrets.redact(docs)
+
+
+def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, token ids and the decoded text of every document."""
+    return bpe.encode(docs, bpe.default_path())
