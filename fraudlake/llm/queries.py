@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, neardup, quality, secrets, tokencount, toxicity
+from . import attention, bpe, decontam, langid, neardup, quality, secrets, tokencount, toxicity
 from .store import read_table
 
 QUERIES = {}
@@ -46,6 +46,11 @@ def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), bpe.default_path())
