@@ -36,7 +36,7 @@ PIECES = 126
 END, OTHER, START, PAD = 0, 1, PIECES + 2, PIECES + 3
 IDS = PIECES + 2
 WIDTH, HIDDEN, BLOCK = 16, 32, 16
-EVERY, ROUNDS, STEPS, BATCH = 256, 3, 300, 128
+EVERY, ROUNDS, STEPS, BATCH = 512, 2, 300, 128
 FREQUENT = 1 << 20
 #: Parts in which the tasks' weights are summed before they reach the driver.
 PARTS = 16

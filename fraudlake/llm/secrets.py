@@ -3,8 +3,8 @@
 Base spans come from three patterns. Further spans come from two character Markov models, one
 of random strings and one of ordinary identifiers, learned from all texts: the values that the
 patterns find are samples of the first, other long runs of the second. A run is a secret
-(kind ``markov``) if its log-likelihood ratio is high enough, it has a letter and it overlaps
-no base span. Positions count code points; a span's end is exclusive.
+(kind ``markov``) if its log-likelihood ratio is high enough, it has a letter and a digit and
+it overlaps no base span; texts without a digit are not searched for runs. Positions count code points; a span's end is exclusive.
 
 Spark finds the matches of a pattern but not their places, so a text is split at the pattern
 too, and the places are running sums of the lengths of pieces and matches.
@@ -20,17 +20,18 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The patterns, the group that is the value, and its least length.
+# The patterns, the group that is the value, and its least length. The last two
+# take whole runs, so their least length can stand in the pattern and short runs cost nothing.
 PATTERNS = {
     "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
-    "access": (r"AKIA[A-Z0-9]+", 0, 20),
-    "hex": (r"[0-9a-f]+", 0, 24),
+    "access": (r"AKIA[A-Z0-9]{16,}+", 0, 20),
+    "hex": (r"[0-9a-f]{24,}+", 0, 24),
 }
 #: What makes a pattern's match possible at all; cheap to look for.
-HINTS = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
+HINTS = {"assign": "[:=]", "access": "AKIA", "hex": "[0-9a-f]{24}", "markov": "[0-9]"}
 KINDS = [*PATTERNS, "markov"]
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
+RUN = r"[A-Za-z0-9+/_=-]{16,}+"
 #: Least ratio of a run, in nats per pair of characters, and in all.
 MEAN_RATIO, SUM_RATIO = 1.0, 20.0
 SMOOTH = 0.5
@@ -41,15 +42,17 @@ _SPAN = "array<struct<s:int,k:int,e:int,v:string>>"
 def _spans(text: Column, pattern: str, hint: str, group: int, kind: int) -> Column:
     """All leftmost non-overlapping matches as (s, k, e, v): start, kind, end, value."""
     p = F.lit(pattern)
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, p, F.lit(0)).alias("hit"), F.regexp_extract_all(text, p, F.lit(group)).alias("v"))
-    parts = F.filter(parts, lambda x: x["hit"].isNotNull())
+    cols = [F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, p, F.lit(0)).alias("hit")]
+    if group:
+        cols.append(F.regexp_extract_all(text, p, F.lit(group)).alias("v"))
+    parts = F.filter(F.arrays_zip(*cols), lambda x: x["hit"].isNotNull())
     empty = F.array().cast(_SPAN)
     begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + F.length(x["gap"])
         e = s + F.length(x["hit"])
-        one = F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"), x["v"].alias("v"))
+        one = F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"), x["v" if group else "hit"].alias("v"))
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
     return F.when(text.rlike(hint), F.aggregate(parts, begin, step, lambda acc: acc["out"])).otherwise(empty)
@@ -61,7 +64,7 @@ def _base(text: Column, kind: str) -> Column:
 
 
 def _runs(text: Column) -> Column:
-    return F.filter(_spans(text, RUN, "[A-Za-z0-9+/_=-]{16}", 0, KINDS.index("markov")), lambda x: x["v"].rlike("[A-Za-z]"))
+    return F.filter(_spans(text, RUN, HINTS["markov"], 0, KINDS.index("markov")), lambda x: x["v"].rlike("[A-Za-z]"))
 
 
 def _apart(runs: Column, base: Column) -> Column:
@@ -78,8 +81,8 @@ def with_candidates(docs: DataFrame) -> DataFrame:
 def learn(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratios of the pairs of LETTERS; at most 2 * len(LETTERS)**2 counts are brought here."""
     spans = with_candidates(docs.select("text"))
-    values = lambda c, y: spans.select(F.explode(f"{c}.v").alias("v")).select("v", F.lit(y).alias("y"))
-    tokens = values("__base", 1).unionByName(values("__runs", 0)).groupBy("v").agg(F.max("y").alias("y"))
+    marked = lambda c, y: F.transform(c, lambda x: F.struct(x["v"].alias("v"), F.lit(y).alias("y")))
+    tokens = spans.select(F.explode(F.concat(marked("__base", 1), marked("__runs", 0))).alias("t")).groupBy("t.v").agg(F.max("t.y").alias("y"))
     pairs = tokens.select("y", F.explode(F.expr("transform(sequence(1, greatest(length(v) - 1, 1)), i -> substring(v, i, 2))")).alias("pair"))
     counts = pairs.where(F.length("pair") == 2).groupBy("y", "pair").count().collect()
     n = np.full((2, len(LETTERS), len(LETTERS)), SMOOTH)
@@ -103,7 +106,7 @@ def _scored(runs: Column, ratios: np.ndarray) -> Column:
         at = F.sequence(F.lit(1), F.length(v) - 1)
         return F.aggregate(at, F.lit(0.0), lambda acc, i: acc + F.element_at(table, (code(v, i) - 1) * n + code(v, i + 1)))
 
-    return F.filter(runs, lambda r: total(r["v"]) >= F.greatest(F.lit(SUM_RATIO), MEAN_RATIO * (F.length(r["v"]) - 1)))
+    return F.filter(runs, lambda r: r["v"].rlike("[0-9]") & (total(r["v"]) >= F.greatest(F.lit(SUM_RATIO), MEAN_RATIO * (F.length(r["v"]) - 1))))
 
 
 def _joined(spans: Column) -> Column:
