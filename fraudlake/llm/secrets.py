@@ -2,7 +2,8 @@
 
 Base spans come from three patterns. Further spans come from two character Markov models, one
 of random strings and one of ordinary identifiers, learned from all texts: the values that the
-patterns find are samples of the first, other long runs of the second. A run is a secret
+patterns find are samples of the first, other long runs with at most one group of digits of the
+second. A run is a secret
 (kind ``markov``) if its log-likelihood ratio is high enough, it has a letter and a digit and
 it overlaps no base span; texts without a digit are not searched for runs. Positions count code points; a span's end is exclusive.
 
@@ -81,8 +82,9 @@ def with_candidates(docs: DataFrame) -> DataFrame:
 def learn(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratios of the pairs of LETTERS; at most 2 * len(LETTERS)**2 counts are brought here."""
     spans = with_candidates(docs.select("text"))
+    plain = F.filter("__runs", lambda x: ~x["v"].rlike("[0-9][^0-9]+[0-9]"))
     marked = lambda c, y: F.transform(c, lambda x: F.struct(x["v"].alias("v"), F.lit(y).alias("y")))
-    tokens = spans.select(F.explode(F.concat(marked("__base", 1), marked("__runs", 0))).alias("t")).groupBy("t.v").agg(F.max("t.y").alias("y"))
+    tokens = spans.select(F.explode(F.concat(marked("__base", 1), marked(plain, 0))).alias("t")).groupBy("t.v").agg(F.max("t.y").alias("y"))
     pairs = tokens.select("y", F.explode(F.expr("transform(sequence(1, greatest(length(v) - 1, 1)), i -> substring(v, i, 2))")).alias("pair"))
     counts = pairs.where(F.length("pair") == 2).groupBy("y", "pair").count().collect()
     n = np.full((2, len(LETTERS), len(LETTERS)), SMOOTH)
