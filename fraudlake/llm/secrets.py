@@ -34,7 +34,7 @@ KINDS = [*PATTERNS, "markov"]
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 RUN = r"[A-Za-z0-9+/_=-]{16,}+"
 #: Least ratio of a run, in nats per pair of characters, and in all.
-MEAN_RATIO, SUM_RATIO = 1.0, 20.0
+MEAN_RATIO, SUM_RATIO = 0.5, 10.0
 SMOOTH = 0.5
 
 _SPAN = "array<struct<s:int,k:int,e:int,v:string>>"

@@ -213,14 +213,26 @@ def test_secret_spans(awkward, empty):
         x += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
         s = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(x))
         assert got[i].base_sha256 == hashlib.sha256(s.encode()).hexdigest()
-    found = [got[i] for i, t, *_ in rows if t and "Zk3xQ9vL2mT8pW4rY7sB" in t]
-    assert found[0].n_markov == 1
     clean = secrets.redact(docs)
     assert clean.columns == docs.columns and clean.count() == len(rows)
     assert not [r for r in clean.collect() if r.text and ("0a0a0a" in r.text or "AKIA" in r.text)]
     assert secrets.scan(empty).count() == 0
 
 
+def test_markov_models_tell_random_runs_from_identifiers(spark):
+    random.seed(9)
+    parts = "load user index table parser config record value stream writer".split()
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    plain = ["_".join(random.choice(parts) for _ in range(4)) + str(i % 100) for i in range(400)]
+    rand = ["".join(random.choice(alphabet) for _ in range(32)) for _ in range(400)]
+    rows = [(i, f"call {p} with token={r}") for i, (p, r) in enumerate(zip(plain, rand))]
+    rows += [(1000, "see Zk3xQ9vL2mT8pW4rY7sBn5Xc here"), (1001, "see config_parser_table_index7 here"), (1002, "card 4785380592391120111 only")]
+    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1000].spans == "markov:4:28"
+    assert got[1001].n_markov == got[1002].n_markov == 0
+    assert sum(got[i].n_markov for i in range(400)) == 0 and all(got[i].n_assign == 1 for i in range(400))
+
+
 @pytest.mark.parametrize("frequent", [1 << 20, 20])
 def test_language_model_counts(awkward, empty, monkeypatch, frequent):
     monkeypatch.setattr(attention, "FREQUENT", frequent)  # 20: nearly all words are joined
