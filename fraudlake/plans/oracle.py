@@ -224,8 +224,8 @@ SQL["orphan_report"] = with_(TX, CARDS, USERS, MCC, LABELS, """orph AS (
   SELECT 'labels_to_tx' AS check_name, k FROM (SELECT DISTINCT transaction_id AS k FROM silver_labels WHERE transaction_id IS NOT NULL)
     WHERE k NOT IN (SELECT CAST(event_id AS VARCHAR) FROM events WHERE event_id % 11 <> 0)
   UNION ALL
-  SELECT 'tx_client_to_users', k FROM (SELECT DISTINCT client_id AS k FROM tx WHERE client_id IS NOT NULL)
-    WHERE k NOT IN (SELECT id FROM users WHERE CAST(id AS BIGINT) % 11 <> 0)
+  SELECT 'tx_client_to_cards', k FROM (SELECT DISTINCT client_id AS k FROM tx WHERE client_id IS NOT NULL)
+    WHERE k NOT IN (SELECT client_id FROM cards WHERE CAST(client_id AS BIGINT) % 11 <> 0)
   UNION ALL
   SELECT 'cards_client_to_users', k FROM (SELECT DISTINCT client_id AS k FROM cards WHERE client_id IS NOT NULL)
     WHERE k NOT IN (SELECT id FROM users WHERE CAST(id AS BIGINT) % 11 <> 0)
@@ -235,7 +235,7 @@ SQL["orphan_report"] = with_(TX, CARDS, USERS, MCC, LABELS, """orph AS (
   UNION ALL
   SELECT 'tx_mcc_to_mcc', k FROM (SELECT DISTINCT mcc AS k FROM tx WHERE mcc IS NOT NULL)
     WHERE k NOT IN (SELECT mcc_code FROM mcc WHERE CAST(mcc_code AS BIGINT) % 11 <> 0))""", """names AS (
-  SELECT * FROM (VALUES ('labels_to_tx'), ('tx_client_to_users'), ('cards_client_to_users'),
+  SELECT * FROM (VALUES ('labels_to_tx'), ('tx_client_to_cards'), ('cards_client_to_users'),
                         ('tx_card_to_cards'), ('tx_mcc_to_mcc')) v(check_name))""") + """
 SELECT n.check_name, count(o.k) AS missing,
        coalesce((SELECT string_agg(k, ',' ORDER BY k) FROM (SELECT k FROM orph o2 WHERE o2.check_name = n.check_name ORDER BY k LIMIT 5)), '') AS examples

@@ -162,7 +162,7 @@ def orphan_report(spark: SparkSession, d: str) -> DataFrame:
     drop11 = lambda df, k: df.filter(F.col(k).cast("long") % 11 != 0)
     checks = [
         ("labels_to_tx", _silver_labels(spark, d), "transaction_id", drop11(ev_tx, "transaction_id"), "transaction_id"),
-        ("tx_client_to_users", tx, "client_id", drop11(users, "id"), "id"),
+        ("tx_client_to_cards", tx, "client_id", drop11(cards, "client_id"), "client_id"),
         ("cards_client_to_users", cards, "client_id", drop11(users, "id"), "id"),
         ("tx_card_to_cards", tx, "card_id", drop11(cards, "id"), "id"),
         ("tx_mcc_to_mcc", tx, "mcc", drop11(mcc, "mcc_code"), "mcc_code"),

@@ -45,7 +45,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -
     """
     reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
     if columns is not None:
-        reader = reader.schema(string_schema(columns))
+        reader = reader.schema(string_schema(columns)).option("enforceSchema", "false")
     return reader.csv(path)
 
 
@@ -166,7 +166,8 @@ def read_predictions(df: DataFrame, start_s: int, end_s: int, time_col: str = "e
     """
     cond = F.col(time_col).between(F.lit(int(start_s)), F.lit(int(end_s)))
     if "event_date" in df.columns:
-        lo = F.to_date(F.timestamp_seconds(F.lit(int(start_s))))
-        hi = F.to_date(F.timestamp_seconds(F.lit(int(end_s))))
+        # a day is added on both sides: event_date may follow another time zone; time_col decides
+        lo = F.date_sub(F.to_date(F.timestamp_seconds(F.lit(int(start_s)))), 1)
+        hi = F.date_add(F.to_date(F.timestamp_seconds(F.lit(int(end_s)))), 1)
         cond = F.col("event_date").between(lo, hi) & cond
     return df.filter(cond).orderBy(time_col, "transaction_id")
