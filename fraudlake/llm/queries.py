@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, bpe, decontam, langid, neardup, quality, secrets, tokencount, toxicity
+from . import attention, bpe, decontam, langid, neardup, pii, quality, secrets, tokencount, toxicity
 from .store import read_table
 
 QUERIES = {}
@@ -41,6 +41,11 @@ def op5_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(read_table(spark, sf_dir, "documents"), bpe.default_path(), limit=512)
 
 
+@query
+def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"), pii.session_key(spark))
+
+
 @query
 def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read_table(spark, sf_dir, "documents"))

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from fraudlake.llm import attention, bpe, decontam, flat, langid, neardup, quality, secrets, stages, tokencount, toxicity, vocab
+from fraudlake.llm import attention, bpe, decontam, flat, langid, neardup, pii, quality, secrets, stages, tokencount, toxicity, vocab
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -323,3 +323,61 @@ def test_pipeline_equals_brute_force(spark):
     assert set(got) == left - leaked
     assert all(not ASSIGN.search(t) or "[secret]" in t or all(len(m[2]) < 6 for m in ASSIGN.finditer(t)) for t in got.values())
     assert json.dumps(sorted(got))
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 997])
+def test_feistel_is_a_bijection(n):
+    got = [pii.permute(x, n, b"k", "t") for x in range(n)]
+    assert sorted(got) == list(range(n))
+    assert [pii.permute(y, n, b"k", "t", back=True) for y in got] == list(range(n))
+
+
+VALID = {
+    "email": ["ann.lee7@mail.example.org", "zoë.1@x.example"],
+    "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"],
+    "card": ["4111111111111111", "4111 1111 1111 1111", "378282246310005"],
+    "date": ["2024-02-29", "1/5/2024", "25/12/1999", "31.12.2001"],
+    "ssn": ["123-45-6789"],
+    "ip": ["8.8.4.4", "192.168.0.1", "240.56.125.154"],
+    "phone": ["+1 (974) 555-3436", "(974) 555-3436", "+49 30 1234567", "+1 (017) 555-7713"],
+}
+INVALID = ["4111111111111112", "DE88 3704 0044 0532 0130 00", "2023-02-29", "13/13/2020", "666-45-6789", "300.1.2.3", "1.02.3.4", "12345", "1" * 16, "x4111111111111111"]
+
+
+def test_pseudonyms_keep_formats_and_links(spark, awkward, empty):
+    docs, rows = awkward
+    planted = [(1000 + i, f"Zu {a}, é {b}. und {a}\n", "en", "s0", 1, True, "h")
+               for i, (a, b) in enumerate([(v, w) for vs in VALID.values() for v in vs for w in ("end", "x" * 3000)])]
+    planted += [(2000 + i, f"see {t} here", "en", "s0", 1, True, "h") for i, t in enumerate(INVALID)]
+    given = spark.createDataFrame(rows + planted, DDL)
+    report = {r.doc_id: r for r in pii.report(given, "a key").collect()}
+    names = {}
+    kinds = [(k, v) for k, vs in VALID.items() for v in vs for _ in range(2)]
+    for (i, text, *_), (kind, value) in zip(planted, kinds, strict=False):
+        r = report[i]
+        at = [m.start() for m in re.finditer(re.escape(value), text)]
+        assert r.spans == ",".join(f"{kind}:{s}:{s + len(value)}" for s in at)
+        assert r[f"n_{kind}"] == 2 and len(set(r.pseudonyms)) == 1 and value not in r.text
+        assert r.text == text.replace(value, r.pseudonyms[0])
+        assert re.sub("[0-9]+", "9", r.pseudonyms[0]).translate(str.maketrans("", "", "".join(pii.ALPHABETS))) == re.sub("[0-9]+", "9", value).translate(
+            str.maketrans("", "", "".join(pii.ALPHABETS)))
+        assert names.setdefault(value, r.pseudonyms[0]) == r.pseudonyms[0]
+        assert pii.spans(r.pseudonyms[0]) == [(0, len(r.pseudonyms[0]), kind)]
+    assert names["4111111111111111"] == names["4111 1111 1111 1111"].replace(" ", "")  # linked in either notation
+    assert names["(974) 555-3436"] == names["+1 (974) 555-3436"][3:]
+    for i, text, *_ in planted[len(kinds):]:
+        assert (report[i].spans, report[i].text) == ("", text)
+    new = pii.pseudonymise(given, "a key")
+    assert new.columns == given.columns
+    back = pii.restore(new, "a key").drop("n_chars")
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, given.drop("n_chars").collect()))
+    assert sorted(map(repr, pii.pseudonymise(given, "another").collect())) != sorted(map(repr, new.collect()))
+    linked = {r.pseudonym: r.n_docs for r in pii.links(pii.report(given, "a key")).collect()}
+    assert {names[v]: 2 for v in VALID["ip"]}.items() <= linked.items()
+    assert pii.report(empty, "k").count() == 0 and pii.pseudonymise(empty, "k").count() == 0
+
+
+def test_pseudonyms_round_trip_on_a_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    back = pii.restore(pii.pseudonymise(docs, "k"), "k")
+    assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
