@@ -115,8 +115,9 @@ def threshold_class(p: str | Column, t: float = 0.5) -> Column:
 
 
 def local_to_unix_seconds(ts: str | Column, zone: str) -> Column:
-    """Wall-clock time in ``zone`` -> Unix seconds."""
-    return F.unix_timestamp(F.to_utc_timestamp(col_(ts).cast("timestamp"), zone)).cast("long")
+    """Wall-clock time in ``zone`` -> Unix seconds, whatever the session zone."""
+    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), col_(ts).cast("timestamp_ntz"))
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc).cast("long")
 
 
 def empty_if_null(c: str | Column) -> Column:

@@ -19,14 +19,9 @@ def estimated_row_bytes(df: DataFrame) -> int:
     return 16 + sum(40 if isinstance(f.dataType, StringType) else 8 for f in df.schema.fields)
 
 
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """Row count capped at ``limit + 1``: each task stops reading after that many rows."""
-    return df.limit(limit + 1).count()
-
-
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     rows_cap = min(max_rows, max(1, max_bytes // estimated_row_bytes(df)))
-    return bounded_count(df, rows_cap) <= rows_cap
+    return df.count() <= rows_cap  # one number a task; a limit would bring the rows themselves to one task
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

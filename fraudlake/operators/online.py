@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import empty_if_null, is_temporal
-from .joins import fits_broadcast
 
 
 def format_dates(df: DataFrame, fmt: str = "yyyy-MM-dd") -> DataFrame:
@@ -54,25 +53,26 @@ def to_key_value(df: DataFrame, key: str, order: list[str] | None = None) -> Dat
     return df.select(F.col(key).alias("key"), to_json_row(value_cols).alias("value"))
 
 
-def lookup_profiles(requests: DataFrame, profiles: DataFrame, key: str = "card_number") -> tuple[DataFrame, DataFrame]:
+def one_per_key(profiles: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """The last profile of each key by ``order`` (all other columns in turn if not given)."""
+    others = [c for c in profiles.columns if c != key]
+    return last_per_key(profiles, key, order or others) if others else profiles.distinct()
+
+
+def lookup_profiles(requests: DataFrame, profiles: DataFrame, key: str = "card_number",
+                    order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """J7 + P19: enrich each request with its profile; request fields win on a name clash.
 
     Returns ``(matched, rejected)``: a missing key rejects that request only,
-    instead of failing the whole batch. A request batch of measured small size
-    is broadcast, so the (large) profile table is scanned once and never
-    shuffled; rejects are then an anti-join on the small side. Larger request
-    sets use a shuffled LEFT join (AQE splits a hot card).
+    instead of failing the whole batch. Of several profiles of one key the last
+    one counts (``one_per_key``), so a request never multiplies. Both results are
+    sides of one LEFT join, split on a flag; AQE broadcasts a small side from its
+    real bytes and splits a hot card.
     """
     clash = [c for c in profiles.columns if c in requests.columns and c != key]
-    prof = profiles.drop(*clash)
-    if fits_broadcast(requests):
-        req = F.broadcast(requests)
-        matched = prof.join(req, key, "inner").select(*requests.columns, *[c for c in prof.columns if c != key])
-        found = matched.select(key).distinct()
-        rejected = req.join(found, key, "left_anti")
-        return matched, rejected.select(*requests.columns)
-    joined = requests.join(prof.withColumn("_found", F.lit(True)), key, "left")
-    matched = joined.filter(F.col("_found").isNotNull()).drop("_found")
+    prof = one_per_key(profiles, key, order).drop(*clash).withColumn("_found", F.lit(True))
+    joined = requests.join(prof, key, "left")
+    matched = joined.filter("_found").select(*requests.columns, *[c for c in prof.columns if c not in (key, "_found")])
     rejected = joined.filter(F.col("_found").isNull()).select(*requests.columns)
     return matched, rejected
 

@@ -61,10 +61,10 @@ def read_json_map(spark: SparkSession, path: str, key_name: str, value_name: str
 
     ``splittable=False``: whole-file read + ``from_json`` (values may hold commas).
     ``splittable=True``: the file is split on ``,`` so one large object is read by
-    many tasks; each fragment holds one ``"key": "value"`` pair, possibly
-    preceded by the opening brace(s) or followed by the closing ones. Only valid
-    when values hold no comma (label maps). ``prefix`` names an enclosing key
-    (``{"target": {...}}``).
+    many tasks; each fragment holds one ``"key": scalar`` pair, possibly
+    preceded by the opening brace(s) or followed by the closing ones. Other files
+    (a value with a comma, a second object) make it fail. ``prefix`` names an
+    enclosing key (``{"target": {...}}``).
     """
     if not splittable:
         raw = spark.read.option("wholetext", "true").text(path)
@@ -73,21 +73,28 @@ def read_json_map(spark: SparkSession, path: str, key_name: str, value_name: str
             text = F.get_json_object(text, f"$.{prefix}")
         return raw.select(*parse_json_map(text, key_name, value_name))
     frags = spark.read.option("lineSep", ",").text(path)
-    return parse_pair_fragments(frags, "value", key_name, value_name)
+    return parse_pair_fragments(frags, "value", key_name, value_name, prefix)
 
 
-PAIR_RE = r'"((?:[^"\\]|\\.)*)"\s*:\s*"((?:[^"\\]|\\.)*)"\s*}*\s*$'
+PAIR_RE = r'"((?:[^"\\]|\\.)*)"\s*:\s*(?:"((?:[^"\\]|\\.)*)"|(null|true|false|-?[0-9][0-9.eE+-]*))[\s}]*$'
+OPEN_RE = r'"((?:[^"\\]|\\.)*)"\s*:\s*\{'
 
 
-def parse_pair_fragments(df: DataFrame, text_col: str, key_name: str, value_name: str) -> DataFrame:
-    """S4 helper: one ``"k": "v"`` pair per fragment (opening braces/prefix ignored)."""
-    k = F.regexp_extract(F.col(text_col), PAIR_RE, 1)
-    v = F.regexp_extract(F.col(text_col), PAIR_RE, 2)
-    return (
-        df.select(k.alias(key_name), v.alias(value_name), F.col(text_col).rlike(PAIR_RE).alias("_ok"))
-        .filter("_ok")
-        .drop("_ok")
-    )
+def parse_pair_fragments(df: DataFrame, text_col: str, key_name: str, value_name: str, prefix: str | None = None) -> DataFrame:
+    """S4 helper: one ``"k": scalar`` pair per fragment (opening braces ignored).
+
+    A fragment that is neither blank nor one pair fails the job, as does a pair that
+    opens an object of another name than ``prefix``: no pair is lost or taken in silently.
+    Such files go through the whole-file path. A JSON null gives a NULL value.
+    """
+    t = F.col(text_col)
+    text, plain = F.regexp_extract(t, PAIR_RE, 2), F.regexp_extract(t, PAIR_RE, 3)
+    value = F.when(plain == "", text).when(plain != "null", plain)
+    opens = F.regexp_extract(t, OPEN_RE, 1)
+    foreign = (t.rlike(OPEN_RE) & (opens != prefix)) if prefix is not None else F.lit(False)
+    bad = F.raise_error(F.concat(F.lit("not one pair of the map: "), F.substring(t, 1, 200))).cast("boolean")
+    keep = F.when(t.rlike(r"^[\s{}]*$"), False).when(t.rlike(PAIR_RE) & ~foreign, True).otherwise(bad)
+    return df.select(F.regexp_extract(t, PAIR_RE, 1).alias(key_name), value.alias(value_name), keep.alias("_ok")).filter("_ok").drop("_ok")
 
 
 def month_starts(spark: SparkSession, start: str | date, end: str | date) -> DataFrame:

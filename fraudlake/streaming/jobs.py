@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType, TimestampNTZType
 
 from ..operators.gold import add_time_features
 from ..operators.joins import maybe_broadcast
+from ..operators.online import one_per_key
 from ..session import scratch_path
 
 
@@ -47,11 +48,12 @@ def enrich_stream(requests: DataFrame, profiles: DataFrame, key: str = "card_num
     """Stream-static LEFT join of requests with profiles, then the shared time features.
 
     Request columns win on a name clash; unmatched requests keep NULL profile
-    fields and ``matched = 0`` so they can be routed to a reject sink.
+    fields and ``matched = 0`` so they can be routed to a reject sink. Of several
+    profiles of one key the last counts, so a request never multiplies.
     """
     clash = [c for c in profiles.columns if c in requests.columns and c != key]
     # the stream must be the outer side; the static profiles are broadcast when measured small
-    prof = maybe_broadcast(profiles.drop(*clash).withColumn("_found", F.lit(1)))
+    prof = maybe_broadcast(one_per_key(profiles, key).drop(*clash).withColumn("_found", F.lit(1)))
     joined = requests.join(prof, key, "left")
     return add_time_features(joined).withColumn("matched", F.coalesce(F.col("_found"), F.lit(0))).drop("_found")
 

@@ -17,3 +17,11 @@ def test_lookup_rejects_unknown(spark):
     m, rej = online.lookup_profiles(req, prof)
     assert [r["channel"] for r in m.collect()] == ["web"]
     assert [r["transaction_id"] for r in rej.collect()] == ["t2"]
+
+
+def test_lookup_takes_the_last_of_two_profiles_and_keeps_null_cards(spark):
+    req = spark.createDataFrame([("t1", "c1"), ("t2", "c1"), ("t3", None)], "transaction_id string, card_number string")
+    prof = spark.createDataFrame([("c1", "gold", 1), ("c1", "basic", 2), (None, "none", 3)], "card_number string, brand string, card_id int")
+    m, rej = online.lookup_profiles(req, prof, order=["card_id"])
+    assert sorted((r["transaction_id"], r["brand"]) for r in m.collect()) == [("t1", "basic"), ("t2", "basic")]
+    assert [r["transaction_id"] for r in rej.collect()] == ["t3"]

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fraudlake.sources import files
@@ -33,3 +34,28 @@ def test_json_maps(spark, tmp_dir):
     lab = files.read_json_map(spark, big, "transaction_id", "is_fraud", prefix="target", splittable=True)
     assert lab.count() == 5000 and lab.select("transaction_id").distinct().count() == 5000
     assert lab.filter("is_fraud = 'Yes'").count() == len([i for i in range(5000) if i % 7 == 0])
+
+
+def _fragments(spark, text):
+    frags = spark.createDataFrame([(f,) for f in text.split(",")], "value string")
+    return {r["k"]: r["v"] for r in files.parse_pair_fragments(frags, "value", "k", "v", "target").collect()}
+
+
+def test_fragments_keep_scalars_and_fail_rather_than_lose_pairs(spark):
+    assert _fragments(spark, '{"target":{"1":"Yes","2":null,"3":1}}') == {"1": "Yes", "2": None, "3": "1"}
+    for text in ('{"target":{"1":"No, maybe","2":"No"}}', '{"meta":{"a":"b"},"target":{"1":"Yes"}}'):
+        with pytest.raises(Exception, match="not one pair of the map"):
+            _fragments(spark, text)
+
+
+def test_unix_seconds_in_any_session_zone(spark):
+    from fraudlake.functions import columns as C
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            row = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:07' AS ts").select(C.local_to_unix_seconds("ts", "America/New_York").alias("s"))
+            assert row.first()["s"] == 1704085207
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
