@@ -115,7 +115,7 @@ def write_snapshots(df: DataFrame, path: str, date_col: str = "date", start: str
 
     Dynamic partition overwrite: a rerun replaces exactly the months present and
     keeps the others. Rows with NULL date or outside [start month, end] land nowhere.
-    Rows are clustered by month before the write so each month gets few files.
+    Rows are dealt by month, and adaptive execution splits a month that is too large for one task.
     """
     snap = df.withColumn("snapshot_date", month_start(date_col))
     cond = F.col("snapshot_date").isNotNull()
@@ -125,7 +125,7 @@ def write_snapshots(df: DataFrame, path: str, date_col: str = "date", start: str
         cond &= F.col("snapshot_date") <= F.to_date(F.lit(end))
     (
         snap.filter(cond)
-        .repartition("snapshot_date")
+        .hint("rebalance", "snapshot_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")
