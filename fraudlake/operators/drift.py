@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import running_sums
+from .ordered import quantiles, running_sums
 
 PSI_FLOOR = 0.0001
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
@@ -68,9 +68,8 @@ def psi_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], floor: floa
 
 def decile_edges(ref: DataFrame, cols: list[str]) -> dict[str, list[float]]:
     """Reference deciles per column (9 numbers each), duplicates merged, ascending."""
-    row = ref.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in DECILES])).alias(c)
-                    for c in cols]).first()
-    return {c: sorted(set(row[c] or [])) for c in cols}
+    found = {r["column_name"]: r["q"] for r in quantiles(ref, cols, DECILES).collect()}
+    return {c: sorted(set(found.get(c, []))) for c in cols}
 
 
 def bin_index(c: str, edges: list[float]) -> Column:

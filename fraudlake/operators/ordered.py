@@ -6,7 +6,7 @@ bounds), each partition numbers and sums its own sorted rows in one Arrow
 pass, and the per-partition totals - one row per partition, a bound we set -
 give each partition its offset. The numbered rows are checkpointed once so
 every consumer sees one consistent numbering. Used by the rolling rate (W1), ROC AUC and
-average precision (A19, A20) and the KS statistic (D2).
+average precision (A19, A20), the KS statistic (D2) and exact quantiles (A6, D2).
 """
 
 from __future__ import annotations
@@ -64,23 +64,47 @@ def running_sums(df: DataFrame, order: list[str | Column], sums: list[str], part
     checkpoint_root(spark)
     local = ranged.mapInPandas(number, schema).checkpoint(eager=True)
     totals = local.groupBy("_pid").agg(
-        F.max("_lrn").alias("_t_n"), *[F.max_by(f"_lc_{c}", "_lrn").alias(f"_t_{c}") for c in sums]
+        F.max("_lrn").alias("_rows"), *[F.max_by(f"_lc_{c}", "_lrn").alias(f"_t_{c}") for c in sums]
     )
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         F.col("_pid").cast(IntegerType()).alias("_pid"),
-        F.coalesce(F.sum("_t_n").over(before), F.lit(0)).alias("_o_n"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
     )
     # offsets has one row per range partition: a size we chose, safe to broadcast
     joined = local.join(F.broadcast(offsets), "_pid")
     return joined.select(
         *df.columns,
-        (F.col("_o_n") + F.col("_lrn")).alias(rn_col),
+        (F.col("_rows_before") + F.col("_lrn")).alias(rn_col),
         *[(F.col(f"_o_{c}") + F.col(f"_lc_{c}")).cast("long").alias(f"cum_{c}") for c in sums],
     )
 
 
+def quantiles(df: DataFrame, cols: list[str], at: list[float]) -> DataFrame:
+    """``(column_name, q)``: exact quantiles of each column, linear between ranks; NULLs are left out.
+
+    Distinct values are counted, ranked by running sums in value order, and only the ranks asked
+    for are picked, so no task holds a column's values. A column of NULLs alone has no row.
+    """
+    vals = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("col"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)
+    ])).alias("p")).select("p.*").filter(F.col("v").isNotNull())
+    cum = running_sums(vals.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n")), ["col", "v"], ["n"])
+    per_col = cum.groupBy("col").agg(F.min(F.col("cum_n") - F.col("n")).alias("_base"), F.sum("n").alias("_total"))
+    last = F.col("cum_n") - F.col("_base") - 1
+    here = lambda rank: F.max(F.when((last - F.col("n") < rank) & (rank <= last), F.col("v")))
+    place = [F.lit(float(q)) * (F.col("_total") - 1) for q in at]
+    picks = [here(end(p)).alias(f"{name}{i}") for i, p in enumerate(place) for name, end in (("lo", F.floor), ("hi", F.ceil))]
+    one = cum.join(F.broadcast(per_col), "col").groupBy("col", "_total").agg(*picks)  # one row per column
+    mixed = [
+        F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}"))
+        .otherwise((F.ceil(p) - p) * F.col(f"lo{i}") + (p - F.floor(p)) * F.col(f"hi{i}")) for i, p in enumerate(place)
+    ]
+    names = F.array(*map(F.lit, cols))
+    return one.select(names[F.col("col")].alias("column_name"), F.array(*mixed).alias("q"))
+
+
 def rolling_rate(df: DataFrame, order: list[str | Column], flag: str, n: int, keep: list[str]) -> DataFrame:
     """Mean of ``flag`` over the last ``n`` rows in ``order`` (NULL until ``n`` rows exist).
 

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from .ordered import quantiles
+
+QUARTILES = [0.25, 0.5, 0.75]
+
 
 def _stack(df: DataFrame, keep: list[str], items: list[tuple[str, list[str]]], names: list[str]) -> DataFrame:
     """Unpivot a one-row wide frame: each item = (label, [column per output name])."""
@@ -99,15 +103,14 @@ def numeric_columns(df: DataFrame, exclude_id: bool = True) -> list[str]:
 def profile_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool = True, digits: int = 6) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max per column.
 
-    ``exact=True`` uses ``percentile`` (state grows with distinct values);
-    ``exact=False`` uses ``percentile_approx`` with bounded state for scale.
+    ``exact=True`` ranks the distinct values over range partitions (``ordered.quantiles``);
+    ``exact=False`` uses ``percentile_approx``, one pass with bounded state.
     """
     cols = cols or numeric_columns(df)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000))
+        q = F.lit(None).cast("array<double>") if exact else F.percentile_approx(x, QUARTILES, 100000)
         aggs += [
             F.count(x).alias(f"n_{c}"), F.avg(x).alias(f"mean_{c}"), F.stddev_samp(x).alias(f"std_{c}"),
             F.min(x).alias(f"min_{c}"), q.alias(f"q_{c}"), F.max(x).alias(f"max_{c}"),
@@ -115,6 +118,8 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool =
     wide = df.agg(*aggs)
     long = _stack(wide, [], [(c, [f"n_{c}", f"mean_{c}", f"std_{c}", f"min_{c}", f"q_{c}", f"max_{c}"]) for c in cols],
                   ["count", "mean", "std", "min", "q", "max"])
+    if exact:  # one row per column on either side
+        long = long.drop("q").join(F.broadcast(quantiles(df, cols, QUARTILES)), "column_name", "left")
     r = lambda c: F.round(c, digits)
     return long.select(
         "column_name", "count", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"),
@@ -160,18 +165,22 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     )
 
 
-def crosstab(df: DataFrame, row: str, col: str, max_values: int = 1000) -> DataFrame:
+def crosstab_counts(df: DataFrame, row: str, col: str) -> DataFrame:
+    """A13 in long form: ``(row, col, n)`` of any number of values, NULL as a value."""
+    return df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def crosstab(df: DataFrame, row: str, col: str, values: list | None = None) -> DataFrame:
     """Counts of ``row`` x ``col`` with one column per ``col`` value, absent -> 0.
 
-    The column values are found first with a capped distinct (at most
-    ``max_values``, else an error: a pivot that wide is not a report).
+    For a column of few values, which become names of columns: ``values``, or else all that
+    occur but NULL. ``crosstab_counts`` has the same counts as rows, whatever their number.
     """
-    vals = [r[0] for r in df.select(col).distinct().limit(max_values + 1).collect()]
-    if len(vals) > max_values:
-        raise ValueError(f"{col} has more than {max_values} values")
-    vals = sorted(v for v in vals if v is not None)
-    piv = df.groupBy(row).pivot(col, vals).agg(F.count(F.lit(1)))
-    return piv.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0).cast("long")).alias(str(v)) for v in vals])
+    counts = crosstab_counts(df, row, col)
+    if values is None:
+        values = sorted(r[0] for r in counts.filter(F.col(col).isNotNull()).select(col).distinct().collect())
+    piv = counts.groupBy(row).pivot(col, values).agg(F.sum("n"))
+    return piv.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0).cast("long")).alias(str(v)) for v in values])
 
 
 def date_range(df: DataFrame, col: str, name: str) -> DataFrame:

@@ -3,18 +3,21 @@
 Random membership comes from ``md5(seed:id)``, identical in every engine and
 stable across task retries. Selecting "the first q rows of a class in hash
 order" is done without a per-class window over the whole class: rows are
-bucketed by a hash prefix, bucket counts (a table of classes x 16^digits rows)
-locate the one boundary bucket per class, and only that bucket is ranked.
+bucketed by a hash prefix, bucket counts locate the one boundary bucket per class,
+and only that bucket is ranked.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+from .joins import maybe_broadcast
+
+#: Classes that the per-class steps of SMOTE handle; splits and undersampling have no bound.
 MAX_CLASSES = 10_000
 
 
@@ -72,53 +75,53 @@ def class_counts(df: DataFrame, label: str) -> dict:
     return {r[0]: r[1] for r in rows}
 
 
-def select_first_by_hash(df: DataFrame, id_col: str, label: str, quotas: dict, seed: int | str,
+def select_first_by_hash(df: DataFrame, id_col: str, label: str, quota: Column | dict, seed: int | str,
                          out: str = "selected", digits: int = 4) -> DataFrame:
-    """Mark the first ``quotas[class]`` rows of each class in ``(md5(seed:id), id)`` order.
+    """Mark the first rows of each class in ``(md5(seed:id), id)`` order, as many as its quota.
 
-    Exact, and no task ever ranks more than one hash bucket of one class.
+    ``quota``: an expression of ``_n``, the rows of the class, or a dict from class to rows.
+    Exact, and no task ever ranks more than one hash bucket of one class: of the buckets of a
+    class, those before the cut are taken whole and only the one at the cut is ranked. The cuts
+    are one row per class, so any number of classes works; they are broadcast if few.
     """
     spark = df.sparkSession
-    h = hash_key(id_col, seed)
-    tagged = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
-    quota_rows = [(k, int(v)) for k, v in quotas.items()]
-    label_type = df.schema[label].dataType
-    q = spark.createDataFrame(quota_rows, f"_lbl {label_type.simpleString()}, _quota bigint")
-    per_bucket = tagged.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    status = (
-        per_bucket.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-        .join(F.broadcast(q), F.col(label).eqNullSafe(F.col("_lbl")), "left")
-        .select(
-            F.col(label).alias("_sl"), F.col("_b").alias("_sb"),
-            F.coalesce("_quota", F.lit(0)).alias("_quota"), "_before", "_cnt",
-        )
+    tagged = df.withColumn("_h", hash_key(id_col, seed)).withColumn("_b", F.substring("_h", 1, digits))
+    per_class = Window.partitionBy("_sl")
+    buckets = tagged.groupBy(F.col(label).alias("_sl"), "_b").agg(F.count(F.lit(1)).alias("_cnt")).select(
+        "*", F.sum("_cnt").over(per_class).alias("_n"), F.sum("_cnt").over(per_class.orderBy("_b")).alias("_upto")
+    )
+    if isinstance(quota, dict):
+        label_type = df.schema[label].dataType.simpleString()
+        q = spark.createDataFrame([(k, int(v)) for k, v in quota.items()], f"_lbl {label_type}, _quota bigint")
+        buckets = buckets.join(F.broadcast(q), F.col("_sl").eqNullSafe(F.col("_lbl")), "left")
+    else:
+        buckets = buckets.withColumn("_quota", quota)
+    left = F.coalesce("_quota", F.lit(0)) - (F.col("_upto") - F.col("_cnt"))
+    cuts = buckets.groupBy("_sl").agg(
+        F.min(F.when(F.col("_cnt") > left, F.struct(F.col("_b").alias("bucket"), left.alias("left")))).alias("_cut")
     )
-    # status has classes x 16^digits rows at most: bounded, broadcast
-    j = tagged.join(F.broadcast(status), F.col(label).eqNullSafe(F.col("_sl")) & (F.col("_b") == F.col("_sb")))
-    full = F.col("_before") + F.col("_cnt") <= F.col("_quota")
-    none = F.col("_before") >= F.col("_quota")
-    settled = j.filter(full | none).withColumn(out, full)
-    edge = j.filter(~(full | none))
-    wr = Window.partitionBy("_sl", "_sb").orderBy("_h", id_col)
-    ranked = edge.withColumn(out, F.row_number().over(wr) <= F.col("_quota") - F.col("_before"))
-    return settled.unionByName(ranked).select(*df.columns, out)
+    checkpoint_root(spark)
+    j = tagged.join(maybe_broadcast(cuts.checkpoint(eager=True)), F.col(label).eqNullSafe(F.col("_sl")))
+    at_cut = F.coalesce((F.col("_b") == F.col("_cut.bucket")) & (F.col("_cut.left") > 0), F.lit(False))
+    before = F.coalesce(F.col("_b") < F.col("_cut.bucket"), F.lit(True))  # no cut: the whole class
+    ranks = Window.partitionBy("_sl", "_b").orderBy("_h", id_col)
+    ranked = j.filter(at_cut).withColumn(out, F.row_number().over(ranks) <= F.col("_cut.left"))
+    return j.filter(~at_cut).withColumn(out, before).unionByName(ranked).select(*df.columns, out)
 
 
-def round_half_up(x: float) -> int:
-    return int(math.floor(x + 0.5))
+def half_up(x: Column) -> Column:
+    return F.floor(x + F.lit(0.5)).cast("long")
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, fraction: float = 0.2, seed: int = 42,
                      out: str = "is_test") -> DataFrame:
     """Per class, the first ``round(fraction * n_class)`` rows in hash order are test."""
-    quotas = {k: round_half_up(fraction * n) for k, n in class_counts(df, label).items()}
-    return select_first_by_hash(df, id_col, label, quotas, seed, out)
+    return select_first_by_hash(df, id_col, label, half_up(F.lit(float(fraction)) * F.col("_n")), seed, out)
 
 
 def undersample(df: DataFrame, id_col: str, label: str, ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """M6: keep every minority row and ``round(ratio * n_minority)`` majority rows per other class."""
-    counts = class_counts(df, label)
-    n_min = min(counts.values())
-    quotas = {k: (n if n == n_min else min(n, round_half_up(ratio * n_min))) for k, n in counts.items()}
-    return select_first_by_hash(df, id_col, label, quotas, seed, "_keep").filter("_keep").drop("_keep")
+    n_min = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n")).first()[0] or 0
+    n = F.col("_n")
+    quota = F.when(n == n_min, n).otherwise(F.least(n, half_up(F.lit(float(ratio) * n_min))))
+    return select_first_by_hash(df, id_col, label, quota, seed, "_keep").filter("_keep").drop("_keep")

@@ -50,7 +50,7 @@ RAW_TX = """raw_tx AS (
          CASE WHEN value > 25 THEN 'Chip Transaction' ELSE 'Swipe Transaction' END AS use_chip,
          CAST(user_id * 7 AS VARCHAR) AS merchant_id,
          'City ' || upper(event_type) AS merchant_city,
-         CASE WHEN event_id % 7 = 0 THEN NULL ELSE '  ' || upper(substr(event_type, 1, 2)) || ' ' END AS merchant_state,
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE '  ' || (['CL', 'ER', 'PU', 'SI', 'VI'])[CAST(user_id % 5 AS INTEGER) + 1] || ' ' END AS merchant_state,
          CASE WHEN event_id % 7 = 3 THEN NULL ELSE CAST(user_id * 101 AS VARCHAR) || '.0' END AS zip,
          json_extract_string(props, '$.k') AS mcc,
          CASE WHEN event_id % 4 = 0 THEN NULL ELSE ' ' || upper(event_type) || '  ' END AS errors
