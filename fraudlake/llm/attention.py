@@ -4,8 +4,9 @@ A word's subword id is its beginning (three bytes, and whether more follow) if t
 the ``PIECES`` most frequent in training, else one shared id; the end of a text has its own.
 The model gives P(subword id | ids before); a word then has its share of the counts of its id:
 (c + 1) / (words + distinct words + 1). Counts come from all training texts. The model's
-weights come from all training texts too, one window in every ``EVERY`` tokens: tasks train on
-their windows from common weights, which are averaged after each of ``ROUNDS`` rounds.
+weights come from all training texts too: in each of ``ROUNDS`` rounds tasks train from common
+weights on every block of their texts, each once, in an order shuffled by slice; the tasks'
+weights are then averaged. Windows are cut as they are needed and never saved.
 
 Scoring: a text is cut into blocks of ``BLOCK`` tokens. A block's window is the block and the
 one before it, so windows overlap by half, each token is scored once, and it sees 16 to 31 ids
@@ -22,7 +23,7 @@ train and are scored each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ PIECES = 126
 END, OTHER, START, PAD = 0, 1, PIECES + 2, PIECES + 3
 IDS = PIECES + 2
 WIDTH, HIDDEN, BLOCK = 16, 32, 16
-EVERY, ROUNDS, STEPS, BATCH = 512, 2, 300, 128
+ROUNDS, STEPS, BATCH = 3, 300, 128
 FREQUENT = 1 << 20
 #: Parts in which the tasks' weights are summed before they reach the driver.
 PARTS = 16
@@ -132,17 +133,41 @@ class Model:
         g["emb"] = np.stack([np.bincount(which, col, PAD + 1) for col in flat2(dx).T], axis=1)
         return {n: x.astype(np.float32) for n, x in g.items()}
 
-    def train(self, windows: np.ndarray, steps: int, rate: float, seed: int) -> None:
-        """Adam over batches of windows ([prev, now, target] ids in a row)."""
+    def train(self, chunks: Iterable[np.ndarray], rate: float, seed: int) -> int:
+        """Adam over batches of windows ([prev, now, target] ids in a row); how many windows there were.
+
+        A pass takes each window once, in an order shuffled by chunk. If that makes fewer than
+        ``STEPS`` steps, more whole passes follow; only so few windows are ever held.
+        """
         rng = np.random.default_rng(seed)
-        m = {n: np.zeros_like(x) for n, x in self.p.items()}
-        s = {n: np.zeros_like(x) for n, x in self.p.items()}
-        for i in range(1, steps + 1):
-            rows = windows[rng.integers(0, len(windows), BATCH)] if len(windows) > BATCH else windows
-            for n, g in self.gradients(rows[:, : 2 * BLOCK], rows[:, 2 * BLOCK :]).items():
-                m[n] = 0.9 * m[n] + 0.1 * g
-                s[n] = 0.99 * s[n] + 0.01 * g * g
-                self.p[n] -= (rate * (m[n] / (1 - 0.9**i)) / (np.sqrt(s[n] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
+        state = [{n: np.zeros_like(x) for n, x in self.p.items()} for _ in range(2)]
+        rest, held, rows, i = np.zeros((0, 3 * BLOCK), np.uint8), [], 0, 0
+        for chunk in chunks:
+            rows += len(chunk)
+            held = [*held, chunk] if rows <= STEPS * BATCH else []
+            rest = np.concatenate([rest, chunk[rng.permutation(len(chunk))]])
+            whole = len(rest) // BATCH * BATCH
+            for at in range(0, whole, BATCH):
+                i += 1
+                self._step(rest[at : at + BATCH], state, i, rate)
+            rest = rest[whole:]
+        if len(rest):
+            i += 1
+            self._step(rest, state, i, rate)
+        every = np.concatenate(held) if held else rest[:0]
+        while i < STEPS and len(every):
+            order = rng.permutation(len(every))
+            for at in range(0, len(every), BATCH):
+                i += 1
+                self._step(every[order[at : at + BATCH]], state, i, rate)
+        return rows
+
+    def _step(self, rows: np.ndarray, state: list[dict[str, np.ndarray]], i: int, rate: float) -> None:
+        m, s = state
+        for n, g in self.gradients(rows[:, : 2 * BLOCK], rows[:, 2 * BLOCK :]).items():
+            m[n] = 0.9 * m[n] + 0.1 * g
+            s[n] = 0.99 * s[n] + 0.01 * g * g
+            self.p[n] -= (rate * (m[n] / (1 - 0.9**i)) / (np.sqrt(s[n] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
 
 
 def blocks(t: flat.Texts, pieces: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
@@ -165,20 +190,16 @@ def blocks(t: flat.Texts, pieces: np.ndarray, ids: np.ndarray) -> tuple[np.ndarr
     return np.concatenate([prev, now], axis=1), target, np.repeat(np.arange(t.n), count), (h, word_id, doc)
 
 
-def _training_windows(rows: DataFrame, pieces: np.ndarray, ids: np.ndarray) -> DataFrame:
-    """One window in every EVERY tokens, from places all over the texts."""
-
-    def run(own: list[pa.Array], t: flat.Texts) -> dict:
-        window, target, doc, (h, _, _) = blocks(t, pieces, ids)
-        pick = flat.mix(np.arange(len(doc)).astype(np.uint64) + np.uint64(int(h[0]) if len(h) else 0)) % np.uint64(EVERY // BLOCK) == 0
-        both = np.concatenate([window[pick], target[pick]], axis=1).astype(np.uint8)
-        return {"w": pa.array([r.tobytes() for r in both], pa.binary())}
+def training_windows(batches: Iterable[pa.RecordBatch], pieces: np.ndarray, ids: np.ndarray) -> Iterator[np.ndarray]:
+    """[prev, now, target] of every block of the texts, a chunk for each slice."""
+    for b in batches:
+        for _, _, t in flat.slices(b.column("text")):
+            window, target, _, _ = blocks(t, pieces, ids)
+            yield np.concatenate([window, target], axis=1).astype(np.uint8)
 
-    return flat.map_texts(rows, run, "w binary", carry=())
 
-
-def _average(windows: DataFrame, model: Model, turn: int) -> Model:
-    """One round: each task trains on its windows from the common weights; their weighted mean."""
+def _average(texts: DataFrame, pieces: np.ndarray, ids: np.ndarray, model: Model, turn: int) -> Model:
+    """One round: each task trains on all its windows from the common weights; their weighted mean."""
     names, shapes = list(model.p), [x.shape for x in model.p.values()]
     start = np.concatenate([x.ravel() for x in model.p.values()])
     size = len(start)
@@ -188,12 +209,8 @@ def _average(windows: DataFrame, model: Model, turn: int) -> Model:
         return {n: flat_weights[a:b].reshape(s).copy() for n, s, a, b in zip(names, shapes, cut, cut[1:])}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, rows = Model(None, load(start)), 0
-        for b in batches:
-            if b.num_rows:
-                w = np.frombuffer(b"".join(b.column("w").to_pylist()), np.uint8).reshape(-1, 3 * BLOCK)
-                own.train(w, max(STEPS, len(w) // BATCH), 0.01 / (1 + turn), turn)
-                rows += len(w)
+        own = Model(None, load(start))
+        rows = own.train(training_windows(batches, pieces, ids), 0.01 / (1 + turn), turn)
         if rows:
             out = np.concatenate([x.ravel() for x in own.p.values()]).astype(np.float64) * rows
             yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()]), pa.array([rows])], ["w", "n"])
@@ -206,7 +223,7 @@ def _average(windows: DataFrame, model: Model, turn: int) -> Model:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([rows])], ["w", "n"])
 
-    parts = windows.mapInArrow(run, "w binary, n long").repartition(PARTS).mapInArrow(add, "w binary, n long").collect()
+    parts = texts.mapInArrow(run, "w binary, n long").repartition(PARTS).mapInArrow(add, "w binary, n long").collect()
     if not parts:
         return model
     mean = sum(np.frombuffer(r.w) for r in parts) / sum(r.n for r in parts)
@@ -236,10 +253,9 @@ def score(docs: DataFrame) -> DataFrame:
     words[OTHER], kinds[OTHER] = whole.n - words[2:].sum(), whole.v - kinds[2:].sum()
     within = np.log10(words + kinds + 1)
 
-    windows = saved(_training_windows(training, pieces, ids), "windows")
     model = Model((words + 1) / (words + 1).sum())
     for turn in range(ROUNDS):
-        model = _average(windows, model, turn)
+        model = _average(training.select("text"), pieces, ids, model, turn)
 
     often = counts.where(F.col("c") * FREQUENT >= n_all).select("h", "c").toPandas()  # FREQUENT rows at most
     often = often.sort_values("h", kind="stable")

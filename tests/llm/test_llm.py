@@ -278,6 +278,25 @@ def test_attention_is_causal_and_gradients_hold():
         assert abs((up - down) / 2e-4 - g[name][at]) < 1e-5
 
 
+def test_attention_trains_on_every_block(monkeypatch):
+    random.seed(20)
+    texts = [" ".join(random.choice("kalo miru sato nemi grolf".split()) for _ in range(random.randint(0, 90))) for _ in range(300)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 100])], ["text"]) for i in (0, 100, 200)]
+    seen = []
+    monkeypatch.setattr(attention.Model, "gradients", lambda self, ids, target: seen.extend(r.tobytes() for r in np.concatenate([ids, target], axis=1)) or {})
+    m = attention.Model(np.full(attention.IDS, 1 / attention.IDS))
+    none = np.zeros(0, np.int64)
+    monkeypatch.setattr(attention, "STEPS", 1)
+    every = [r.tobytes() for w in attention.training_windows(batches, none, none) for r in w]
+    assert len(every) == sum(-(-(len(t.split()) + 1) // attention.BLOCK) for t in texts)
+    assert m.train(attention.training_windows(batches, none, none), 0.01, 0) == len(every)
+    assert collections.Counter(seen) == collections.Counter(every) and seen != every
+    seen.clear()
+    monkeypatch.setattr(attention, "STEPS", 2 * -(-len(every) // attention.BATCH))  # few windows: further whole passes
+    m.train(attention.training_windows(batches, none, none), 0.01, 0)
+    assert collections.Counter(seen) == collections.Counter(2 * every)
+
+
 def test_language_mixture(spark, awkward, empty):
     random.seed(8)
     kinds = {"aa": "kalo miru sato nemi".split(), "bb": "strench grolf thump bricks".split()}
