@@ -13,6 +13,10 @@
 4. Candidates are confirmed on full sets in rounds: first the two best neighbours of each class,
    then what still leads from one component to another. Within a component nothing is left to
    prove, so a group of copies costs a few sets per member and never all its pairs.
+5. A region of more than ``WINDOW`` + 1 classes is crowded: cutting it, or the window, can hide a
+   pair. All classes of crowded regions are joined once more on the rarest shingles of their sets,
+   as many as a similar set must share one of, which misses no pair; what joins two components is
+   confirmed on full sets.
 
 Defined results: a text without words has an empty set and is linked with nothing; a null id
 cannot name a component: such a row takes that of its equals, or none, and is kept only then;
@@ -38,6 +42,8 @@ MIN_DEPTH = 4
 REGION_ROWS = 1024
 WINDOW = 32
 PICKS = 2
+#: Shingles of at least 1 / HEAVY of all those of crowded classes are ordered by their counts.
+HEAVY = 1 << 20
 
 _rng = np.random.default_rng(128)
 _MULT = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -155,17 +161,19 @@ def _deeper(rows: DataFrame, depth: int, id_kind: str) -> DataFrame:
     return rows.select("rep", "t", "sig", "region").mapInArrow(run, f"rep {id_kind}, t int, sig binary, region long, parent long")
 
 
-def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """Rows (rep, t, low, region) of the regions that hold two classes or more, each of a bounded
-    size; and pairs (a, b) of the first classes of cut-off parts with those of their regions."""
+    size; pairs (a, b) of the first classes of cut-off parts with those of their regions; and the
+    classes (rep) of crowded regions."""
     kind = id_type(classes, "rep")
     placed = _place(classes, kind)
     sizes = saved(placed.groupBy("region").agg(F.count("*").alias("n"), F.min("rep").alias("first")).where("n > 1"), "regions")
     rows = saved(placed.join(sizes, "region").groupBy("rep").agg(F.collect_list(F.struct("t", "region", "n", "first")).alias("at")), "places")
     rows = rows.join(classes.select("rep", "sig"), "rep").select("rep", "sig", F.explode("at").alias("p")).select("rep", "sig", "p.*")
+    crowded = rows.where(F.col("n") > WINDOW + 1).select("rep").distinct()
     big = sizes.where(F.col("n") > REGION_ROWS)
     if not big.head(1):
-        return rows.select("rep", "t", _low(), "region"), None
+        return rows.select("rep", "t", _low(), "region"), None, crowded
     done, pairs, depth = [rows.where(F.col("n") <= REGION_ROWS).select("rep", "t", _low(), "region")], [], MIN_DEPTH
     hot = saved(rows.where(F.col("n") > REGION_ROWS).select("rep", "t", "sig", "region", "first"), "crowded")
     while hot.head(1):
@@ -181,7 +189,7 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         more = (F.col("n") > REGION_ROWS) & F.lit(depth < HASHES)
         done.append(sized.where((F.col("n") > 1) & ~more).select("rep", "t", _low(), "region"))
         hot = saved(sized.where(more).select("rep", "t", "sig", "region", "first"), "crowded")
-    return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, pairs).distinct()
+    return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, pairs).distinct(), crowded
 
 
 def _neighbours(rows: DataFrame, least: int, every: bool) -> DataFrame:
@@ -260,6 +268,80 @@ def _confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
     return if_small(pairs.select("a", "b")).join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
 
 
+def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """h, rep, n: the rarest of each set's n shingles, so many that two similar sets share one.
+
+    Sets of a similarity of share or more have at least that part of the larger in common, so their
+    first n - ceil(share * n) + 1 shingles meet, in whatever order all sets keep: here that of
+    counts, with those below the bound as equals, and of hashes.
+    """
+    up, down = share
+    kind = id_type(sets, "rep")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h, n = np.unique(np.frombuffer(b"".join(b.column("shingles").to_pylist()), np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    counts = saved(sets.select("shingles").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "shingle_counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    heavy = counts.where((F.col("n") > 1) & (F.col("n") * HEAVY >= total)).toPandas()  # HEAVY rows at most
+    h, n = heavy["h"].to_numpy(np.int64).view(np.uint64), heavy["n"].to_numpy(np.int64)
+    order = np.argsort(h)
+    table = sets.sparkSession.sparkContext.broadcast((h[order], n[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n = table.value
+        for b in batches:
+            hs, at, size = [], [], []
+            for i, x in enumerate(b.column("shingles").to_pylist()):
+                x = np.frombuffer(x, np.uint64)
+                j = np.minimum(np.searchsorted(keys, x), max(len(keys) - 1, 0))
+                c = np.where(keys[j] == x, n[j], 0) if len(keys) else np.zeros(len(x), np.int64)
+                first = np.lexsort((x, c))[: len(x) + up * len(x) // -down + 1]
+                hs.append(x[first])
+                at.append(np.full(len(first), i))
+                size.append(np.full(len(first), len(x)))
+            if hs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), b.column("rep").take(pa.array(np.concatenate(at))), pa.array(np.concatenate(size))], ["h", "rep", "n"])
+
+    return sets.select("rep", "shingles").mapInArrow(run, f"h long, rep {kind}, n long")
+
+
+def _complete(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(rep, label) once more, with every link between two of the given sets.
+
+    First the components that meet at a shingle are tried by one member each, again until that
+    links nothing; then all pairs that still lead from one component to another.
+    """
+    up, down = share
+    rows = saved(_prefixes(sets, share), "prefixes")
+    fits = (up * F.col("na") <= down * F.col("nb")) & (up * F.col("nb") <= down * F.col("na"))
+    pair = (F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+    checked, every = None, False
+    while True:
+        named = rows.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        mixed = named.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("h")
+        rows_left = saved(lookup_join(named, mixed, "h", "inner"), "mixed")
+        sides = rows_left if every else rows_left.groupBy("h", "label").agg(F.min(F.struct("rep", "n")).alias("m")).select("h", "label", "m.*")
+        one = sides.select("h", F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("label").alias("la"))
+        if every:
+            two = sides.select("h", F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+        else:
+            two = sides.groupBy("h").agg(F.min(F.struct("label", "rep", "n")).alias("m")).select("h", F.col("m.rep").alias("rb"), F.col("m.n").alias("nb"), F.col("m.label").alias("lb"))
+        tried = lookup_join(one, two, "h", "inner").where(F.col("la") > F.col("lb")).where(fits).select(*pair).distinct()
+        if checked is not None:
+            tried = tried.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        now = saved(_confirm(saved(tried, "crowded_pairs"), sets, share), "crowded_checked")
+        linked = bool(now.where("linked").head(1))
+        if linked:
+            labels = saved(components(now.where("linked").select("a", "b").unionByName(labels.select(F.col("label").alias("a"), F.col("rep").alias("b")))), "labels")
+        if every:
+            return labels
+        checked = now if checked is None else checked.unionByName(now)
+        every = not linked
+
+
 def components(links: DataFrame) -> DataFrame:
     """(rep, label) of every node of the links (a, b): the smallest node it can reach.
 
@@ -313,7 +395,8 @@ def _labels(docs: DataFrame, classes: DataFrame, k: int, share: tuple[int, int])
     """(rep, label) of the classes in components of two or more."""
     s = share[0] / share[1]
     least = int(HASHES * (s - 4 * (s * (1 - s) / HASHES) ** 0.5))
-    places, ties = forest(classes)
+    places, ties, crowded = forest(classes)
+    crowded = saved(crowded, "crowded_classes")
     places = saved(places, "forest")
     pick = lambda df: F.sort_array(F.collect_set(F.struct("est", "y")), False)
     best = _neighbours(places.withColumn("label", F.col("rep")), least, False)
@@ -323,7 +406,7 @@ def _labels(docs: DataFrame, classes: DataFrame, k: int, share: tuple[int, int])
 
     # whoever has any candidate has a best one
     ids = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "candidates")
-    sets = saved(set_rows(docs, ids, k), "sets")
+    sets = saved(set_rows(docs, saved(ids.union(crowded).distinct(), "wanted"), k), "sets")
     checked = saved(_confirm(pairs, sets, share), "checked")
     labels = saved(components(checked.where("linked")), "labels")
 
@@ -332,7 +415,9 @@ def _labels(docs: DataFrame, classes: DataFrame, k: int, share: tuple[int, int])
     across = across.join(checked, ["a", "b"], "left_anti")
     across = saved(across, "pairs_across")
     last = saved(_confirm(across, sets, share).where("linked"), "links_across")
-    if not last.head(1):
+    if last.head(1):
+        ties = labels.select(F.col("label").alias("a"), F.col("rep").alias("b"))
+        labels = saved(components(ties.unionByName(last.select("a", "b"))), "labels")
+    if not crowded.head(1):
         return labels
-    ties = labels.select(F.col("label").alias("a"), F.col("rep").alias("b"))
-    return components(ties.unionByName(last.select("a", "b")))
+    return _complete(sets.join(if_small(crowded), "rep", "left_semi"), labels, share)
