@@ -3,8 +3,8 @@
 Each learned language has a character model: probabilities of a byte given the two before it,
 within words, from counts over all training texts (hashed into ``BUCKETS``). A text's words are
 a mixture: expectation-maximisation estimates its language proportions from the words'
-likelihoods. Sets of languages, the best one alone and then the leading two, three and so on,
-are compared by their likelihood less ``PENALTY`` times log(words) for each further language;
+likelihoods. Sets of languages, the best one alone and then the leading two, three and so on
+up to all, are compared for every text by their likelihood less ``PENALTY`` times log(words) for each further language;
 the prediction is the largest proportion within the set that wins.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every
@@ -114,8 +114,6 @@ def infer(logs: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         some = _climb(lik, owner, start, some / some.sum(1, keepdims=True), STEPS // 2) if k < alone.shape[1] else mixed
         got = np.add.reduceat(np.log(np.maximum((some[owner] * lik).sum(1), 1e-300)), start) - PENALTY * (k - 1) * np.log(n + 1)
         up = got > value
-        if not up.any():
-            break
         value[up] = got[up]
         best[up], share[up] = some[up].argmax(1), some[up].max(1)
     return best, share
