@@ -5,8 +5,8 @@ once. The machine adds, to a bias and a weight per term, the product of the term
 vectors for every pair in the text, so a pair such as insult and group mention can weigh more
 than its parts. Counts of terms by label and the fit use a sample of at most ``FIT_ROWS``
 labelled rows per class (a parameter), drawn by a hash of the id; rows held out are never in
-it. Up to ``FEATURES`` terms, the strongest in association, enter the machine. All texts are
-scored whole.
+it. Every hashed term of the sample has a weight and a factor row, whatever its own association
+with the label; weight decay keeps down those that say nothing. All texts are scored whole.
 
 Defined results: null and empty texts have no terms and get the bias alone; without labelled
 rows of both classes the score is the smoothed share of toxic rows; several labels of one id
@@ -27,9 +27,6 @@ from . import flat
 from .store import bucket_of, id_type, saved
 
 BUCKETS = 1 << 18
-FEATURES = 2048
-#: A term enters the machine from this chi-squared association with the label (p < 0.005).
-LEAST_CHI2 = 8.0
 #: Weight of a toxic row in the fit, against 1 of another, before the classes' shares.
 TOXIC_WEIGHT = 2.0
 FACTORS = 8
@@ -148,11 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machi
     if not drawn.get(0) or not drawn.get(1):
         return Machine(np.zeros(0, np.int64), bias)
     n0, n1 = _counts(sample)
-    a, b, c, d = n1, n0, drawn[1] - n1, drawn[0] - n0
-    scale = (drawn[0] + drawn[1]) / (drawn[0] * drawn[1])
-    chi2 = np.where(n0 + n1 >= 3, scale * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d), 1), 0.0)
-    best = np.argsort(-chi2, kind="stable")[:FEATURES]
-    machine = Machine(np.sort(best[chi2[best] >= LEAST_CHI2]), bias)
+    machine = Machine(np.flatnonzero(n0 + n1), bias)
 
     def run(own: list[pa.Array], t: flat.Texts) -> dict:
         slot, doc = machine.rows(t)
