@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from fraudlake.sources.tables import TABLES
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 import sys, os  # noqa: E401
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fraudlake.operators import integrity, metrics, model, online, splits
 from fraudlake.plans import queries as Q
 from fraudlake.sources import files
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _plan(df) -> str:

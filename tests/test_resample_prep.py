@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from fraudlake.operators import drift, prep, resample
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _vectors(spark, n=300, d=6, classes=2):

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.operators import splits
 from fraudlake.plans import fixtures as fx
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_oot_sets_disjoint_and_complete(spark):
