@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, bpe, decontam, langid, neardup, pii, quality, secrets, tokencount, toxicity
+from . import attention, bpe, conversations, decontam, langid, neardup, pii, quality, secrets, tokencount, toxicity
 from .store import read_table
 
 QUERIES = {}
@@ -66,6 +66,11 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_survivor_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(read_table(spark, sf_dir, "conversations"))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _rates = ",\n".join(
