@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, bpe, conversations, decontam, langid, neardup, pii, quality, resample, secrets, tokencount, toxicity
+from . import attention, bpe, conversations, decontam, langid, neardup, pii, quality, resample, secrets, tokencount, toxicity, vectors
 from .store import read_table
 
 QUERIES = {}
@@ -76,6 +76,11 @@ def op12_regular_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.draw(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op13_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _rates = ",\n".join(
