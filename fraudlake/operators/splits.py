@@ -109,6 +109,46 @@ def select_first_by_hash(df: DataFrame, id_col: str, label: str, quota: Column |
     return j.filter(~at_cut).withColumn(out, before).unionByName(ranked).select(*df.columns, out)
 
 
+def hash_cutoffs(rows: DataFrame, group: list[str], id_col: str, quota: Column, digits: int = 4) -> DataFrame:
+    """``(group..., h, id)``: the last row of each group's quota in the order of ``(h, id)``.
+
+    ``rows`` has a text hash ``h``; ``quota`` is an expression of ``_n``, the rows of the group, and of
+    the group's columns. Groups without quota have no row. Buckets of the hash are counted, and only the one that holds the last
+    row is ranked. One row per group comes out.
+    """
+    per = Window.partitionBy(*group)
+    rows = rows.select(*group, F.col(id_col).alias("id"), "h", F.substring("h", 1, digits).alias("_b"))
+    counts = rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_cnt")).select(
+        "*", F.sum("_cnt").over(per).alias("_n"), F.sum("_cnt").over(per.orderBy("_b")).alias("_upto")
+    )
+    left = (quota - (F.col("_upto") - F.col("_cnt"))).alias("_left")
+    at = counts.select(*group, "_b", "_cnt", left).filter(F.col("_left").between(1, F.col("_cnt"))).drop("_cnt")
+    ranked = rows.join(maybe_broadcast(at), [*group, "_b"]).withColumn("_r", F.row_number().over(per.orderBy("h", "id")))
+    return ranked.filter("_r = _left").select(*group, "h", "id")
+
+
+def split_trials(df: DataFrame, id_col: str, label: str, fraction: float, seeds: list[int], out: str = "val") -> DataFrame:
+    """W6 for many seeds at once: ``out``, an array with one flag per seed, as ``stratified_split`` sets it.
+
+    The cuts (one per seed and class) are found in one pass over all seeds.
+    """
+    spark = df.sparkSession
+    keys = F.array(*(hash_key(id_col, s) for s in seeds))
+    every = df.select(F.col(label).alias("_c"), F.col(id_col), F.posexplode(keys).alias("_t", "h"))
+    cuts = hash_cutoffs(every, ["_t", "_c"], id_col, half_up(F.lit(float(fraction)) * F.col("_n")))
+    found: dict = {}
+    for r in cuts.collect():  # one row per seed and class
+        found.setdefault(r["_c"], [None] * len(seeds))[r["_t"]] = (r["h"], r["id"])
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    table = spark.createDataFrame([(c, v) for c, v in found.items()], f"_c {types[label]}, _cut array<struct<h:string,id:{types[id_col]}>>")
+    flags = F.array(*(
+        F.coalesce(F.struct(hash_key(id_col, s).alias("h"), F.col(id_col).alias("id")) <= F.col("_cut")[t], F.lit(False)) for t, s in enumerate(seeds)
+    ))
+    return df.join(F.broadcast(table), F.col(label).eqNullSafe(F.col("_c")), "left").select(*df.columns, flags.alias(out))
+
+
 def half_up(x: Column) -> Column:
     return F.floor(x + F.lit(0.5)).cast("long")
 

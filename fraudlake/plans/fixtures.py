@@ -23,6 +23,8 @@ from ..sources.tables import table
 
 #: States of raw merchants, dealt by user so that they say nothing of the label (fixed values).
 STATES = ("CL", "ER", "PU", "SI", "VI")
+#: Errors of raw transactions, dealt likewise (fixed values).
+ERRORS = ("BAD PIN", "BAD CVV", "TECHNICAL GLITCH", "INSUFFICIENT BALANCE")
 
 
 def _s(c) -> F.Column:
@@ -126,7 +128,7 @@ def raw_transactions(spark: SparkSession, d: str) -> DataFrame:
         .alias("zip"),
         F.get_json_object("props", "$.k").alias("mcc"),
         F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(" "), F.upper("event_type"), F.lit("  ")))
+        .otherwise(F.concat(F.lit(" "), F.element_at(F.array(*map(F.lit, ERRORS)), (F.col("user_id") * 3 % len(ERRORS) + 1).cast("int")), F.lit("  ")))
         .alias("errors"),
     )
 
@@ -169,6 +171,7 @@ def raw_users(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 19 == 0, F.lit("$n/a")).otherwise(F.concat(F.lit("$"), _s(k % 500 + 100))).alias("per_capita_income"),
         _s(F.col("c_nationkey") + 20).alias("current_age"),
         _s(F.col("c_nationkey") % 5 + 1).alias("num_credit_cards"),
+        F.concat(_s(k * 37 % 551 + 300), F.lit(".0")).alias("credit_score"),
     )
 
 

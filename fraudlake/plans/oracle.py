@@ -53,7 +53,7 @@ RAW_TX = """raw_tx AS (
          CASE WHEN event_id % 7 = 0 THEN NULL ELSE '  ' || (['CL', 'ER', 'PU', 'SI', 'VI'])[CAST(user_id % 5 AS INTEGER) + 1] || ' ' END AS merchant_state,
          CASE WHEN event_id % 7 = 3 THEN NULL ELSE CAST(user_id * 101 AS VARCHAR) || '.0' END AS zip,
          json_extract_string(props, '$.k') AS mcc,
-         CASE WHEN event_id % 4 = 0 THEN NULL ELSE ' ' || upper(event_type) || '  ' END AS errors
+         CASE WHEN event_id % 4 = 0 THEN NULL ELSE ' ' || (['BAD PIN', 'BAD CVV', 'TECHNICAL GLITCH', 'INSUFFICIENT BALANCE'])[CAST(user_id * 3 % 4 AS INTEGER) + 1] || '  ' END AS errors
   FROM events)"""
 
 RAW_CARDS = """raw_cards AS (
@@ -78,7 +78,8 @@ RAW_USERS = """raw_users AS (
          '$' || CAST(c_custkey * 3 AS VARCHAR) || '.0' AS total_debt,
          CASE WHEN c_custkey % 19 = 0 THEN '$n/a' ELSE '$' || CAST(c_custkey % 500 + 100 AS VARCHAR) END AS per_capita_income,
          CAST(c_nationkey + 20 AS VARCHAR) AS current_age,
-         CAST(c_nationkey % 5 + 1 AS VARCHAR) AS num_credit_cards
+         CAST(c_nationkey % 5 + 1 AS VARCHAR) AS num_credit_cards,
+         CAST(c_custkey * 37 % 551 + 300 AS VARCHAR) || '.0' AS credit_score
   FROM customer)"""
 
 
@@ -170,7 +171,8 @@ SQL["silver_users"] = with_(RAW_USERS) + f"""
 SELECT id, lower(gender) AS gender, trim(lower(address)) AS address,
        {money_int('yearly_income')} AS yearly_income, {money_int('total_debt')} AS total_debt,
        {money_int('per_capita_income')} AS per_capita_income,
-       {int_text('current_age')} AS current_age, {int_text('num_credit_cards')} AS num_credit_cards
+       {int_text('current_age')} AS current_age, {int_text('num_credit_cards')} AS num_credit_cards,
+       {int_text('credit_score')} AS credit_score
 FROM raw_users"""
 
 SQL["cast_nulls"] = with_(RAW_CARDS, SILVER_CARDS) + """

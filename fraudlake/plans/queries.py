@@ -608,9 +608,9 @@ def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- models
-#: The configured features that the test tables have a source for (credit_score has none).
+#: The configured features.
 MODEL_NUMERIC = ["amount", "num_credit_cards", "num_cards_issued", "credit_limit", "year_pin_last_changed", "acct_opened_months",
-                 "yrs_since_pin_changed", "per_capita_income", "yearly_income"]
+                 "yrs_since_pin_changed", "per_capita_income", "credit_score", "yearly_income"]
 MODEL_CATEGORICAL = ["use_chip", "merchant_state", "mcc", "errors", "has_chip", "card_brand", "card_type"]
 MODEL_TRIALS = 10
 
@@ -619,7 +619,7 @@ def _model_frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Da
     """Labelled gold rows with 3 x 7-day OOT windows; the rest split 80/20 by class."""
     checkpoint_root(spark)
     # the OOT cutoffs and class counts each read the labelled rows: materialise them first
-    g = _labelled_gold(spark, d).filter(F.col("label").isNotNull()).checkpoint(eager=True)
+    g = _labelled_gold(spark, d).dropDuplicates().filter(F.col("label").isNotNull()).checkpoint(eager=True)
     g = splits.split_oot(g, "date", *OOT_EVENTS)
     strat = splits.stratified_split(g.filter(F.col("split_id") == "train"), "transaction_id", "label", 0.2, 42)
     strat = strat.withColumn("split_id", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test")
@@ -631,8 +631,10 @@ def _model_frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Da
 
 
 def model_search(spark: SparkSession, d: str) -> DataFrame:
-    """M8/M9: seeded random search over the logistic space, F1 objective, SMOTE on the fit part."""
-    return _search(_model_frames(spark, d)[1])
+    """M8/M9 + W2: seeded random search over the logistic space, F1 objective, SMOTE on the fit part;
+    the champions among the trials and their improvement."""
+    trials = _search(_model_frames(spark, d)[1])
+    return trials.join(metrics.running_champion(trials, "trial", "f1").drop("f1"), "trial")
 
 
 def _search(train: DataFrame) -> DataFrame:
@@ -686,6 +688,16 @@ def gbt_eval(spark: SparkSession, d: str) -> DataFrame:
     return model.evaluate(scored, "label", "p1", 0.5, by="split_id")
 
 
+def mlp_eval(spark: SparkSession, d: str) -> DataFrame:
+    """A neural network at one seeded draw from its space, per-split metrics."""
+    held_out, train, _ = _model_frames(spark, d)
+    params = model.draw(model.SPACES["mlp"], random.Random(42))
+    trained = model.fit_final(train, "label", "transaction_id", MODEL_NUMERIC, MODEL_CATEGORICAL, "mlp", params, seed=42)
+    every = train.withColumn("split_id", F.lit("train")).unionByName(held_out)
+    scored = trained.score(every.withColumn("label", F.col("label").cast("int")))
+    return model.evaluate(scored, "label", "p1", 0.5, by="split_id")
+
+
 def unix_seconds(spark: SparkSession, d: str) -> DataFrame:
     """Event wall-clock time in New York -> Unix seconds."""
     e = table(spark, d, "events")
@@ -791,4 +803,5 @@ QUERIES = {
     "model_eval": model_eval,
     "batch_scores": batch_scores,
     "gbt_eval": gbt_eval,
+    "mlp_eval": mlp_eval,
 }
