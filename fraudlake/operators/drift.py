@@ -3,8 +3,9 @@
 PSI = sum over categories of (q - p) * ln(q / p), p the reference share and q
 the current share, both floored at ``PSI_FLOOR``. Numeric columns are binned
 at the reference deciles (duplicate edges merged, NULL its own bin). KS is
-the largest gap between the two empirical CDFs, from per-value counts and
-running sums in value order (no task sorts a whole column).
+the largest gap between the two empirical CDFs, the normed Wasserstein distance
+the area between them over the reference's standard deviation; both come from
+per-value counts and running sums in value order (no task sorts a whole column).
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .ordered import quantiles, running_sums
 
 PSI_FLOOR = 0.0001
+#: Least norm of a Wasserstein distance (fixed value).
+NORM_FLOOR = 0.001
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 
@@ -90,23 +93,39 @@ def psi_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], floor: float =
     return psi_numeric_tagged(tag_sides(ref, cur), cols, floor)
 
 
-def ks_numeric_tagged(tagged: DataFrame, cols: list[str]) -> DataFrame:
-    """D2(b) on a side-tagged frame: two-sample KS statistic per column (NULLs ignored)."""
+def distances_tagged(tagged: DataFrame, cols: list[str]) -> DataFrame:
+    """D2(b, c) on a side-tagged frame: ``(column_name, ks, wasserstein)`` per column, NULLs ignored.
+
+    ``wasserstein`` is normed by the reference's population standard deviation, ``NORM_FLOOR`` at
+    least. A column without values on either side has NULLs.
+    """
     vals = tagged.select(F.col(SIDE), F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("p")).select(SIDE, "p.*").filter(F.col("v").isNotNull())
     g = vals.groupBy("column_name", "v").agg(
         F.count_if(F.col(SIDE) == 1).alias("n_ref"), F.count_if(F.col(SIDE) == 0).alias("n_cur")
     )
-    cum = running_sums(g, ["column_name", "v"], ["n_ref", "n_cur"])
+    cum = running_sums(g, ["column_name", "v"], ["n_ref", "n_cur"], lead=["v"])
+    n, v = F.col("n_ref").cast("double"), F.col("v")
+    mean = F.sum(n * v) / F.sum(n)
     per_col = cum.groupBy("column_name").agg(
         F.min(F.col("cum_n_ref") - F.col("n_ref")).alias("_br"), F.min(F.col("cum_n_cur") - F.col("n_cur")).alias("_bc"),
-        F.sum("n_ref").alias("_tr"), F.sum("n_cur").alias("_tc"),
+        F.sum("n_ref").alias("_tr"), F.sum("n_cur").alias("_tc"), F.max("v").alias("_most"), F.when(F.sum(n) > 0, mean).alias("_mean"),
     )
     j = cum.join(F.broadcast(per_col), "column_name")  # one row per column
-    f_ref = (F.col("cum_n_ref") - F.col("_br")).cast("double") / F.col("_tr").cast("double")
-    f_cur = (F.col("cum_n_cur") - F.col("_bc")).cast("double") / F.col("_tc").cast("double")
-    return j.groupBy("column_name").agg(F.max(F.abs(f_ref - f_cur)).alias("ks"))
+    share = lambda cum_n, base, total: F.when(F.col(total) > 0, (F.col(cum_n) - F.col(base)).cast("double") / F.col(total).cast("double"))
+    gap = F.abs(share("cum_n_ref", "_br", "_tr") - share("cum_n_cur", "_bc", "_tc"))
+    wide = F.when(v < F.col("_most"), F.col("next_v") - v).otherwise(F.lit(0.0))
+    far = v - F.col("_mean")
+    out = j.groupBy("column_name").agg(
+        F.max(gap).alias("ks"), F.sum(gap * wide).alias("_area"), (F.sum(n * far * far) / F.sum(n)).alias("_var"),
+    )
+    return out.select("column_name", "ks", (F.col("_area") / F.greatest(F.sqrt("_var"), F.lit(NORM_FLOOR))).alias("wasserstein"))
+
+
+def ks_numeric_tagged(tagged: DataFrame, cols: list[str]) -> DataFrame:
+    """D2(b) on a side-tagged frame: two-sample KS statistic per column (NULLs ignored)."""
+    return distances_tagged(tagged, cols).select("column_name", "ks")
 
 
 def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
@@ -114,6 +133,28 @@ def ks_numeric(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     return ks_numeric_tagged(tag_sides(ref, cur), cols)
 
 
+def wasserstein_numeric_tagged(tagged: DataFrame, cols: list[str]) -> DataFrame:
+    """D2(c) on a side-tagged frame: normed Wasserstein distance per column (NULLs ignored)."""
+    return distances_tagged(tagged, cols).select("column_name", "wasserstein")
+
+
+def wasserstein_numeric(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+    """D2(c): normed Wasserstein distance per numeric column (NULLs ignored)."""
+    return wasserstein_numeric_tagged(tag_sides(ref, cur), cols)
+
+
+def column_report_tagged(tagged: DataFrame, num_cols: list[str], cat_cols: list[str], psi_threshold: float = 0.1,
+                         distance_threshold: float = 0.1) -> DataFrame:
+    """The configured report: ``(column_name, kind, test, score, drifted)``, PSI for the categorical
+    columns, normed Wasserstein distance for the numeric ones."""
+    t = tagged.select(SIDE, *num_cols, *cat_cols)
+    part = lambda df, kind, test, score, threshold: df.select(
+        "column_name", F.lit(kind).alias("kind"), F.lit(test).alias("test"), F.col(score).alias("score"),
+        F.coalesce((F.col(score) >= F.lit(threshold)).cast("int"), F.lit(0)).alias("drifted"))
+    return part(psi_categorical_tagged(t, cat_cols), "categorical", "psi", "psi", psi_threshold).unionByName(
+        part(wasserstein_numeric_tagged(t, num_cols), "numeric", "wasserstein", "wasserstein", distance_threshold))
+
+
 def drift_report_tagged(tagged: DataFrame, num_cols: list[str], cat_cols: list[str], threshold: float = 0.2,
                         share: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """D1-D4 on a side-tagged frame: per-column PSI with a drift flag, and the dataset flag."""

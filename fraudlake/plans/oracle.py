@@ -525,16 +525,37 @@ SQL["psi_categorical"] = with_(*DRIFT_SIDES, *psi_ctes({c: c for c in DRIFT_CATE
 
 SQL["psi_numeric"] = with_(*DRIFT_SIDES, _EDGES, *psi_ctes(_BINS)) + "SELECT column_name, round(psi, 6) AS psi FROM psi"
 
-SQL["ks_numeric"] = with_(*DRIFT_SIDES, "vals AS (" + "\nUNION ALL ".join(
+_CDF = ["vals AS (" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v, 1 AS is_ref FROM ref WHERE {c} IS NOT NULL "
     f"UNION ALL SELECT '{c}', CAST({c} AS DOUBLE), 0 FROM cur WHERE {c} IS NOT NULL" for c in DRIFT_NUMERIC) + ")",
     """g AS (SELECT column_name, v, count(*) FILTER (WHERE is_ref = 1) AS nr, count(*) FILTER (WHERE is_ref = 0) AS nc
           FROM vals GROUP BY 1, 2)""", """c AS (SELECT *,
     sum(nr) OVER (PARTITION BY column_name ORDER BY v ROWS UNBOUNDED PRECEDING) AS cr,
     sum(nc) OVER (PARTITION BY column_name ORDER BY v ROWS UNBOUNDED PRECEDING) AS cc,
-    sum(nr) OVER (PARTITION BY column_name) AS tr, sum(nc) OVER (PARTITION BY column_name) AS tc FROM g)""") + """
-SELECT column_name, round(max(abs(CAST(cr AS DOUBLE) / CAST(tr AS DOUBLE) - CAST(cc AS DOUBLE) / CAST(tc AS DOUBLE))), 6) AS ks
-FROM c GROUP BY column_name"""
+    sum(nr) OVER (PARTITION BY column_name) AS tr, sum(nc) OVER (PARTITION BY column_name) AS tc,
+    lead(v) OVER (PARTITION BY column_name ORDER BY v) AS next_v,
+    sum(nr * v) OVER (PARTITION BY column_name) / sum(nr) OVER (PARTITION BY column_name) AS mean FROM g)"""]
+_GAP = "abs(CAST(cr AS DOUBLE) / CAST(tr AS DOUBLE) - CAST(cc AS DOUBLE) / CAST(tc AS DOUBLE))"
+_WASSERSTEIN = f"""wd AS (SELECT column_name, sum({_GAP} * coalesce(next_v - v, 0))
+    / greatest(sqrt(sum(nr * (v - mean) * (v - mean)) / sum(nr)), 0.001) AS wasserstein FROM c GROUP BY column_name)"""
+
+SQL["ks_numeric"] = with_(*DRIFT_SIDES, *_CDF) + f"SELECT column_name, round(max({_GAP}), 6) AS ks FROM c GROUP BY column_name"
+
+SQL["wasserstein_numeric"] = with_(*DRIFT_SIDES, *_CDF, _WASSERSTEIN) + "SELECT column_name, round(wasserstein, 6) AS wasserstein FROM wd"
+
+
+def report_sql(run_id: str, rows: str) -> str:
+    """The report of one run, as a query of its own."""
+    sides = [*GOLD_CTES, f"own AS (SELECT * FROM gold WHERE {rows})", "ref AS (SELECT * FROM own WHERE date < DATE '2000-01-01')",
+             "cur AS (SELECT * FROM own WHERE date >= DATE '2000-01-01')"]
+    return with_(*sides, *_CDF, _WASSERSTEIN, *psi_ctes({c: c for c in DRIFT_CATEGORICAL})) + f"""
+SELECT '{run_id}' AS run_id, column_name, 'categorical' AS kind, 'psi' AS test, round(psi, 6) AS score, CAST(psi >= 0.1 AS INTEGER) AS drifted FROM psi
+UNION ALL
+SELECT '{run_id}', column_name, 'numeric', 'wasserstein', round(wasserstein, 6), CAST(wasserstein >= 0.1 AS INTEGER) FROM wd"""
+
+
+SQL["drift_report_table"] = f"""SELECT * FROM ({report_sql("run-1", "date IS NOT NULL")})
+UNION ALL SELECT * FROM ({report_sql("run-2", "date <= DATE '2000-12-31'")})"""
 
 _PSI_CAT = psi_ctes({c: c for c in DRIFT_CATEGORICAL})
 _PSI_NUM = [x.replace("rc AS", "rn AS").replace("cc AS", "cn AS").replace("sh AS", "shn AS").replace("psi AS (", "psin AS (")
@@ -555,7 +576,7 @@ SQL["standardise"] = with_(*GOLD_LABELS_CTES, "tr AS (SELECT * FROM gwl WHERE da
     f"round((coalesce(CAST({c} AS DOUBLE), m_{c}) - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END, 6) AS {c}"
     for c in STANDARDISE_COLUMNS) + " FROM gwl, st"
 
-_OH = {"merchant_state": ["cl", "er", "pu", "si", "vi"], "errors": ["click", "error", "purchase", "signup", "view"],
+_OH = {"merchant_state": ["cl", "er", "pu", "si", "vi"], "errors": ["bad cvv", "bad pin", "insufficient balance", "technical glitch"],
        "use_chip": ["Chip Transaction", "Swipe Transaction"]}
 SQL["one_hot"] = with_(RAW_TX, """x AS (SELECT id AS transaction_id, CAST(CAST(date AS TIMESTAMP) AS DATE) AS day,
     trim(lower(merchant_state)) AS merchant_state, trim(lower(errors)) AS errors, use_chip FROM raw_tx)""",

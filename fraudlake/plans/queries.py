@@ -446,19 +446,20 @@ def roc_curve(spark: SparkSession, d: str) -> DataFrame:
 
 # -------------------------------------------------------------------- drift
 DRIFT_CUTOFF = "2000-01-01"
+DRIFT_SECOND_RUN = "2000-12-31"
 DRIFT_CATEGORICAL = ["errors", "use_chip", "card_brand", "card_type", "gender", "has_chip"]
 DRIFT_NUMERIC = ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_changed", "yearly_income",
                  "num_cards_issued"]
 
 
-def _drift_frame(spark: SparkSession, d: str) -> DataFrame:
+def _drift_frame(spark: SparkSession, d: str, *more: str) -> DataFrame:
     """Gold rows tagged reference (before the cutoff) or current (from it on); configured columns only.
 
     One frame for both sides, so the gold join runs once per pass instead of once per side.
     """
     g = gold_features(spark, d)
     is_ref = (F.col("date") < F.lit(DRIFT_CUTOFF).cast("date")).cast("int")
-    return g.filter(F.col("date").isNotNull()).select(is_ref.alias(drift.SIDE), *DRIFT_NUMERIC, *DRIFT_CATEGORICAL)
+    return g.filter(F.col("date").isNotNull()).select(is_ref.alias(drift.SIDE), *DRIFT_NUMERIC, *DRIFT_CATEGORICAL, *more)
 
 
 def psi_categorical(spark: SparkSession, d: str) -> DataFrame:
@@ -478,6 +479,24 @@ def ks_numeric(spark: SparkSession, d: str) -> DataFrame:
     return drift.ks_numeric_tagged(_drift_frame(spark, d), DRIFT_NUMERIC).select("column_name", F.round("ks", 6).alias("ks"))
 
 
+def wasserstein_numeric(spark: SparkSession, d: str) -> DataFrame:
+    """D2(c): normed Wasserstein distance."""
+    out = drift.wasserstein_numeric_tagged(_drift_frame(spark, d), DRIFT_NUMERIC)
+    return out.select("column_name", F.round("wasserstein", 6).alias("wasserstein"))
+
+
+def drift_report_table(spark: SparkSession, d: str) -> DataFrame:
+    """The report of two runs (all rows; the rows up to ``DRIFT_SECOND_RUN``) appended to one table."""
+    path = stream_jobs.new_sink(spark, "drift_reports")
+    frame = _drift_frame(spark, d, "date")
+    runs = {"run-1": frame, "run-2": frame.filter(F.col("date") <= F.lit(DRIFT_SECOND_RUN).cast("date"))}
+    for run_id, rows in runs.items():
+        report = drift.column_report_tagged(rows, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+        files.append_table(drift.report_rows(report, run_id), path)
+    out = spark.read.parquet(path)
+    return out.select("run_id", "column_name", "kind", "test", F.round("score", 6).alias("score"), "drifted")
+
+
 def dataset_drift(spark: SparkSession, d: str) -> DataFrame:
     """D3: share of drifted columns (PSI >= 0.2) and the dataset flag (share >= 0.5)."""
     _, ds = drift.drift_report_tagged(_drift_frame(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.2, share=0.5)
@@ -785,6 +804,8 @@ QUERIES = {
     "psi_numeric": psi_numeric,
     "ks_numeric": ks_numeric,
     "dataset_drift": dataset_drift,
+    "wasserstein_numeric": wasserstein_numeric,
+    "drift_report_table": drift_report_table,
     "standardise": standardise,
     "one_hot": one_hot,
     "smote_neighbours": smote_neighbours,
