@@ -269,11 +269,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
 
 
 def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """h, rep, n: the rarest of each set's n shingles, so many that two similar sets share one.
+    """h, rep, n, pos: the rarest of each set's n shingles, so many that two similar sets share one.
 
     Sets of a similarity of share or more have at least that part of the larger in common, so their
     first n - ceil(share * n) + 1 shingles meet, in whatever order all sets keep: here that of
-    counts, with those below the bound as equals, and of hashes.
+    counts, with those below the bound as equals, and of hashes. ``pos`` is the place in that order.
     """
     up, down = share
     kind = id_type(sets, "rep")
@@ -293,7 +293,7 @@ def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = table.value
         for b in batches:
-            hs, at, size = [], [], []
+            hs, at, size, pos = [], [], [], []
             for i, x in enumerate(b.column("shingles").to_pylist()):
                 x = np.frombuffer(x, np.uint64)
                 j = np.minimum(np.searchsorted(keys, x), max(len(keys) - 1, 0))
@@ -302,33 +302,41 @@ def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
                 hs.append(x[first])
                 at.append(np.full(len(first), i))
                 size.append(np.full(len(first), len(x)))
+                pos.append(np.arange(len(first)))
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), b.column("rep").take(pa.array(np.concatenate(at))), pa.array(np.concatenate(size))], ["h", "rep", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(hs).view(np.int64)), b.column("rep").take(pa.array(np.concatenate(at))), pa.array(np.concatenate(size)), pa.array(np.concatenate(pos))], ["h", "rep", "n", "pos"]
+                )
 
-    return sets.select("rep", "shingles").mapInArrow(run, f"h long, rep {kind}, n long")
+    return sets.select("rep", "shingles").mapInArrow(run, f"h long, rep {kind}, n long, pos long")
 
 
 def _complete(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(rep, label) once more, with every link between two of the given sets.
 
     First the components that meet at a shingle are tried by one member each, again until that
-    links nothing; then all pairs that still lead from one component to another.
+    links nothing; then all pairs that still lead from one component to another. Pairs whose
+    places in the order leave too few shingles to be similar are never made.
     """
     up, down = share
     rows = saved(_prefixes(sets, share), "prefixes")
     fits = (up * F.col("na") <= down * F.col("nb")) & (up * F.col("nb") <= down * F.col("na"))
+    # from a shingle that they share on, two sets can have no more in common than what follows it in either
+    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    fits = fits & ((up + down) * most >= up * (F.col("na") + F.col("nb")))
     pair = (F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
     checked, every = None, False
     while True:
         named = rows.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         mixed = named.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("h")
         rows_left = saved(lookup_join(named, mixed, "h", "inner"), "mixed")
-        sides = rows_left if every else rows_left.groupBy("h", "label").agg(F.min(F.struct("rep", "n")).alias("m")).select("h", "label", "m.*")
-        one = sides.select("h", F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("label").alias("la"))
-        if every:
-            two = sides.select("h", F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        else:
-            two = sides.groupBy("h").agg(F.min(F.struct("label", "rep", "n")).alias("m")).select("h", F.col("m.rep").alias("rb"), F.col("m.n").alias("nb"), F.col("m.label").alias("lb"))
+        first = F.struct("pos", "rep", "n")  # the place that leaves most in common
+        sides = rows_left if every else rows_left.groupBy("h", "label").agg(F.min(first).alias("m")).select("h", "label", "m.*")
+        one = sides.select("h", F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"))
+        two = sides
+        if not every:
+            two = sides.groupBy("h").agg(F.min(F.struct("label", "rep", "n", "pos")).alias("m")).select("h", "m.*")
+        two = two.select("h", F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"))
         tried = lookup_join(one, two, "h", "inner").where(F.col("la") > F.col("lb")).where(fits).select(*pair).distinct()
         if checked is not None:
             tried = tried.join(checked.select("a", "b"), ["a", "b"], "left_anti")

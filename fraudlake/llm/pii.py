@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .flat import Texts, annotate
+from .store import packed, unpacked
 
 ROUNDS = 10
 #: Session setting that holds the key, and the key of sessions without it (for trials only).
@@ -287,12 +288,13 @@ def _annotated(docs: DataFrame, key: str, back: bool) -> DataFrame:
 
 
 def _replaced(docs: DataFrame, key: str, back: bool) -> DataFrame:
-    rows = _annotated(docs, key, back)
+    rows = _annotated(packed(docs, "text"), key, back)
     change = F.size("__kinds") > 0
-    rows = rows.withColumn("text", F.when(change, F.col("__new")).otherwise(F.col("text")))
+    rows = rows.select("row", change.alias("change"), F.when(change, F.col("__new")).otherwise(F.col("text")).alias("replaced"))
+    new = {"text": F.col("replaced")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(change, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.when(F.col("change"), F.length("replaced").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return rows.select(*unpacked(docs, **new))
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:

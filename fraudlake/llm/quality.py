@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import flat
-from .store import id_type, lookup_join, saved
+from .store import id_type, lookup_join, packed, saved, unpacked
 
 #: Method rules and their conditions on the measured counts, in integers.
 SOFT_RULES = {
@@ -166,7 +166,7 @@ def keep_good(docs: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
     """
     hosts, n = _verdicts(measure(docs), host_rate)
     counts = lambda t: {f"__{c}": x.astype(np.int64) for c, x in measure_texts(t).items()}
-    rows = flat.annotate(docs, counts, ", ".join(f"__{c} long" for c in _COUNTS))
+    rows = flat.annotate(packed(docs, "text", "source"), counts, ", ".join(f"__{c} long" for c in _COUNTS))
     rows = rows.where(F.size(_failed(BASE_RULES, "__")) == 0).withColumn("__soft", _failed(SOFT_RULES, "__")).withColumn("__host", host_of("source"))
     held = hosts.select(F.col("host").alias("__host"), F.col("held").alias("__held"))
-    return lookup_join(rows, held, "__host", rows=n).where(~F.arrays_overlap("__soft", "__held")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return lookup_join(rows, held, "__host", rows=n).where(~F.arrays_overlap("__soft", "__held")).select(*unpacked(docs))

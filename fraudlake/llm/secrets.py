@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import packed, unpacked
+
 # The patterns, the group that is the value, and its least length. The last two
 # take whole runs, so their least length can stand in the pattern and short runs cost nothing.
 PATTERNS = {
@@ -131,7 +133,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span of a text replaced by ``mark``; rows and other columns stay, n_chars follows the text."""
-    rows = find(docs)
+    rows = find(packed(docs, "text"))
     text = F.col("text").cast("string")
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -141,8 +143,10 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
 
     done = F.aggregate("__all", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    rows = rows.withColumn("text", F.when(F.size("__all") > 0, done).otherwise(text))
+    hit = F.size("__all") > 0
+    rows = rows.select("row", hit.alias("hit"), F.when(hit, done).otherwise(text).alias("redacted"))
+    new = {"text": F.col("redacted")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.size("__all") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.when(F.col("hit"), F.length("redacted").cast(kind)).otherwise(F.col("row.n_chars"))
+    return rows.select(*unpacked(docs, **new))

@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline: an operator's decisions applied to a frame of documents.
 
 Each function takes (spark, docs, sf_dir) and keeps every column of ``docs``, whatever their
-names; the operators' own columns never meet them.
+names: a row travels as one struct, so the operators' own columns never meet them.
 """
 
 from __future__ import annotations
@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, neardup, quality, secrets
-from .store import if_small, read_table, saved
+from .store import if_small, lookup_join, packed, read_table, saved, unpacked
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id isn't in ``gone``; rows without an id stay."""
-    ids = saved(gone.select(F.col("doc_id").alias("__gone")).where(F.col("__gone").isNotNull()).distinct(), "gone")
-    return docs.join(if_small(ids), docs["doc_id"] == F.col("__gone"), "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """r, a number of each row, and ``row``; written, so that a repeated task finds the same numbers."""
+    return saved(packed(docs).select(F.monotonically_increasing_id().alias("r"), "row"), "numbered")
+
+
+def _without(rows: DataFrame, gone: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents of ``rows`` whose number isn't in ``gone``."""
+    return rows.join(if_small(saved(gone.select("r").distinct(), "gone")), "r", "left_anti").select(*unpacked(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,13 +29,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest doc_id, once."""
-    return _without(docs, neardup.near_duplicates(docs).where(~F.col("kept")))
+    """One row of each group of near duplicates stays: that with the smallest doc_id (null: last).
+
+    Rows are told apart, not ids: repeated rows and rows without an id are one group like others.
+    """
+    rows = _numbered(docs)
+    own = rows.select(F.col("r").alias("doc_id"), F.col("row.text").alias("text"))
+    found = saved(neardup.near_duplicates(own).where("n_shingles > 0").select(F.col("doc_id").alias("r"), "component_id"), "components")
+    shared = saved(found.where("r <> component_id").select("component_id").distinct(), "shared_components")
+    found = found.join(if_small(shared), "component_id", "left_semi")
+    found = saved(found.join(rows.select("r", F.col("row.doc_id").alias("doc_id")), "r"), "copies")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "r")).alias("first"))
+    first = saved(first.select("component_id", F.col("first.r").alias("first")), "first_copies")
+    return _without(rows, lookup_join(found, first, "component_id", "inner", rows=first.count()).where("r <> first"), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
-    return _without(docs, decontam.overlaps(docs, read_table(spark, sf_dir, "benchmark")))
+    """Documents that hold a benchmark passage go, row by row."""
+    rows = _numbered(docs)
+    own = rows.select(F.col("r").alias("doc_id"), F.col("row.text").alias("text"))
+    found = decontam.overlaps(own, read_table(spark, sf_dir, "benchmark"))
+    return _without(rows, found.select(F.col("doc_id").alias("r")), docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

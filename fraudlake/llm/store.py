@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -33,15 +33,27 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     """Join a lookup table with one row per key, whatever share of ``left`` one key holds.
 
     ``rows``: the counted rows of ``right``. Up to BROADCAST_ROWS it is broadcast. Beyond, the
-    rows of each key are dealt over SALTS parts and the lookup rows are copied to each part.
+    rows of each key are dealt over SALTS parts, by a hash of the whole row, so that a repeated task
+    deals them alike, and the lookup rows are copied to each part.
     """
     if rows is not None and rows <= BROADCAST_ROWS:
         return left.join(F.broadcast(right), key, how)
-    salted = left.withColumn("__salt", F.floor(F.rand(7) * SALTS).cast("int"))
+    hashed = [c for c in left.columns if "map<" not in left.schema[c].dataType.simpleString()]
+    salted = left.withColumn("__salt", F.pmod(F.xxhash64(F.lit(7), *hashed), F.lit(SALTS)).cast("int"))
     copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [key, "__salt"], how).drop("__salt")
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """``row``, a struct of all columns of ``docs``, and the columns named: no other name can meet theirs."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *[docs[c] for c in names])
+
+
+def unpacked(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``row``, but those given anew."""
+    return [(changed[c] if c in changed else F.col("row").getField(c)).alias(c) for c in docs.columns]
+
+
 def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a written frame of narrow rows for broadcast if it has so few; else it is shuffled."""
     return F.broadcast(df) if df.count() <= rows else df
