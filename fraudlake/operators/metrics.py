@@ -74,7 +74,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
     # running sums run across groups in key order; remove the earlier groups' share
     if keys:
         first = cum.groupBy(*keys).agg(F.min(F.col("cum_neg") - F.col("neg")).alias("_base"))
-        cum = cum.join(first, keys)
+        cum = cum.join(F.broadcast(first), keys)  # one row per group of ``by``
         below = F.col("cum_neg") - F.col("neg") - F.col("_base")
     else:
         below = F.col("cum_neg") - F.col("neg")
@@ -94,7 +94,7 @@ def average_precision(df: DataFrame, label: str, score: str, by=None) -> DataFra
         base = cum.groupBy(*keys).agg(
             F.min(F.col("cum_pos") - F.col("pos")).alias("_bp"), F.min(F.col("cum_neg") - F.col("neg")).alias("_bn")
         )
-        cum = cum.join(base, keys)
+        cum = cum.join(F.broadcast(base), keys)  # one row per group of ``by``
         tp, fp = F.col("cum_pos") - F.col("_bp"), F.col("cum_neg") - F.col("_bn")
     else:
         tp, fp = F.col("cum_pos"), F.col("cum_neg")
