@@ -462,6 +462,12 @@ def _drift_frame(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return g.filter(F.col("date").isNotNull()).select(is_ref.alias(drift.SIDE), *DRIFT_NUMERIC, *DRIFT_CATEGORICAL, *more)
 
 
+def _drift_rows(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    """The drift frame written once, for reports of several passes: the gold join isn't run again for each."""
+    checkpoint_root(spark)
+    return _drift_frame(spark, d, *more).checkpoint(eager=True)
+
+
 def psi_categorical(spark: SparkSession, d: str) -> DataFrame:
     """Categorical PSI, reference vs current."""
     out = drift.psi_categorical_tagged(_drift_frame(spark, d), DRIFT_CATEGORICAL)
@@ -470,7 +476,7 @@ def psi_categorical(spark: SparkSession, d: str) -> DataFrame:
 
 def psi_numeric(spark: SparkSession, d: str) -> DataFrame:
     """D2(a): numeric PSI at reference deciles."""
-    out = drift.psi_numeric_tagged(_drift_frame(spark, d), DRIFT_NUMERIC)
+    out = drift.psi_numeric_tagged(_drift_rows(spark, d), DRIFT_NUMERIC)
     return out.select("column_name", F.round("psi", 6).alias("psi"))
 
 
@@ -488,7 +494,7 @@ def wasserstein_numeric(spark: SparkSession, d: str) -> DataFrame:
 def drift_report_table(spark: SparkSession, d: str) -> DataFrame:
     """The report of two runs (all rows; the rows up to ``DRIFT_SECOND_RUN``) appended to one table."""
     path = stream_jobs.new_sink(spark, "drift_reports")
-    frame = _drift_frame(spark, d, "date")
+    frame = _drift_rows(spark, d, "date")
     runs = {"run-1": frame, "run-2": frame.filter(F.col("date") <= F.lit(DRIFT_SECOND_RUN).cast("date"))}
     for run_id, rows in runs.items():
         report = drift.column_report_tagged(rows, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
@@ -499,7 +505,7 @@ def drift_report_table(spark: SparkSession, d: str) -> DataFrame:
 
 def dataset_drift(spark: SparkSession, d: str) -> DataFrame:
     """D3: share of drifted columns (PSI >= 0.2) and the dataset flag (share >= 0.5)."""
-    _, ds = drift.drift_report_tagged(_drift_frame(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.2, share=0.5)
+    _, ds = drift.drift_report_tagged(_drift_rows(spark, d), DRIFT_NUMERIC, DRIFT_CATEGORICAL, threshold=0.2, share=0.5)
     return ds.select("n_columns", "n_drifted", F.round("share", 6).alias("share"), "dataset_drift")
 
 
