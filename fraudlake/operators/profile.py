@@ -7,7 +7,11 @@ per-column metadata (a few numbers per column) comes back to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -61,37 +65,51 @@ def profile_cardinality(df: DataFrame, cols: list[str] | None = None, exact: boo
     )
 
 
-def low_cardinality_columns(df: DataFrame, cols: list[str], max_values: int = 10) -> list[str]:
-    """Columns (not id-like) with 1..max_values distinct values; one aggregate, per-column counts only."""
-    cand = [c for c in cols if "id" not in c.lower()]
-    if not cand:
-        return []
-    # screen with HyperLogLog (one pass, small fixed state per column, 5% error; near exact at such
-    # small counts) with a wide margin, then count exactly only the survivors, so the
-    # exact distinct aggregate never expands the rows once per column of a wide table
-    approx = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cand]).first()
-    near = [c for c in cand if approx[c] <= 2 * max_values + 5]
-    if not near:
-        return []
-    row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in near]).first()
-    return [c for c in near if 0 < row[c] <= max_values]
+def few_values(df: DataFrame, cols: list[str], max_values: int = 10) -> DataFrame:
+    """``(column_name, value, n)`` of the columns with 1 to ``max_values`` distinct values, NULL counted
+    beside them, from one scan.
+
+    Each task counts a column's values until it has seen too many and gives the column up; so a
+    task sends a few rows per column, whatever the columns hold, and a column that any task, or
+    all together, gave up is left out.
+    """
+    texts = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[dict | None] = [{} for _ in cols]
+        for b in batches:
+            for i, own in enumerate(seen):
+                if own is None:
+                    continue
+                for x in pc.value_counts(b.column(i)).to_pylist():
+                    own[x["values"]] = own.get(x["values"], 0) + x["counts"]
+                if len(own) - (None in own) > max_values:
+                    seen[i] = None
+        rows = [(i, v, n) for i, own in enumerate(seen) if own is not None for v, n in own.items()]
+        rows += [(i, None, -1) for i, own in enumerate(seen) if own is None]  # given up
+        at, value, n = zip(*rows) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(value, pa.string()), pa.array(n, pa.int64())], ["col", "value", "n"])
+
+    counts = texts.mapInArrow(run, "col int, value string, n long").groupBy("col", "value").agg(
+        F.sum(F.greatest("n", F.lit(0))).alias("n"), F.min("n").alias("_least"))
+    own = Window.partitionBy("col")  # a few rows per column and task
+    kept = counts.withColumns({"_up": F.min("_least").over(own), "_d": F.count("value").over(own)})
+    names = F.array(*map(F.lit, cols))
+    return kept.filter((F.col("_up") >= 0) & F.col("_d").between(1, max_values)).select(names[F.col("col")].alias("column_name"), "value", "n")
 
 
 def profile_distribution(df: DataFrame, cols: list[str] | None = None, max_values: int = 10) -> DataFrame:
-    """A5: value counts with NULL as a value: ``(column_name, value, n, pct)``."""
-    cols = low_cardinality_columns(df, cols or df.columns, max_values)
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
-    ])).alias("p")).select("p.*")
-    counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return _with_total(counts, total)
+    """A5: value counts with NULL as a value: ``(column_name, value, n, pct)``, id-like columns left out."""
+    cand = [c for c in (cols or df.columns) if "id" not in c.lower()]
+    if not cand:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n bigint, pct double")
+    return _with_share(few_values(df, cand, max_values))
 
 
-def _with_total(counts: DataFrame, total: DataFrame) -> DataFrame:
-    """Attach the one-row total (a literal from a one-number aggregate)."""
-    n = total.first()["_n"]
-    return counts.select("column_name", "value", "n", pct("n", F.lit(n)).alias("pct"))
+def _with_share(counts: DataFrame) -> DataFrame:
+    """``(column_name, value, n)`` and each count's percentage of its column's rows."""
+    total = F.sum("n").over(Window.partitionBy("column_name"))
+    return counts.select("column_name", "value", "n", pct(F.col("n"), total).alias("pct"))
 
 
 def numeric_columns(df: DataFrame, exclude_id: bool = True) -> list[str]:
@@ -131,9 +149,8 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool =
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """``(label, n, pct)``."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("_n"))
-    return _with_total(counts.select(F.lit(label).alias("column_name"), F.col(label).cast("string").alias("value"), "n"),
-                       total).select(F.col("value").alias(label), "n", "pct")
+    counts = counts.select(F.lit(label).alias("column_name"), F.col(label).cast("string").alias("value"), "n")
+    return _with_share(counts).select(F.col("value").alias(label), "n", "pct")
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
@@ -213,6 +230,13 @@ def transaction_flags(df: DataFrame) -> DataFrame:
     })
 
 
+def cross_counts(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    """Rows by every combination of the flags (1/0) that occurs, and its percentage of all rows."""
+    counts = df.select(*[c.cast("int").alias(name) for name, c in flags.items()]).groupBy(*flags).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # two to the number of flags rows at most
+    return counts.select(*flags, "n", pct(F.col("n"), total).alias("pct"))
+
+
 def cvv_available(c: str | Column = "cvv") -> Column:
     """CVV text of length 3 or more."""
     col = F.col(c) if isinstance(c, str) else c

@@ -383,6 +383,23 @@ SQL["table_shape"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS name, count(*) AS rows, {n} AS columns FROM {t}"
     for t, n in [("lineitem", 11), ("orders", 6), ("customer", 5), ("part", 6), ("events", 6)])
 
+SQL["flag_cross"] = with_(RAW_TX) + """
+SELECT CAST(use_chip = 'Swipe Transaction' AS INTEGER) AS is_online, CAST(merchant_state IS NULL AS INTEGER) AS state_missing, count(*) AS n,
+       CAST(count(*) AS DOUBLE) * 100.0 / CAST((SELECT count(*) FROM raw_tx) AS DOUBLE) AS pct
+FROM raw_tx GROUP BY 1, 2"""
+
+_KINDS = {"numeric": ["amount", "credit_limit", "acct_opened_months", "yrs_since_pin_changed"],
+          "categorical": ["transaction_id", "client_id", "card_id", "mcc", "merchant_state", "zip", "errors", "use_chip", "gender", "address",
+                          "card_brand", "card_type", "mcc_description", "is_fraud"]}
+SQL["column_values"] = with_(*GOLD_LABELS_CTES) + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{k}' AS kind, count({c}) AS n FROM gwl" for k, cs in _KINDS.items() for c in cs)
+
+SQL["silver_mcc"] = """
+SELECT 'm' || CAST(p_partkey AS VARCHAR) AS mcc_code, trim(lower('  ' || upper(p_name) || ' ')) AS mcc_description FROM part"""
+
+SQL["table_overwrite"] = with_(CARDS) + """
+SELECT card_brand, has_chip, count(*) AS n FROM cards WHERE has_chip = 'yes' GROUP BY 1, 2"""
+
 # ------------------------------------------------------ splits and metrics
 def oot_ctes(src: str, date_expr: str, splits: int, days: int, prefix: str) -> list[str]:
     ctes = [f"{prefix}d AS (SELECT DISTINCT CAST({date_expr} AS DATE) AS d FROM {src} WHERE {date_expr} IS NOT NULL)",
@@ -425,6 +442,18 @@ SELECT split_id, label, count(*) AS n FROM (
   SELECT CASE WHEN rn <= floor(CAST(0.2 AS DOUBLE) * n_label + 0.5) THEN 'test' ELSE 'train' END, label FROM pool)
 GROUP BY split_id, label"""
 
+SQL["cutoff_train_val"] = with_(SCORED, """ev AS (SELECT *, CASE WHEN day >= DATE '2024-01-26' THEN 'oot3'
+                                 WHEN day >= DATE '2024-01-21' THEN 'oot2'
+                                 WHEN day >= DATE '2024-01-16' THEN 'oot1' ELSE 'pool' END AS split_id FROM scored)""",
+                                f"pool AS (SELECT *, {strat_rank('ev', 42)} FROM ev WHERE split_id = 'pool')",
+                                "tv AS (SELECT event_id, label FROM pool WHERE NOT (rn <= floor(CAST(0.2 AS DOUBLE) * n_label + 0.5)))",
+                                f"v AS (SELECT *, {strat_rank('tv', 43)} FROM tv)") + """
+SELECT split_id, label, count(*) AS n FROM (
+  SELECT split_id, label FROM ev WHERE split_id <> 'pool'
+  UNION ALL SELECT 'test', label FROM pool WHERE rn <= floor(CAST(0.2 AS DOUBLE) * n_label + 0.5)
+  UNION ALL SELECT CASE WHEN rn <= floor(CAST(0.25 AS DOUBLE) * n_label + 0.5) THEN 'val' ELSE 'train' END, label FROM v)
+GROUP BY split_id, label"""
+
 SQL["stratified_split"] = with_(SCORED, f"r AS (SELECT *, {strat_rank('scored', 42)} FROM scored)") + """
 SELECT event_id, label, CAST(rn <= floor(CAST(0.2 AS DOUBLE) * n_label + 0.5) AS INTEGER) AS is_test FROM r"""
 
@@ -502,6 +531,12 @@ DRIFT_SIDES = [*GOLD_CTES, "ref AS (SELECT * FROM gold WHERE date < DATE '2000-0
                "cur AS (SELECT * FROM gold WHERE date >= DATE '2000-01-01')"]
 
 
+SQL["reference_set"] = with_(*DRIFT_SIDES) + """
+SELECT run_name, errors, count(*) AS n, CAST(sum(credit_limit) AS BIGINT) AS credit_limit, count(DISTINCT card_type) AS card_types FROM (
+  SELECT 'run-1' AS run_name, * FROM ref WHERE errors <> 'r' UNION ALL SELECT 'run-2', * FROM ref WHERE errors = 'r')
+GROUP BY run_name, errors"""
+
+
 def psi_ctes(value_of: dict[str, str]) -> list[str]:
     def counts(side: str) -> str:
         return "\nUNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({e} AS VARCHAR) AS value, count(*) AS n FROM {side} GROUP BY 2"

@@ -334,6 +334,52 @@ def profile_flags(spark: SparkSession, d: str) -> DataFrame:
     return profile.flag_rates(flags, names).unionByName(profile.flag_rates(cards, ["cvv_available"]))
 
 
+def flag_cross(spark: SparkSession, d: str) -> DataFrame:
+    """Online merchants against missing states in the raw rows, counted together."""
+    raw = fx.raw_transactions(spark, d)
+    online = F.col("use_chip") == "Swipe Transaction"
+    return profile.cross_counts(raw, {"is_online": online, "state_missing": F.col("merchant_state").isNull()})
+
+
+def column_values(spark: SparkSession, d: str) -> DataFrame:
+    """M1: the feature columns by kind, found from the types, and their values that aren't NULL."""
+    g = gold_with_labels(spark, d)
+    numeric, categorical = prep.split_columns(g, exclude=("label",))
+    kinds = dict.fromkeys(numeric, "numeric") | dict.fromkeys(categorical, "categorical")
+    wide = g.agg(*[F.count(c).alias(c) for c in kinds])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), F.col(c).alias("n")) for c, k in kinds.items()])
+    return wide.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+def silver_mcc(spark: SparkSession, d: str) -> DataFrame:
+    """P6/P7 on merchant categories with odd case and spaces."""
+    p = table(spark, d, "part")
+    raw = p.select(F.concat(F.lit("M"), F.col("p_partkey").cast("string")).alias("mcc_code"),
+                   F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")).alias("mcc_description"))
+    return silver.clean_mcc(raw)
+
+
+def table_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """K2: a table written in full twice holds the rows of the second write alone."""
+    path = stream_jobs.new_sink(spark, "overwritten")
+    cards = fx.cards(spark, d)
+    for rows in (cards, cards.filter(F.col("has_chip") == "yes")):
+        files.overwrite_table(rows, path)
+    return spark.read.parquet(path).groupBy("card_brand", "has_chip").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reference_set(spark: SparkSession, d: str) -> DataFrame:
+    """K4: the reference rows of two training runs, the first written once more; rows and sums by run."""
+    path = stream_jobs.new_sink(spark, "reference_sets")
+    rows = _drift_frame(spark, d).filter(F.col(drift.SIDE) == 1)
+    cols = [*DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
+    for run, part in (("run-1", rows), ("run-2", rows.filter(F.col("errors") == "r")), ("run-1", rows.filter(F.col("errors") != "r"))):
+        drift.write_reference_set(part, cols, path, run)
+    back = spark.read.parquet(path)
+    return back.groupBy("run_name", "errors").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("credit_limit").cast("long")).alias("credit_limit"), F.countDistinct("card_type").alias("card_types"))
+
+
 def table_shape(spark: SparkSession, d: str) -> DataFrame:
     """Rows and columns of the source tables."""
     out = None
@@ -382,6 +428,17 @@ def cutoff_splits(spark: SparkSession, d: str) -> DataFrame:
     return rest.unionByName(pool).groupBy("split_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def cutoff_train_val(spark: SparkSession, d: str) -> DataFrame:
+    """W4 + W6: named cutoff windows, the rest split by class into test, validation and train."""
+    ev = splits.split_cutoffs(fx.scored_events(spark, d), "day", EVENT_CUTOFFS, default="pool")
+    pool = splits.stratified_split(ev.filter(F.col("split_id") == "pool"), "event_id", "label", 0.2, 42)
+    fit = splits.stratified_split(pool.filter(~F.col("is_test")).drop("is_test"), "event_id", "label", 0.25, 43, out="is_val")
+    named = lambda df, name: df.select("label", name.alias("split_id"))
+    out = named(ev.filter(F.col("split_id") != "pool"), F.col("split_id"))
+    out = out.unionByName(named(pool.filter("is_test"), F.lit("test"))).unionByName(named(fit, F.when(F.col("is_val"), "val").otherwise("train")))
+    return out.groupBy("split_id", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def stratified_split(spark: SparkSession, d: str) -> DataFrame:
     """80/20 split per class, seed 42."""
     out = splits.stratified_split(fx.scored_events(spark, d), "event_id", "label", 0.2, 42)
@@ -792,6 +849,12 @@ QUERIES = {
     "top_values": top_values,
     "top_preview": top_preview,
     "profile_flags": profile_flags,
+    "flag_cross": flag_cross,
+    "column_values": column_values,
+    "silver_mcc": silver_mcc,
+    "table_overwrite": table_overwrite,
+    "reference_set": reference_set,
+    "cutoff_train_val": cutoff_train_val,
     "table_shape": table_shape,
     "rolling_rate": rolling_rate,
     "oot_splits": oot_splits,
