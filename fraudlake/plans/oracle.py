@@ -146,6 +146,10 @@ GROUP BY 1"""
 
 SQL["json_map_rows"] = with_(MCC) + "SELECT mcc_code, mcc_description FROM mcc"
 
+SQL["json_range_rows"] = """
+SELECT CAST(event_id AS VARCHAR) AS transaction_id, event_type || ', "' || CAST(user_id AS VARCHAR) || '"' || chr(10) || '{' AS note FROM events
+UNION ALL SELECT 'end', NULL"""
+
 SQL["json_label_rows"] = """
 SELECT lower(CAST(event_id AS VARCHAR)) AS transaction_id,
        CASE WHEN event_type = 'error' THEN 'yes' ELSE 'no' END AS is_fraud

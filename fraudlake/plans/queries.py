@@ -19,6 +19,7 @@ from ..functions import columns as C
 from ..operators import drift, gold, integrity, metrics, model, online, ordered, prep, profile, resample, silver, splits
 from ..session import checkpoint_root
 from ..sources import files
+from ..sources.json_ranges import read_json_ranges
 from ..streaming import jobs as stream_jobs
 from ..sources.tables import table
 from . import fixtures as fx
@@ -56,6 +57,19 @@ def json_map_rows(spark: SparkSession, d: str) -> DataFrame:
     return docs.select(*files.parse_json_map(F.col("text"), "mcc_code", "mcc_description"))
 
 
+def json_range_rows(spark: SparkSession, d: str) -> DataFrame:
+    """One JSON file of all events, with commas, quotes and brackets in its texts, read by byte ranges."""
+    path = stream_jobs.new_sink(spark, "one_json")
+    e = table(spark, d, "events")
+    text = F.concat("event_type", F.lit(', "'), F.col("user_id").cast("string"), F.lit('"\n{'))
+    pair = F.to_json(F.create_map(F.col("event_id").cast("string"), text))
+    line = lambda x: spark.range(1).select(F.lit(x).alias("value"))
+    rows = e.select(F.concat(F.substring(pair, F.lit(2), F.length(pair) - 2), F.lit(",")).alias("value"))
+    whole = line('{"note": {"1": "no, {"}, "target": {').unionByName(rows).unionByName(line('"end": null}, "after": {"2": "no"}}'))
+    whole.coalesce(1).write.text(path)  # one file, as such maps come
+    return read_json_ranges(spark, path, "transaction_id", "note", "target")
+
+
 def json_label_rows(spark: SparkSession, d: str) -> DataFrame:
     """A label map split into comma fragments (as a splittable text read gives) parsed to rows."""
     e = table(spark, d, "events")
@@ -819,6 +833,7 @@ QUERIES = {
     "snapshot_counts": snapshot_counts,
     "json_map_rows": json_map_rows,
     "json_label_rows": json_label_rows,
+    "json_range_rows": json_range_rows,
     "silver_money": silver_money,
     "silver_month_dates": silver_month_dates,
     "silver_null_fill": silver_null_fill,

@@ -63,8 +63,8 @@ def read_json_map(spark: SparkSession, path: str, key_name: str, value_name: str
     ``splittable=True``: the file is split on ``,`` so one large object is read by
     many tasks; each fragment holds one ``"key": scalar`` pair, possibly
     preceded by the opening brace(s) or followed by the closing ones. Other files
-    (a value with a comma, a second object) make it fail. ``prefix`` names an
-    enclosing key (``{"target": {...}}``).
+    (a value with a comma, a second object) make it fail; ``json_ranges.read_json_ranges``
+    reads any object by many tasks. ``prefix`` names an enclosing key (``{"target": {...}}``).
     """
     if not splittable:
         raw = spark.read.option("wholetext", "true").text(path)
