@@ -9,7 +9,7 @@ stretch is 13 tokens, or 80 % of a shorter item.
 
 Tokens are runs of letters and digits in lower case, so punctuation never hides a passage.
 
-Defined results: null or empty texts and items match nothing; items shorter than a mask are
+Defined results: null or empty texts and items match nothing; items below five tokens are
 searched by their whole token sequence; repeated items are each reported, a repeated doc_id
 once per item; rows without an id are not reported; extra columns are ignored.
 """
@@ -28,7 +28,6 @@ from .store import BROADCAST_ROWS, id_type, if_small, saved
 
 #: Token offsets that each mask hashes.
 MASKS = ((0, 1, 3, 4, 5), (0, 2, 7, 8, 9), (0, 1, 2, 7, 8))
-SPAN = min(m[-1] for m in MASKS) + 1
 RUN_TOKENS = 13
 #: A stretch may have one unequal token for every four equal ones.
 MISS = 4
@@ -50,13 +49,34 @@ def _lower(column: str):
     return F.lower(F.col(column).cast("string"))
 
 
+def short_masks(n: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(first position, offsets from it) of the masks of an item of n tokens, below RUN_TOKENS.
+
+    One substitution for every five tokens is allowed: none below five, where the whole is one
+    mask; with one, a mask leaves out each position in turn; with two, the item is cut into four
+    blocks, of which two stay whole, and each two blocks are a mask.
+    """
+    every = range(n)
+    if n < MISS + 1:
+        masks = [tuple(every)]
+    elif n < 2 * (MISS + 1):
+        masks = [tuple(i for i in every if i != out) for out in every]
+    else:
+        blocks = [range(n * k // 4, n * (k + 1) // 4) for k in range(4)]
+        masks = [(*blocks[a], *blocks[b]) for a in range(4) for b in range(a + 1, 4)]
+    return [(m[0], tuple(i - m[0] for i in m)) for m in masks]
+
+
+def _hashed(words: np.ndarray, doc: np.ndarray, at: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    h = flat.gram_hash(words, at)
+    same = np.flatnonzero(doc[: len(h)] == doc[at[-1] :]) if len(h) else np.zeros(0, np.int64)
+    return flat.mix(h[same] + np.uint64(sum((i + 1) << 3 * k for k, i in enumerate(at)))), same
+
+
 def seeds(words: np.ndarray, doc: np.ndarray, lengths: tuple[int, ...] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, positions) of all windows of each mask, and of the given whole lengths."""
-    for at in (*MASKS, *(tuple(range(n)) for n in lengths)):
-        h = flat.gram_hash(words, at)
-        if len(h):
-            same = np.flatnonzero(doc[: len(h)] == doc[at[-1] :])
-            yield flat.mix(h[same] + np.uint64(sum((i + 1) << 3 * k for k, i in enumerate(at)))), same
+    """(hashes, positions) of all windows of each mask, and of those of items of the given lengths."""
+    for at in dict.fromkeys([*MASKS, *(m for n in lengths for _, m in short_masks(n))]):
+        yield _hashed(words, doc, at)
 
 
 def _first(doc: np.ndarray, n: int) -> np.ndarray:
@@ -64,14 +84,17 @@ def _first(doc: np.ndarray, n: int) -> np.ndarray:
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """h, item_id, pos of every window of the items; short items have one seed, their whole length."""
+    """h, item_id, pos, n of every window of the items, and of the masks of short items at their places."""
 
     def run(own: list[pa.Array], t: flat.Texts) -> dict:
         words, doc = _tokens(t)
         count, first = np.bincount(doc, minlength=t.n), _first(doc, t.n)
-        got = [(h, at) for h, at in seeds(words, doc)]
-        for n in range(1, SPAN):
-            got += [(h[keep], at[keep]) for h, at in list(seeds(words, doc, (n,)))[-1:] for keep in [count[doc[at]] == n] if n <= len(words)]
+        got = [*seeds(words, doc)]
+        for n in range(1, RUN_TOKENS):
+            for begin, mask in short_masks(n):
+                h, at = _hashed(words, doc, mask)
+                own_place = (count[doc[at]] == n) & (at - first[doc[at]] == begin)
+                got.append((h[own_place], at[own_place]))
         h = np.concatenate([x for x, _ in got]) if got else np.zeros(0, np.uint64)
         at = np.concatenate([x for _, x in got]) if got else np.zeros(0, np.int64)
         return {"h": h.view(np.int64), "item_id": own[0].take(pa.array(doc[at])), "pos": (at - first[doc[at]]).astype(np.int64), "n": count[doc[at]]}
@@ -136,7 +159,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per contaminated (doc_id, item_id): n_item_words, run_words, matched_words, overlap."""
     spark = docs.sparkSession
     found = saved(item_seeds(items), "item_seeds")
-    lengths = tuple(r.n for r in found.where(F.col("n") < SPAN).select("n").distinct().collect())  # SPAN - 1 values at most
+    lengths = tuple(r.n for r in found.where(F.col("n") < RUN_TOKENS).select("n").distinct().collect())  # RUN_TOKENS - 1 values at most
     distinct = found.select("h").distinct()
     few = distinct.limit(FILTER_SEEDS + 1).count() <= FILTER_SEEDS
     wanted = None

@@ -29,6 +29,8 @@ from .store import id_type
 from .vocab import Vocabulary, distinct, pretokens, vocabulary
 
 STATES = 200_000
+#: Pairs of tokens remembered as staying apart, before they are forgotten and found anew.
+PAIRS = 1 << 20
 ROOT = 0
 
 
@@ -77,6 +79,8 @@ class Transducer:
     def stays_apart(self, a: int, b: int) -> bool:
         key = a * self.size + b
         if key not in self.apart:
+            if len(self.apart) >= PAIRS:
+                self.apart.clear()
             self.apart[key] = key not in self.rank and self.merged(self.bytes[a] + self.bytes[b]) == [a, b]
         return self.apart[key]
 
