@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from .comoments import pair_correlations
 from .ordered import quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -172,14 +173,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation of every column pair (a < b in list order), one aggregate."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    parts = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-    return wide.select(F.expr(f"stack({len(pairs)}, {parts}) as (col_a, col_b, corr)")).select(
-        "col_a", "col_b", F.round("corr", digits).alias("corr")
-    )
+    """Pearson correlation of every column pair (a < b in list order), one pass for any number of columns."""
+    return pair_correlations(df, cols).select("col_a", "col_b", F.round("corr", digits).alias("corr"))
 
 
 def crosstab_counts(df: DataFrame, row: str, col: str) -> DataFrame:

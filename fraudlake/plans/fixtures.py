@@ -102,7 +102,11 @@ def scored_events(spark: SparkSession, d: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, d: str) -> DataFrame:
     """Bronze transactions (all text) from events, with NULLs, money text and odd case."""
-    e = table(spark, d, "events")
+    return raw_of(table(spark, d, "events"))
+
+
+def raw_of(e: DataFrame) -> DataFrame:
+    """The bronze transactions of event rows, of a table or a stream."""
     cents = F.round(F.col("value") * 100).cast("long")
     money = F.concat(
         F.lit("$"),

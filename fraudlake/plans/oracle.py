@@ -623,6 +623,18 @@ SQL["one_hot"] = with_(RAW_TX, """x AS (SELECT id AS transaction_id, CAST(CAST(d
                        + " FROM x WHERE day < DATE '2024-01-21')") + "SELECT transaction_id, " + ", ".join(
     f"CAST(coalesce({c}, md_{c}) = '{v}' AS DOUBLE) AS \"{c}={v}\"" for c, vs in _OH.items() for v in vs) + " FROM x, md"
 
+_SPARSE = ["merchant_state", "errors", "use_chip", "merchant_id", "zip", "mcc"]
+SQL["one_hot_sparse"] = with_(RAW_TX, "x AS (SELECT *, CAST(CAST(date AS TIMESTAMP) AS DATE) AS day FROM raw_tx)",
+    "ones AS (" + " UNION ALL ".join(f"SELECT id, day, {i} AS place, {c} AS value FROM x" for i, c in enumerate(_SPARSE)) + ")",
+    """md AS (SELECT place, value FROM (SELECT place, value, row_number() OVER (PARTITION BY place ORDER BY count(*) DESC, value) AS r
+      FROM ones WHERE day < DATE '2024-01-21' AND value IS NOT NULL GROUP BY place, value) WHERE r = 1)""",
+    """dict AS (SELECT place, value, row_number() OVER (ORDER BY place, value) - 1 AS idx
+      FROM (SELECT DISTINCT place, value FROM ones WHERE day < DATE '2024-01-21' AND value IS NOT NULL))""",
+    """hits AS (SELECT o.id, d.idx FROM ones o JOIN md USING (place) JOIN dict d ON d.place = o.place AND d.value = coalesce(o.value, md.value))""",
+    "per_row AS (SELECT id, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS indices FROM hits GROUP BY id)") + """
+SELECT x.id AS transaction_id, coalesce(indices, '') AS indices, (SELECT count(*) FROM dict) AS n_features
+FROM x LEFT JOIN per_row ON x.id = per_row.id"""
+
 SQL["smote_neighbours"] = """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 p AS (SELECT a.vec_id, b.vec_id AS nn_id,
@@ -680,3 +692,28 @@ SQL["imputation_values"] = with_(*GOLD_LABELS_CTES, """x AS (SELECT CAST(CAST(da
     [f"SELECT '{c}' AS column_name, (SELECT mode() WITHIN GROUP (ORDER BY {c}) FROM x) AS mode, CAST(NULL AS DOUBLE) AS mean"
      for c in ["merchant_state", "errors", "use_chip"]]
     + [f"SELECT '{c}', CAST(NULL AS VARCHAR), round((SELECT avg(CAST({c} AS DOUBLE)) FROM g), 6)" for c in STANDARDISE_COLUMNS])
+
+# ------------------------------------------------- scoring and the job list
+SQL["scoring_features"] = with_(RAW_TX, SILVER_TX, RAW_CARDS, SILVER_CARDS, RAW_USERS,
+    "silver_users AS (" + SQL["silver_users"][SQL["silver_users"].index("SELECT id, lower(gender)"):] + ")",
+    """prof AS (SELECT c.*, u.num_credit_cards, u.per_capita_income, u.credit_score, u.yearly_income, row_number() OVER (PARTITION BY card_number
+      ORDER BY c.id DESC) AS r FROM silver_cards c JOIN silver_users u ON c.client_id = u.id)""",
+    "req AS (SELECT *, '4' || lpad(CAST(CAST(id AS BIGINT) * 3 % 20011 AS VARCHAR), 15, '0') AS number FROM silver_tx)") + """
+SELECT q.id AS transaction_id, q.number AS card_number, p.card_number IS NULL AS rejected, CAST(q.date AS DATE) AS date, q.amount,
+       p.num_credit_cards, p.num_cards_issued, p.credit_limit, p.year_pin_last_changed,
+       round(CAST(date_diff('day', p.acct_open_date, CAST(q.date AS DATE)) AS DOUBLE) / 30.0, 1) + CAST(0 AS DOUBLE) AS acct_opened_months,
+       CAST(year(q.date) - p.year_pin_last_changed AS INTEGER) AS yrs_since_pin_changed,
+       p.per_capita_income, p.credit_score, p.yearly_income, q.use_chip, q.merchant_state, q.mcc, q.errors, p.has_chip, p.card_brand, p.card_type
+FROM req q LEFT JOIN prof p ON q.number = p.card_number AND p.r = 1"""
+
+SQL["etl_chain"] = SQL["gold_with_labels"]
+
+SQL["etl_counts"] = """
+WITH n AS (SELECT (SELECT count(*) FROM events) AS tx, (SELECT count(*) FROM orders) AS cards, (SELECT count(*) FROM customer) AS users,
+  (SELECT count(*) + 1 FROM part) AS mcc, (SELECT count(*) + 1 FROM events WHERE event_id % 9 <> 4) AS labels,
+  (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey) AS prof)
+SELECT layer || '/' || job AS job, n FROM (""" + " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{job}' AS job, {c} AS n FROM n" for layer, job, c in (
+        *((x, y, z) for x in ("bronze", "silver") for y, z in (
+            ("transactions", "tx"), ("cards", "cards"), ("users", "users"), ("mcc", "mcc"), ("labels", "labels"))),
+        ("gold", "labels", "labels"), ("gold", "features", "tx"), ("online", "profiles", "prof"))) + ")"

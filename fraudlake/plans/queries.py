@@ -10,18 +10,18 @@ from __future__ import annotations
 import calendar
 import random
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import drift, gold, integrity, metrics, model, online, ordered, prep, profile, resample, silver, splits
+from ..operators import dictionary, drift, gold, integrity, metrics, model, online, ordered, prep, profile, resample, silver, splits
 from ..session import checkpoint_root
 from ..sources import files
 from ..sources.json_ranges import read_json_ranges
 from ..streaming import jobs as stream_jobs
 from ..sources.tables import table
+from . import chain
 from . import fixtures as fx
 
 GOLD_COLUMNS = [
@@ -31,6 +31,12 @@ GOLD_COLUMNS = [
     "mcc_description", "acct_opened_months", "yrs_since_pin_changed",
 ]
 
+GOLD_LABEL_COLUMNS = [
+    "transaction_id", "client_id", "card_id", "mcc", "amount", "date", "merchant_state", "zip", "errors", "use_chip",
+    "gender", "address", "card_brand", "card_type", "credit_limit", "acct_open_date", "mcc_description",
+    "acct_opened_months", "yrs_since_pin_changed", "is_fraud", "label",
+]
+
 
 # ------------------------------------------------------------------ sources
 def month_sequence(spark: SparkSession, d: str) -> DataFrame:
@@ -152,11 +158,7 @@ def _labelled_gold(spark: SparkSession, d: str) -> DataFrame:
 
 def gold_with_labels(spark: SparkSession, d: str) -> DataFrame:
     """J4 + P15: five-table chain with labels by LEFT join; label yes/no -> 1/0."""
-    return _labelled_gold(spark, d).select(
-        "transaction_id", "client_id", "card_id", "mcc", "amount", "date", "merchant_state", "zip", "errors",
-        "use_chip", "gender", "address", "card_brand", "card_type", "credit_limit", "acct_open_date",
-        "mcc_description", "acct_opened_months", "yrs_since_pin_changed", "is_fraud", "label",
-    )
+    return _labelled_gold(spark, d).select(*GOLD_LABEL_COLUMNS)
 
 
 def feature_label_join(spark: SparkSession, d: str) -> DataFrame:
@@ -609,6 +611,18 @@ def one_hot(spark: SparkSession, d: str) -> DataFrame:
     return enc.dummy_columns(x.drop("day"))
 
 
+SPARSE_COLUMNS = ["merchant_state", "errors", "use_chip", "merchant_id", "zip", "mcc"]
+
+
+def one_hot_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """M3 with the dictionary as a table: merchants and zips, as many categories as there are users; the features that are 1."""
+    raw = fx.raw_transactions(spark, d).withColumnRenamed("id", "transaction_id")
+    x = raw.select("transaction_id", F.to_date("date").alias("day"), *SPARSE_COLUMNS)
+    enc = dictionary.Dictionary.fit(x.filter(F.col("day") < F.lit(PREP_CUTOFF).cast("date")), SPARSE_COLUMNS)
+    return enc.indices(x, "transaction_id").select(
+        "transaction_id", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"), F.lit(enc.size).cast("long").alias("n_features"))
+
+
 def smote_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """M5: exact 5 nearest neighbours of every vector inside its class."""
     nn = resample.knn_within_class(table(spark, d, "embeddings"), "vec_id", "label", "embedding", k=5)
@@ -671,15 +685,21 @@ def prediction_range(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_daily(spark: SparkSession, d: str) -> DataFrame:
-    """T4: daily tumbling counts per event type with a watermark (complete mode, bounded result)."""
-    counts = stream_jobs.windowed_counts(_event_stream(spark, d), "ts", ["event_type"], "1 day", "1 day")
-    name = f"daily_{uuid.uuid4().hex[:10]}"
-    q = (counts.writeStream.format("memory").queryName(name).outputMode("complete")
-         .option("checkpointLocation", stream_jobs.new_sink(spark, name)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(name).select(
-        F.to_date(F.col("w.start")).alias("window_start"), "event_type", "n"
-    )
+    """T4: daily tumbling counts per event type, append mode into a file sink; a closing marker ends the last day."""
+    sink = stream_jobs.new_sink(spark, "daily")
+    markers = stream_jobs.new_sink(spark, "daily_markers")
+    stream_jobs.write_marker(spark, markers, None)
+
+    def drain() -> None:
+        counts = stream_jobs.closed_windows(spark, _event_stream(spark, d), markers, "ts", ["event_type"])
+        stream_jobs.run_available(counts.select(F.to_date("w.start").alias("window_start"), "event_type", "n"), sink)
+
+    drain()
+    last = table(spark, d, "events").agg(F.max(F.col("ts").cast("timestamp")).alias("t")).first()["t"]
+    if last is not None:  # past the end of the last window by more than the watermark's delay
+        stream_jobs.write_marker(spark, markers, F.lit(last + dt.timedelta(days=3)))
+        drain()
+    return spark.read.schema("window_start date, event_type string, n long").parquet(sink)
 
 
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -760,17 +780,73 @@ def model_eval(spark: SparkSession, d: str) -> DataFrame:
 SCORING_PARAMS = {"C": 1.0, "penalty": "l2", "max_iter": 100}
 
 
-def batch_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Requests looked up, time features, prepared and scored: (transaction_id, probability, is_fraud)."""
+def _score_requests(requests: DataFrame) -> DataFrame:
+    """Requests of the scoring service: a silver transaction and the number of a card, known or not."""
+    number = F.concat(F.lit("4"), F.lpad((F.col("transaction_id").cast("long") * 3 % 20011).cast("string"), 15, "0"))
+    return requests.select("transaction_id", number.alias("card_number"), "date", "amount", "use_chip", "merchant_state", "mcc", "errors")
+
+
+def _profiles(spark: SparkSession, d: str) -> DataFrame:
+    return online.build_profiles(silver.clean_cards(fx.raw_cards(spark, d)), silver.clean_users(fx.raw_users(spark, d)))
+
+
+def scoring_features(spark: SparkSession, d: str) -> DataFrame:
+    """M11 but for the model: each request with its card's profile and the time features, or rejected."""
+    feats = model.with_profiles(_score_requests(_events_tx(spark, d)), _profiles(spark, d))
+    return feats.select("transaction_id", "card_number", "rejected", "date", *MODEL_NUMERIC, *MODEL_CATEGORICAL)
+
+
+def _scoring_model(spark: SparkSession, d: str) -> model.Trained:
     _, train, _ = _model_frames(spark, d)
-    trained = model.fit_final(train, "label", "transaction_id", MODEL_NUMERIC, MODEL_CATEGORICAL, "logistic",
-                              SCORING_PARAMS, seed=42)
-    req = silver.clean_transactions(fx.raw_transactions(spark, d)).withColumnRenamed("id", "transaction_id")
-    cards = silver.clean_cards(fx.raw_cards(spark, d))
-    users = silver.clean_users(fx.raw_users(spark, d))
-    feats = gold.build_features(req, users, cards, fx.mcc(spark, d))
-    out = trained.score(feats)
-    return out.select("transaction_id", F.round("p1", 6).alias("probability"), "is_fraud")
+    return model.fit_final(train, "label", "transaction_id", MODEL_NUMERIC, MODEL_CATEGORICAL, "logistic", SCORING_PARAMS, seed=42)
+
+
+def batch_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Requests looked up by card, merged, prepared and scored; a request with an unknown card is rejected."""
+    feats = model.with_profiles(_score_requests(_events_tx(spark, d)), _profiles(spark, d))
+    out = _scoring_model(spark, d).score_known(feats)
+    return out.select("transaction_id", "rejected", F.round("p1", 6).alias("probability"), "is_fraud")
+
+
+def stream_scores(spark: SparkSession, d: str) -> DataFrame:
+    """T1 + M11: the fitted model inside the stream: requests looked up, scored or rejected, into a file sink."""
+    trained = _scoring_model(spark, d)
+    events = _event_stream(spark, d)
+    requests = _score_requests(silver.clean_transactions(fx.raw_of(events)).withColumnRenamed("id", "transaction_id"))
+    scored = trained.score_known(model.with_profiles(requests, _profiles(spark, d)))
+    out = scored.select("transaction_id", "rejected", F.round("p1", 6).alias("probability"), "is_fraud")
+    path = stream_jobs.run_available(out, stream_jobs.new_sink(spark, "stream_scores"), ["rejected"])
+    return spark.read.schema("transaction_id string, probability double, is_fraud int, rejected boolean").parquet(path)
+
+
+# ------------------------------------------------------------ the job list
+def _raw_files(spark: SparkSession, d: str) -> str:
+    """The pipeline's raw files: CSV tables and two JSON objects, each one file as they come."""
+    raw = stream_jobs.new_sink(spark, "raw_files")
+    for name, df in (("transactions", fx.raw_transactions(spark, d)), ("cards", fx.raw_cards(spark, d)), ("users", fx.raw_users(spark, d))):
+        df.write.option("header", "true").csv(f"{raw}/{name}_data.csv")
+
+    def pairs(df: DataFrame, key: str, value: str, head: str, tail: str, name: str) -> None:
+        pair = F.to_json(F.create_map(F.col(key), F.col(value)))
+        rows = df.select(F.concat(F.substring(pair, F.lit(2), F.length(pair) - 2), F.lit(",")).alias("value"))
+        line = lambda x: spark.range(1).select(F.lit(x).alias("value"))
+        line(head).unionByName(rows).unionByName(line(tail)).coalesce(1).write.text(f"{raw}/{name}")
+
+    pairs(fx.mcc(spark, d), "mcc_code", "mcc_description", "{", '"none": null}', "mcc_codes.json")
+    pairs(fx.raw_labels(spark, d), "transaction_id", "is_fraud", '{"target": {', '"none": null}}', "train_fraud_labels.json")
+    return raw
+
+
+def etl_chain(spark: SparkSession, d: str) -> DataFrame:
+    """The job list from raw files to the gold tables, their features with their labels."""
+    folder = chain.run(spark, _raw_files(spark, d), stream_jobs.new_sink(spark, "datamart"), layers=("bronze", "silver", "gold"))
+    rows = gold.attach_labels(folder.read("gold/features"), folder.read("gold/labels"), "transaction_id", how="left", require_rows=False)
+    return rows.withColumn("label", C.label_to_int("is_fraud")).select(*GOLD_LABEL_COLUMNS)
+
+
+def etl_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each table that the job list makes, the online table included."""
+    return chain.row_counts(chain.run(spark, _raw_files(spark, d), stream_jobs.new_sink(spark, "datamart")))
 
 
 def gbt_eval(spark: SparkSession, d: str) -> DataFrame:
@@ -892,6 +968,7 @@ QUERIES = {
     "drift_report_table": drift_report_table,
     "standardise": standardise,
     "one_hot": one_hot,
+    "one_hot_sparse": one_hot_sparse,
     "smote_neighbours": smote_neighbours,
     "smote_rows": smote_rows,
     "stream_enrich": stream_enrich,
@@ -907,6 +984,10 @@ QUERIES = {
     "model_search": model_search,
     "model_eval": model_eval,
     "batch_scores": batch_scores,
+    "scoring_features": scoring_features,
+    "stream_scores": stream_scores,
+    "etl_chain": etl_chain,
+    "etl_counts": etl_counts,
     "gbt_eval": gbt_eval,
     "mlp_eval": mlp_eval,
 }

@@ -9,7 +9,7 @@ schedulers run a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
@@ -83,6 +83,30 @@ def windowed_counts(stream: DataFrame, time_col: str, by: list[str], window: str
     return s.groupBy(F.window("_ts", window).alias("w"), *by).agg(F.count(F.lit(1)).alias("n"))
 
 
+def closed_windows(spark: SparkSession, events: DataFrame, markers: str, time_col: str, by: list[str],
+                   window: str = "1 day", watermark: str = "1 day") -> DataFrame:
+    """T4 in append mode: the counts of windows that are over, each emitted once.
+
+    Append mode holds a window back until the watermark passes its end, so the last windows of a
+    stream that stops would never come out. ``markers`` is a folder of closing markers, one time
+    each (``write_marker``), that joins the stream before the watermark: a marker moves the
+    watermark and is counted nowhere. Events that come later than a closed window are dropped,
+    as are all that are later than the watermark.
+    """
+    marks = spark.readStream.schema("closes_at timestamp").parquet(markers)
+    both = events.select(F.col(time_col).cast("timestamp").alias("_ts"), *by, F.lit(1).alias("_one")).unionByName(
+        marks.select(F.col("closes_at").alias("_ts"), F.lit(0).alias("_one")), allowMissingColumns=True)
+    counts = both.withWatermark("_ts", watermark).groupBy(F.window("_ts", window).alias("w"), *by).agg(
+        F.sum("_one").cast("long").alias("n"))
+    return counts.filter(F.col("n") > 0)
+
+
+def write_marker(spark: SparkSession, markers: str, closes_at: Column | None) -> None:
+    """Append a closing marker; None only makes the folder, which a stream must find when it starts."""
+    one = spark.range(0 if closes_at is None else 1)
+    one.select((F.lit(None) if closes_at is None else closes_at).cast("timestamp").alias("closes_at")).write.mode("append").parquet(markers)
+
+
 def dedup_stream(stream: DataFrame, time_col: str, key: str, watermark: str = "1 day") -> DataFrame:
     """T5: drop repeated ``key`` within the watermark (state is bounded by the watermark)."""
     s = stream.withColumn("_ts", F.col(time_col).cast("timestamp")).withWatermark("_ts", watermark)
