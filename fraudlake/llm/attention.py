@@ -1,24 +1,32 @@
-"""Language-model scores by a causal self-attention model trained in numpy.
-
-A word's subword id is its beginning (three bytes, and whether more follow) if that is one of
-the ``PIECES`` most frequent in training, else one shared id; the end of a text has its own.
-The model gives P(subword id | ids before); a word then has its share of the counts of its id:
-(c + 1) / (words + distinct words + 1). Counts come from all training texts. The model's
-weights come from all training texts too: in each of ``ROUNDS`` rounds tasks train from common
-weights on every block of their texts, each once, in an order shuffled by slice; the tasks'
-weights are then averaged. Windows are cut as they are needed and never saved.
-
-Scoring: a text is cut into blocks of ``BLOCK`` tokens. A block's window is the block and the
-one before it, so windows overlap by half, each token is scored once, and it sees 16 to 31 ids
+"""Language-model scores by a causal self-attention model trained in numpy on subword ids.
+
+Subwords: a lower-cased word is one id if it is among the ``WORDS`` most frequent of the training
+texts. Any other word is spelled: pieces of three bytes (the last may be shorter) that are among
+the most frequent such pieces are one id each, other pieces are bytes, an id each, and a closing
+id ends the word. The end of a text has an id too, so every text has a sequence, and its score is
+the log10 probability of that sequence. An id is a pair (class, member) of ``SIDE`` x ``SIDE``, and
+the model gives P(class | ids before) P(member | class, ids before): two short softmaxes.
+
+Training: the texts' ids are written once. Rows of at most ``SPAN`` blocks are dealt to slots by a
+hash of the row, one slot for each ``SLOT_WINDOWS`` windows of the whole table, and ordered there by
+that hash. In each of ``ROUNDS`` rounds every slot trains from common weights on all its windows; the
+slots' weights are averaged. A table of few windows is passed as often in a round as makes ``STEPS``
+steps of the whole table's windows. So the weights depend on the training rows alone, not on how
+Spark has dealt them to tasks.
+
+Scoring: a text is cut into blocks of ``BLOCK`` ids. A block's window is the block and the
+one before it, so windows overlap by half, each id is scored once, and it sees 16 to 31 ids
 before it (fewer at the start). All windows of a slice go through the model in batches.
 
-Counts of frequent words are sent to the tasks: a word with at least 1 / ``FREQUENT`` of all
-training tokens, of which there can't be more than ``FREQUENT``. The other words of each text
-are joined with their counts on Spark; none of them is in more than that share of the tokens.
+The base score takes counts of whole words. Counts of frequent words are sent to the tasks: a word
+with at least 1 / ``FREQUENT`` of all training tokens, of which there can't be more than ``FREQUENT``.
+The other words of each text are joined with their counts on Spark; none of them is in more than that
+share of the tokens.
 
 Defined results: null and empty texts have one token, their end; without training texts counts
-are 0 and the model is uniform over ids; rows without an id are training rows; repeated rows
-train and are scored each.
+are 0 and the model has its first weights; rows without an id are training rows; repeated rows
+train and are scored each (equal rows of one id go to one slot); words and pieces of equal counts are
+taken by hash and by value.
 """
 
 from __future__ import annotations
@@ -33,91 +41,205 @@ from pyspark.sql import functions as F
 from . import flat
 from .store import bucket_of, id_type, saved
 
-PIECES = 126
-END, OTHER, START, PAD = 0, 1, PIECES + 2, PIECES + 3
-IDS = PIECES + 2
+SIDE = 64
+IDS = SIDE * SIDE
+END, CLOSE, BYTE = 0, 1, 2
+START, PAD = IDS, IDS + 1
+WORDS = 3000
+PIECES = IDS - BYTE - 256 - WORDS
 WIDTH, HIDDEN, BLOCK = 16, 32, 16
-ROUNDS, STEPS, BATCH = 3, 300, 128
+ROUNDS, STEPS, BATCH = 3, 300, 256
+SLOT_WINDOWS, SPAN = 1 << 17, 512
+#: Windows scored at once.
+SCORED = 128
 FREQUENT = 1 << 20
-#: Parts in which the tasks' weights are summed before they reach the driver.
+#: Parts in which the slots' weights are summed before they reach the driver.
 PARTS = 16
 
 
-def words_of(t: flat.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, beginning and text index of the lower-cased words."""
-    t = t.lowered()
+def words_of(t: flat.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start, end and text index of the words of lower-cased texts."""
     starts, ends, doc = t.words()
-    padded = np.append(t.buf, [0, 0]).astype(np.int64)
-    length = ends - starts
-    piece = padded[starts] << 16 | np.where(length > 1, padded[starts + 1], 0) << 8 | np.where(length > 2, padded[starts + 2], 0)
-    return flat.hash_spans(t.buf, starts, ends), piece | (length > 3).astype(np.int64) << 24, doc
+    return flat.hash_spans(t.buf, starts, ends), starts, ends, doc
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """h, piece, c: the training texts' words and their counts."""
+def pieces_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Value, start, length and word index of the three-byte pieces of words."""
+    n = -(-(ends - starts) // 3)
+    word = np.repeat(np.arange(len(n)), n)
+    at = starts[word] + 3 * (np.arange(len(word)) - (np.cumsum(n) - n)[word])
+    length = np.minimum(ends[word] - at, 3)
+    padded = np.append(buf, [0, 0]).astype(np.int64)
+    value = padded[at] << 16 | np.where(length > 1, padded[at + 1], 0) << 8 | np.where(length > 2, padded[at + 2], 0)
+    return length << 24 | value, at, length, word
 
-    def run(own: list[pa.Array], t: flat.Texts) -> dict:
-        h, piece, _ = words_of(t)
-        order = np.argsort(h)
-        first = np.flatnonzero(np.append(True, np.diff(h[order]) != 0)) if len(h) else np.zeros(0, np.int64)
-        c = np.diff(np.append(first, len(h)))
-        return {"h": h[order][first].view(np.int64), "piece": piece[order][first].astype(np.int32), "c": c}
 
-    parts = flat.map_texts(rows, run, "h long, piece int, c long", carry=())
-    return parts.groupBy("h", "piece").agg(F.sum("c").alias("c"))
+def _tally(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = np.sort(x)
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
+    return x[first], np.diff(np.append(first, len(x)))
+
+
+def unit_counts(rows: DataFrame) -> DataFrame:
+    """piece, h, c: counts of the training texts' words (by hash) and of their pieces (by value)."""
+
+    def run(own: list[pa.Array], t: flat.Texts) -> dict:
+        t = t.lowered()
+        h, starts, ends, _ = words_of(t)
+        (w, n), (p, m) = _tally(h.view(np.int64)), _tally(pieces_of(t.buf, starts, ends)[0])
+        return {"piece": np.repeat([False, True], [len(w), len(p)]), "h": np.concatenate([w, p]), "c": np.concatenate([n, m])}
+
+    parts = flat.map_texts(rows, run, "piece boolean, h long, c long", carry=())
+    return parts.groupBy("piece", "h").agg(F.sum("c").alias("c"))
+
+
+class Vocabulary:
+    """Ids of the frequent words (by hash) and of the frequent pieces (by value); bounded by WORDS and PIECES."""
+
+    def __init__(self, words: list[int], pieces: list[int]):
+        self.tables = []
+        first = BYTE + 256
+        for units in (words, pieces):
+            keys = np.array(units, np.int64)
+            order = np.argsort(keys, kind="stable")
+            self.tables.append((keys[order], order + first))
+            first += len(keys)
+
+    def _ids(self, table: int, keys: np.ndarray) -> np.ndarray:
+        """Ids of the keys, -1 for others."""
+        known, ids = self.tables[table]
+        if not len(known):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, ids[at], -1)
+
+    def encode(self, t: flat.Texts, words: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and how many each text has, the end not counted. ``t`` is lower-cased."""
+        h, starts, ends, doc = words
+        whole = self._ids(0, h.view(np.int64))
+        spelled = np.flatnonzero(whole < 0)
+        value, at, length, word = pieces_of(t.buf, starts[spelled], ends[spelled])
+        one = self._ids(1, value)
+        size = np.where(one < 0, length, 1)  # ids of each piece
+        end = np.cumsum(size)
+        owner = np.repeat(np.arange(len(size)), size)
+        inner = np.arange(len(owner)) - (end - size)[owner]
+        ids = np.where(one[owner] < 0, t.buf[at[owner] + inner].astype(np.int64) + BYTE, one[owner])
+        n = np.ones(len(h), np.int64)
+        per_word = np.bincount(word, size, len(spelled)).astype(np.int64)
+        n[spelled] = per_word + 1
+        first = np.cumsum(n) - n
+        out = np.full(int(n.sum()), CLOSE, np.int64)
+        out[first[whole >= 0]] = whole[whole >= 0]
+        before = np.cumsum(per_word) - per_word
+        out[np.repeat(first[spelled], per_word) + np.arange(len(ids)) - np.repeat(before, per_word)] = ids
+        return out, np.bincount(doc, n, t.n).astype(np.int64)
+
+
+class Sequences:
+    """The ids of texts in one array: a block of PAD, START, the ids, END, and PAD to a whole block and one more.
+
+    The id after a place is what the model has to give there.
+    """
+
+    def __init__(self, ids: np.ndarray, n: np.ndarray):
+        self.blocks = -(-(n + 1) // BLOCK)
+        size = (self.blocks + 1) * BLOCK + 1
+        self.first = np.cumsum(size) - size
+        self.flat = np.full(int(size.sum()), PAD, np.uint16)
+        self.flat[self.first + BLOCK] = START
+        doc = np.repeat(np.arange(len(n)), n)
+        self.flat[self.first[doc] + BLOCK + 1 + np.arange(len(ids)) - (np.cumsum(n) - n)[doc]] = ids
+        self.flat[self.first + BLOCK + 1 + n] = END
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """[2 * BLOCK ids and the one after] of every block, and the text of each."""
+        doc = np.repeat(np.arange(len(self.blocks)), self.blocks)
+        k = np.arange(len(doc)) - (np.cumsum(self.blocks) - self.blocks)[doc]
+        return self.first[doc] + BLOCK * k, doc
+
+    def rows(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(text, number, ids) of rows of at most SPAN blocks, each with the block before it."""
+        for i, (a, m) in enumerate(zip(self.first, self.blocks)):
+            for k in range(0, int(m), SPAN):
+                yield i, k // SPAN, self.flat[a + k * BLOCK : a + (min(k + SPAN, int(m)) + 1) * BLOCK + 1]
+
+
+def row_windows(ids: np.ndarray) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(ids, 2 * BLOCK + 1)[::BLOCK]
 
 
 class Model:
     """One block of causal self-attention over subword ids; ``p`` maps names to weights."""
 
-    def __init__(self, unigram: np.ndarray, weights: dict[str, np.ndarray] | None = None):
+    def __init__(self, counts: np.ndarray | None, weights: dict[str, np.ndarray] | None = None):
         rng = np.random.default_rng(8)
         d = WIDTH
-        shapes = {"emb": (PAD + 1, d), "q": (d, d), "k": (d, d), "v": (d, d), "o": (d, d), "near": (2 * BLOCK,), "w1": (d, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, IDS)}
+        shapes = {"emb": (PAD + 1, d), "q": (d, d), "k": (d, d), "v": (d, d), "o": (d, d), "near": (2 * BLOCK,), "w1": (d, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, 2 * SIDE)}
         self.p = weights or {n: (rng.normal(0, s[0] ** -0.5 if len(s) > 1 and n != "emb" else 0.3, s) if n not in ("near", "b1", "w2") else np.zeros(s)).astype(np.float32) for n, s in shapes.items()}
         if weights is None:
-            self.p["b2"] = np.log(unigram).astype(np.float32)
+            n = (counts + 1.0).reshape(SIDE, SIDE)
+            self.p["b2"] = np.concatenate([np.log(n.sum(1) / n.sum()), np.zeros(SIDE)]).astype(np.float32)
+            self.p["member"] = np.log(n / n.sum(1, keepdims=True)).astype(np.float32)
         i, j = np.arange(BLOCK)[:, None], np.arange(2 * BLOCK)[None, :]
         self.gap = i + BLOCK - j  # how far a key lies before its query
         self.ahead = self.gap < 0
 
-    def forward(self, ids: np.ndarray) -> dict[str, np.ndarray]:
-        """ids: [window, 2 * BLOCK] inputs; log-probabilities of what follows the last BLOCK."""
+    def forward(self, ids: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
+        """ids: [window, 2 * BLOCK] inputs; scores of the classes, and of the target's class's members,
+        after each of the last BLOCK places whose target isn't PAD, in rows."""
         p = self.p
         x = p["emb"][ids]
         now = x[:, BLOCK:]
         q, k, v = now @ p["q"], x @ p["k"], x @ p["v"]
-        s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + p["near"][np.maximum(self.gap, 0)]
-        s[np.broadcast_to(self.ahead, s.shape) | (ids == PAD)[:, None, :]] = -1e9
+        s = q @ k.transpose(0, 2, 1)
+        s *= np.float32(WIDTH**-0.5)
+        s += np.where(self.ahead, np.float32(-1e9), p["near"][np.maximum(self.gap, 0)])
+        s += np.where(ids == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
         s -= s.max(2, keepdims=True)
         a = np.exp(s, out=s)
         a /= a.sum(2, keepdims=True)
         mixed = a @ v
-        h = now + mixed @ p["o"]
+        real = np.flatnonzero(target.ravel() != PAD)
+        h = (now + mixed @ p["o"]).reshape(-1, WIDTH)[real]
         z = np.tanh(h @ p["w1"] + p["b1"])
-        y = z @ p["w2"] + p["b2"]
+        goal = target.ravel()[real].astype(np.int64)
+        y = z @ p["w2"]
+        y += p["b2"]
+        y[:, SIDE:] += p["member"][goal // SIDE]
+        y = y.reshape(-1, 2, SIDE)
         y -= y.max(2, keepdims=True)
-        e = np.exp(y)
+        picked = np.stack([goal // SIDE, goal % SIDE], axis=1)[:, :, None]
+        chosen = np.take_along_axis(y, picked, 2)
+        e = np.exp(y, out=y)
         total = e.sum(2, keepdims=True)
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "h": h, "z": z, "prob": e, "total": total, "y": y}
+        return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "real": real, "h": h, "z": z, "e": e, "total": total, "picked": picked,
+                "log_prob": (chosen - np.log(total))[:, :, 0].sum(1)}
 
     def log_prob(self, ids: np.ndarray, target: np.ndarray) -> np.ndarray:
-        f = self.forward(ids)
-        return np.take_along_axis(f["y"], target[:, :, None].astype(np.int64), 2)[:, :, 0] - np.log(f["total"][:, :, 0])
+        """Natural logarithms of the targets' probabilities, 0 where the target is PAD."""
+        f = self.forward(ids, target)
+        out = np.zeros(target.size, np.float32)
+        out[f["real"]] = f["log_prob"]
+        return out.reshape(target.shape)
 
     def gradients(self, ids: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss over targets that aren't PAD."""
-        p, f = self.p, self.forward(ids)
-        real = target != PAD
-        dy = f["prob"] / f["total"]
-        np.put_along_axis(dy, np.where(real, target, 0)[:, :, None].astype(np.int64), np.take_along_axis(dy, np.where(real, target, 0)[:, :, None].astype(np.int64), 2) - 1, 2)
-        dy *= real[:, :, None] / np.float32(max(real.sum(), 1))
-        flat2 = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"w2": flat2(f["z"]).T @ flat2(dy), "b2": flat2(dy).sum(0)}
+        p, f = self.p, self.forward(ids, target)
+        dy = f["e"]
+        dy /= f["total"]
+        np.put_along_axis(dy, f["picked"], np.take_along_axis(dy, f["picked"], 2) - 1, 2)
+        dy *= np.float32(1 / max(len(f["real"]), 1))
+        dy = dy.reshape(-1, 2 * SIDE)
+        of_class = (f["picked"][:, 0] == np.arange(SIDE)).astype(np.float32)
+        g = {"w2": f["z"].T @ dy, "b2": dy.sum(0), "member": of_class.T @ dy[:, SIDE:]}
         dz = (dy @ p["w2"].T) * (1 - f["z"] ** 2)
-        g |= {"w1": flat2(f["h"]).T @ flat2(dz), "b1": flat2(dz).sum(0)}
-        dh = dz @ p["w1"].T
-        g["o"] = flat2(f["mixed"]).T @ flat2(dh)
+        g |= {"w1": f["h"].T @ dz, "b1": dz.sum(0)}
+        dh = np.zeros((target.size, WIDTH), np.float32)
+        dh[f["real"]] = dz @ p["w1"].T
+        flat2 = lambda m: m.reshape(-1, m.shape[-1])
+        g["o"] = flat2(f["mixed"]).T @ dh
+        dh = dh.reshape(*target.shape, WIDTH)
         dm = dh @ p["o"].T
         da = dm @ f["v"].transpose(0, 2, 1)
         dv = f["a"].transpose(0, 2, 1) @ dm
@@ -129,133 +251,151 @@ class Model:
         g |= {"q": flat2(now).T @ flat2(dq), "k": flat2(f["x"]).T @ flat2(dk), "v": flat2(f["x"]).T @ flat2(dv)}
         dx = dk @ p["k"].T + dv @ p["v"].T
         dx[:, BLOCK:] += dh + dq @ p["q"].T
-        which = flat2(ids[:, :, None])[:, 0].astype(np.int64)
+        which = ids.ravel().astype(np.int64)
         g["emb"] = np.stack([np.bincount(which, col, PAD + 1) for col in flat2(dx).T], axis=1)
         return {n: x.astype(np.float32) for n, x in g.items()}
 
-    def train(self, chunks: Iterable[np.ndarray], rate: float, seed: int) -> int:
-        """Adam over batches of windows ([prev, now, target] ids in a row); how many windows there were.
+    def train(self, chunks: Iterable[np.ndarray], rate: float, seed: int, passes: int = 1) -> int:
+        """Adam over batches of windows ([2 * BLOCK ids and the one after] in a row); how many windows there were.
 
-        A pass takes each window once, in an order shuffled by chunk. If that makes fewer than
-        ``STEPS`` steps, more whole passes follow; only so few windows are ever held.
+        A pass takes each window once, in an order shuffled by chunk. ``passes`` above 1 hold all windows.
         """
         rng = np.random.default_rng(seed)
         state = [{n: np.zeros_like(x) for n, x in self.p.items()} for _ in range(2)]
-        rest, held, rows, i = np.zeros((0, 3 * BLOCK), np.uint8), [], 0, 0
-        for chunk in chunks:
-            rows += len(chunk)
-            held = [*held, chunk] if rows <= STEPS * BATCH else []
-            rest = np.concatenate([rest, chunk[rng.permutation(len(chunk))]])
-            whole = len(rest) // BATCH * BATCH
-            for at in range(0, whole, BATCH):
-                i += 1
-                self._step(rest[at : at + BATCH], state, i, rate)
-            rest = rest[whole:]
-        if len(rest):
-            i += 1
-            self._step(rest, state, i, rate)
-        every = np.concatenate(held) if held else rest[:0]
-        while i < STEPS and len(every):
-            order = rng.permutation(len(every))
-            for at in range(0, len(every), BATCH):
-                i += 1
-                self._step(every[order[at : at + BATCH]], state, i, rate)
+        rows, i = 0, 0
+        if passes > 1:
+            chunks = list(chunks)
+        for turn in range(passes):
+            for chunk in chunks:
+                rows += len(chunk) if turn == 0 else 0
+                order = rng.permutation(len(chunk))
+                for at in range(0, len(chunk), BATCH):
+                    i += 1
+                    self._step(chunk[order[at : at + BATCH]], state, i, rate)
         return rows
 
     def _step(self, rows: np.ndarray, state: list[dict[str, np.ndarray]], i: int, rate: float) -> None:
         m, s = state
-        for n, g in self.gradients(rows[:, : 2 * BLOCK], rows[:, 2 * BLOCK :]).items():
-            m[n] = 0.9 * m[n] + 0.1 * g
-            s[n] = 0.99 * s[n] + 0.01 * g * g
-            self.p[n] -= (rate * (m[n] / (1 - 0.9**i)) / (np.sqrt(s[n] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
-
-
-def blocks(t: flat.Texts, pieces: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
-    """Windows [prev, now] and targets per block, the text of each, and (hash, id, text) of the words."""
-    h, piece, doc = words_of(t)
-    at = np.minimum(np.searchsorted(pieces, piece), max(len(pieces) - 1, 0))
-    word_id = np.where(pieces[at] == piece, ids[at], OTHER) if len(pieces) else np.full(len(piece), OTHER)
-    n = np.bincount(doc, minlength=t.n) + 1
-    count = -(-n // BLOCK)
-    first = np.cumsum(count) - count
-    target = np.full(int(count.sum()) * BLOCK, PAD, np.int16)
-    begin = np.cumsum(n - 1) - (n - 1)
-    target[first[doc] * BLOCK + np.arange(len(doc)) - begin[doc]] = word_id
-    target[first * BLOCK + n - 1] = END
-    now = np.append(np.int16(START), target[:-1])
-    now[first * BLOCK] = START
-    now, target = now.reshape(-1, BLOCK), target.reshape(-1, BLOCK)
-    prev = np.concatenate([np.full((1, BLOCK), PAD, np.int16), now[:-1]])
-    prev[first] = PAD
-    return np.concatenate([prev, now], axis=1), target, np.repeat(np.arange(t.n), count), (h, word_id, doc)
-
-
-def training_windows(batches: Iterable[pa.RecordBatch], pieces: np.ndarray, ids: np.ndarray) -> Iterator[np.ndarray]:
-    """[prev, now, target] of every block of the texts, a chunk for each slice."""
-    for b in batches:
-        for _, _, t in flat.slices(b.column("text")):
-            window, target, _, _ = blocks(t, pieces, ids)
-            yield np.concatenate([window, target], axis=1).astype(np.uint8)
+        for n, g in self.gradients(rows[:, : 2 * BLOCK], rows[:, BLOCK + 1 :]).items():
+            m[n] += np.float32(0.1) * (g - m[n])
+            g *= g
+            s[n] += np.float32(0.01) * (g - s[n])
+            self.p[n] -= np.float32(rate / (1 - 0.9**i)) * m[n] / (np.sqrt(s[n] / np.float32(1 - 0.99**i)) + np.float32(1e-8))
+
+
+def encoded(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """key, at, ids: the texts' ids in rows of at most SPAN blocks."""
+
+    def run(own: list[pa.Array], t: flat.Texts) -> dict:
+        t = t.lowered()
+        rows = list(Sequences(*vocabulary.encode(t, words_of(t))).rows())
+        key = own[0].to_numpy(zero_copy_only=False)
+        return {"key": key[[r[0] for r in rows]], "at": np.array([r[1] for r in rows], np.int32), "ids": pa.array([r[2].tobytes() for r in rows], pa.binary())}
+
+    return flat.map_texts(texts, run, "key long, at int, ids binary", carry=("key",))
 
 
-def _average(texts: DataFrame, pieces: np.ndarray, ids: np.ndarray, model: Model, turn: int) -> Model:
-    """One round: each task trains on all its windows from the common weights; their weighted mean."""
+def id_counts(rows: DataFrame) -> np.ndarray:
+    """How often each id is a target."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(PAD + 1, np.int64)
+        for b in batches:
+            for blob in b.column("ids"):
+                n += np.bincount(np.frombuffer(blob.as_buffer(), np.uint16)[BLOCK + 1 :], minlength=PAD + 1)
+        at = np.flatnonzero(n[:IDS])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["id", "n"])
+
+    out = np.zeros(IDS, np.int64)
+    for r in rows.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # IDS rows at most
+        out[r.id] = r.n
+    return out
+
+
+def chunked(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Windows of the rows, some thousands at a time."""
+    held, size = [], 0
+    for b in batches:
+        for blob in b.column("ids"):
+            held.append(row_windows(np.frombuffer(blob.as_buffer(), np.uint16)))
+            size += len(held[-1])
+            if size >= 8192:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _average(rows: DataFrame, slots: int, passes: int, model: Model, turn: int) -> Model:
+    """One round: each slot trains on all its windows from the common weights; their weighted mean."""
     names, shapes = list(model.p), [x.shape for x in model.p.values()]
-    start = np.concatenate([x.ravel() for x in model.p.values()])
-    size = len(start)
+    spark = rows.sparkSession
+    start = spark.sparkContext.broadcast(np.concatenate([x.ravel() for x in model.p.values()]))
+    size = len(start.value)
 
     def load(flat_weights: np.ndarray) -> dict[str, np.ndarray]:
         cut = np.cumsum([0] + [int(np.prod(s)) for s in shapes])
         return {n: flat_weights[a:b].reshape(s).copy() for n, s, a, b in zip(names, shapes, cut, cut[1:])}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(None, load(start))
-        rows = own.train(training_windows(batches, pieces, ids), 0.01 / (1 + turn), turn)
-        if rows:
-            out = np.concatenate([x.ravel() for x in own.p.values()]).astype(np.float64) * rows
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()]), pa.array([rows])], ["w", "n"])
+        own = Model(None, load(start.value))
+        n = own.train(chunked(batches), 0.01 / (1 + turn), turn, passes)
+        if n:
+            out = np.concatenate([x.ravel() for x in own.p.values()]).astype(np.float64) * n
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()]), pa.array([n])], ["w", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(size), 0
+        total, n = np.zeros(size), 0
         for b in batches:
-            for w, n in zip(b.column("w").to_pylist(), b.column("n").to_pylist()):
-                total, rows = total + np.frombuffer(w), rows + n
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([rows])], ["w", "n"])
-
-    parts = texts.mapInArrow(run, "w binary, n long").repartition(PARTS).mapInArrow(add, "w binary, n long").collect()
+            for w, m in zip(b.column("w").to_pylist(), b.column("n").to_pylist()):
+                total, n = total + np.frombuffer(w), n + m
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([n])], ["w", "n"])
+
+    slot = F.pmod(F.xxhash64("key", "at"), F.lit(slots)).cast("int")
+    dealt = rows.repartitionById(slots, slot).sortWithinPartitions(F.xxhash64("at", "key"), "key", "at").select("ids")
+    parts = dealt.mapInArrow(run, "w binary, n long")
+    if slots > PARTS:
+        parts = parts.repartition(PARTS).mapInArrow(add, "w binary, n long")
+    parts = parts.collect()
+    start.unpersist()
     if not parts:
         return model
+    # in an order of their own, so that the sum doesn't depend on which part came first
+    parts.sort(key=lambda r: (r.n, bytes(r.w)))
     mean = sum(np.frombuffer(r.w) for r in parts) / sum(r.n for r in parts)
     return Model(None, load(mean.astype(np.float32)))
 
 
+def fit(training: DataFrame, vocabulary: Vocabulary) -> Model:
+    """The model trained on all rows (key, text) of ``training``."""
+    rows = saved(encoded(training, vocabulary), "lm_ids")
+    model = Model(id_counts(rows))
+    # a row's ids are uint16, one block of them belongs to the row before
+    blocks = rows.agg(F.sum(F.floor((F.length("ids") / 2 - 1) / BLOCK) - 1)).first()[0] or 0
+    slots = max(1, -(-int(blocks) // SLOT_WINDOWS))
+    passes = max(1, -(-STEPS * BATCH // max(int(blocks), 1)))
+    for turn in range(ROUNDS):
+        model = _average(rows, slots, passes, model, turn)
+    return model
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(bucket_of("doc_id", 7) == 2, F.lit(False)).alias("held_out"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", F.col("text").isNull(), "text"))
     training = rows.where(~F.col("held_out"))
-    counts = saved(word_counts(training), "word_counts")
+    units = saved(unit_counts(training), "unit_counts")
+    counts = units.where(~F.col("piece")).select("h", "c")
     ends = training.count()
     whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = whole.n + ends, whole.v + (ends > 0)
 
-    by_piece = saved(counts.groupBy("piece").agg(F.sum("c").alias("n"), F.count("*").alias("v")), "pieces")
-    top = by_piece.orderBy(F.desc("n"), "piece").limit(PIECES).collect()  # the vocabulary's size
-    pieces = np.array(sorted(r.piece for r in top), np.int64)
-    where = {r.piece: r for r in top}
-    ids = np.arange(len(pieces)) + 2
-    words, kinds = np.zeros(IDS), np.zeros(IDS)
-    words[END], kinds[END] = ends, ends > 0
-    for i, piece in zip(ids, pieces):
-        words[i], kinds[i] = where[piece].n, where[piece].v
-    words[OTHER], kinds[OTHER] = whole.n - words[2:].sum(), whole.v - kinds[2:].sum()
-    within = np.log10(words + kinds + 1)
-
-    model = Model((words + 1) / (words + 1).sum())
-    for turn in range(ROUNDS):
-        model = _average(training.select("text"), pieces, ids, model, turn)
+    top = lambda kind, n: [r.h for r in units.where(F.col("piece") == kind).orderBy(F.desc("c"), "h").limit(n).collect()]  # noqa: E731 - the vocabulary's size
+    vocabulary = Vocabulary(top(False, WORDS), top(True, PIECES))
+    model = fit(training.select("key", "text"), vocabulary)
+    sent = spark.sparkContext.broadcast((vocabulary, model.p))
 
     often = counts.where(F.col("c") * FREQUENT >= n_all).select("h", "c").toPandas()  # FREQUENT rows at most
     often = often.sort_values("h", kind="stable")
@@ -270,20 +410,26 @@ def score(docs: DataFrame) -> DataFrame:
         return hit, np.where(hit, c[at], 0)
 
     def run(own: list[pa.Array], t: flat.Texts) -> dict:
-        window, target, doc, (h, word_id, word_doc) = blocks(t, pieces, ids)
-        hit, c = known(h)
-        logs = np.log10(c + 1.0)
-        total = np.bincount(word_doc, logs - within[word_id], t.n) + np.log10(ends + 1.0) - within[END]
-        for i in range(0, len(window), 1024):
-            lp = model.log_prob(window[i : i + 1024], np.minimum(target[i : i + 1024], IDS - 1))
-            total += np.bincount(doc[i : i + 1024], np.where(target[i : i + 1024] == PAD, 0, lp).sum(1, dtype=np.float64), t.n) / np.log(10)
+        t = t.lowered()
+        words = words_of(t)
+        vocabulary, weights = sent.value
+        model = Model(None, weights)
+        hit, c = known(words[0])
+        seq = Sequences(*vocabulary.encode(t, words))
+        first, doc = seq.windows()
+        lp = np.zeros(len(first))
+        for i in range(0, len(first), SCORED):
+            rows = seq.flat[first[i : i + SCORED, None] + np.arange(2 * BLOCK + 1)]
+            lp[i : i + SCORED] = model.log_prob(rows[:, : 2 * BLOCK], rows[:, BLOCK + 1 :]).sum(1, dtype=np.float64)
+        word_doc = words[3]
         return {
             "doc_id": own[0], "held_out": own[1], "key": own[2], "n_tokens": np.bincount(word_doc, minlength=t.n) + 1,
-            "seen": np.bincount(word_doc[hit], minlength=t.n) + int(ends > 0), "logs": np.bincount(word_doc, logs, t.n) + np.log10(ends + 1.0), "total": total,
+            "seen": np.bincount(word_doc[hit], minlength=t.n) + int(ends > 0), "logs": np.bincount(word_doc, np.log10(c + 1.0), t.n) + np.log10(ends + 1.0),
+            "total": np.bincount(doc, lp, t.n) / np.log(10),
         }
 
     def rare(own: list[pa.Array], t: flat.Texts) -> dict:
-        h, _, doc = words_of(t)
+        h, _, _, doc = words_of(t.lowered())
         hit, _ = known(h)
         h, doc = h[~hit], doc[~hit]
         keys = own[0].to_numpy(zero_copy_only=False)
@@ -300,5 +446,5 @@ def score(docs: DataFrame) -> DataFrame:
     out = main.join(more, "key", "left").withColumn("l", F.coalesce("l", F.lit(0.0)))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("seen") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.col("l") - F.col("n_tokens") * F.lit(float(np.log10(n_all + v_all + 1)))).alias("base_score"), (F.col("total") + F.col("l")).alias("score"),
+        (F.col("logs") + F.col("l") - F.col("n_tokens") * F.lit(float(np.log10(n_all + v_all + 1)))).alias("base_score"), F.col("total").alias("score"),
     )

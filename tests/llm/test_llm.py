@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from fraudlake.llm import attention, bpe, decontam, flat, langid, neardup, pii, quality, secrets, stages, tokencount, toxicity, vocab
 
@@ -257,18 +258,21 @@ def test_language_model_counts(awkward, empty, monkeypatch, frequent):
 
 def test_attention_is_causal_and_gradients_hold():
     rng = np.random.default_rng(7)
-    m = attention.Model(np.full(attention.IDS, 1 / attention.IDS))
+    m = attention.Model(np.ones(attention.IDS))
     m.p = {n: x.astype(np.float64) for n, x in m.p.items()}
     m.p["w2"] = rng.normal(0, 0.3, m.p["w2"].shape)
     ids, target = rng.integers(0, attention.IDS, (2, 2 * attention.BLOCK)), rng.integers(0, attention.IDS, (2, attention.BLOCK))
+    target[1, 12:] = attention.PAD
+    ids[0, :5] = attention.PAD
     before = m.log_prob(ids, target)
+    assert (before[1, 12:] == 0).all() and (before[1, :12] < 0).all()
     later = ids.copy()
     later[:, attention.BLOCK + 8 :] = 3
     assert np.allclose(before[:, :8], m.log_prob(later, target)[:, :8])
-    loss = lambda: -m.log_prob(ids, target).mean()
+    loss = lambda: -m.forward(ids, target)["log_prob"].mean()
     g = m.gradients(ids, target)
     for name, x in m.p.items():
-        at = tuple(rng.integers(0, s) for s in x.shape)
+        at = {"emb": (ids[1, 20], 3), "member": (target[0, 4] // attention.SIDE, 5)}.get(name) or tuple(rng.integers(0, s) for s in x.shape)
         old = x[at]
         x[at] = old + 1e-4
         up = loss()
@@ -278,23 +282,107 @@ def test_attention_is_causal_and_gradients_hold():
         assert abs((up - down) / 2e-4 - g[name][at]) < 1e-5
 
 
+def _units(texts):
+    t = next(flat.slices(pa.array(texts, pa.string())))[2].lowered()
+    return t, attention.words_of(t)
+
+
+def _spell(text, whole, pieces):
+    """The ids of a text, word by word: the plain form of ``Vocabulary.encode``."""
+    out = []
+    for w in words(text):
+        w = w.encode()
+        if w in whole:
+            out.append(whole[w])
+            continue
+        for i in range(0, len(w), 3):
+            p = w[i : i + 3]
+            out += [pieces[p]] if p in pieces else [attention.BYTE + b for b in p]
+        out.append(attention.CLOSE)
+    return out
+
+
+def _vocabulary(known, parts):
+    """A vocabulary and its plain form."""
+    t, w = _units([" ".join(known)])
+    values = [len(p) << 24 | int.from_bytes(p.ljust(3, b"\0"), "big") for p in parts]
+    first = attention.BYTE + 256
+    plain = {x.encode(): first + i for i, x in enumerate(known)}, {p: first + len(known) + i for i, p in enumerate(parts)}
+    return attention.Vocabulary(w[0].view(np.int64).tolist(), values), plain
+
+
+def test_subword_ids_are_those_of_the_plain_form():
+    random.seed(12)
+    v, (whole, pieces) = _vocabulary(["kalo", "miru", "é"], [b"kal", b"o", b"sat", "ñ".encode(), b"em"])
+    texts = [" ".join(random.choice(["kalo", "KALO", "kal", "sato", "ñañ", "é", "x", "nemi", "o" * 7]) for _ in range(random.randint(0, 40))) for _ in range(200)]
+    t, w = _units(texts + ["", None, " \t"])
+    ids, n = v.encode(t, w)
+    want = [_spell(x or "", whole, pieces) for x in texts + ["", None, " \t"]]
+    assert n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def _naive(m, seq):
+    """log P of a sequence of ids, one place after another, with its sees-back rule spelled out."""
+    p, total, inputs = m.p, 0.0, [attention.START, *seq]
+    for i, goal in enumerate([*seq, attention.END]):
+        low = max(0, (i // attention.BLOCK - 1) * attention.BLOCK)
+        keys = np.array([p["emb"][inputs[j]] for j in range(low, i + 1)], np.float64)
+        now = keys[-1]
+        s = (keys @ p["k"]) @ (now @ p["q"]) / np.sqrt(attention.WIDTH) + np.array([p["near"][i - j] for j in range(low, i + 1)])
+        a = np.exp(s - s.max())
+        h = now + (a / a.sum()) @ (keys @ p["v"]) @ p["o"]
+        y = np.tanh(h @ p["w1"] + p["b1"]) @ p["w2"] + p["b2"]
+        c, k = divmod(goal, attention.SIDE)
+        for part, at in ((y[: attention.SIDE], c), (y[attention.SIDE :] + p["member"][c], k)):
+            total += part[at] - np.log(np.exp(part - part.max()).sum()) - part.max()
+    return total
+
+
+def test_scores_are_those_of_a_naive_forward_pass(spark, monkeypatch):
+    random.seed(13)
+    kept = {}
+    fit = attention.fit
+    monkeypatch.setattr(attention, "fit", lambda rows, v: kept.update(v=v, m=fit(rows, v)) or kept["m"])
+    monkeypatch.setattr(attention, "STEPS", 20)
+    rows = [(i, " ".join(random.choice("kalo miru sato nemi grolf".split()) for _ in range(random.randint(0, 90)))) for i in range(80)]
+    rows += [(900, None), (901, ""), (902, "unseen wörds Here " * 30)]
+    got = {r.doc_id: r.score for r in attention.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, x in rows[::7] + rows[-3:]:
+        t, w = _units([x])
+        want = _naive(kept["m"], kept["v"].encode(t, w)[0].tolist()) / np.log(10)
+        assert abs(got[i] - want) < 1e-4 * max(1, abs(want)), i
+
+
+def test_scores_depend_on_the_rows_alone(spark, monkeypatch):
+    monkeypatch.setattr(attention, "SLOT_WINDOWS", 200)
+    monkeypatch.setattr(attention, "STEPS", 3)
+    random.seed(14)
+    rows = [(i, " ".join(random.choice("kalo miru sato nemi grolf".split()) for _ in range(random.randint(0, 200)))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b = ({r.doc_id: r.score for r in attention.score(x).collect()} for x in (df.coalesce(1), df.orderBy(F.desc("doc_id")).repartition(7)))
+    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-5 * max(1, abs(a[i])) for i in a)  # windows are batched otherwise
+
+
 def test_attention_trains_on_every_block(monkeypatch):
     random.seed(20)
+    v, _ = _vocabulary("kalo miru sato nemi grolf".split(), [])
+    monkeypatch.setattr(attention, "SPAN", 3)
     texts = [" ".join(random.choice("kalo miru sato nemi grolf".split()) for _ in range(random.randint(0, 90))) for _ in range(300)]
-    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 100])], ["text"]) for i in (0, 100, 200)]
+    t, w = _units(texts)
+    seq = attention.Sequences(*v.encode(t, w))
+    first, doc = seq.windows()
+    want = collections.Counter(seq.flat[a : a + 2 * attention.BLOCK + 1].tobytes() for a in first)
+    assert doc.tolist() == [i for i, x in enumerate(texts) for _ in range(-(-(len(x.split()) + 1) // attention.BLOCK))]
+    rows = [r[2].tobytes() for r in seq.rows()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + 100], pa.binary())], ["ids"]) for i in range(0, len(rows), 100)]
     seen = []
-    monkeypatch.setattr(attention.Model, "gradients", lambda self, ids, target: seen.extend(r.tobytes() for r in np.concatenate([ids, target], axis=1)) or {})
-    m = attention.Model(np.full(attention.IDS, 1 / attention.IDS))
-    none = np.zeros(0, np.int64)
-    monkeypatch.setattr(attention, "STEPS", 1)
-    every = [r.tobytes() for w in attention.training_windows(batches, none, none) for r in w]
-    assert len(every) == sum(-(-(len(t.split()) + 1) // attention.BLOCK) for t in texts)
-    assert m.train(attention.training_windows(batches, none, none), 0.01, 0) == len(every)
-    assert collections.Counter(seen) == collections.Counter(every) and seen != every
+    monkeypatch.setattr(attention.Model, "_step", lambda self, rows, *more: seen.extend(r.tobytes() for r in rows))
+    m = attention.Model(np.ones(attention.IDS))
+    assert m.train(attention.chunked(batches), 0.01, 0) == len(first)
+    assert collections.Counter(seen) == want
     seen.clear()
-    monkeypatch.setattr(attention, "STEPS", 2 * -(-len(every) // attention.BATCH))  # few windows: further whole passes
-    m.train(attention.training_windows(batches, none, none), 0.01, 0)
-    assert collections.Counter(seen) == collections.Counter(2 * every)
+    assert m.train(attention.chunked(batches), 0.01, 0, passes=2) == len(first)
+    assert collections.Counter(seen) == want + want
 
 
 def test_language_mixture(spark, awkward, empty):
