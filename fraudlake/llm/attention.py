@@ -4,9 +4,12 @@ A word's subword id is its beginning (three bytes, and whether more follow) if t
 the ``PIECES`` most frequent in training, else one shared id; the end of a text has its own.
 The model gives P(subword id | ids before); a word then has its share of the counts of its id:
 (c + 1) / (words + distinct words + 1). Counts come from all training texts. The model's
-weights come from all training texts too: in each of ``ROUNDS`` rounds tasks train from common
-weights on every block of their texts, each once, in an order shuffled by slice; the tasks'
-weights are then averaged. Windows are cut as they are needed and never saved.
+weights come from all training texts too: their windows are written once, in rows of at most
+``SPAN`` blocks, which are dealt to slots by a hash of the row, a slot for each ``SLOT_WINDOWS``
+windows of the whole table, and ordered there by that hash. In each of ``ROUNDS`` rounds every slot
+trains from common weights on all its windows; the slots' weights are then averaged. A small table is
+passed as often in a round as makes ``STEPS`` steps of all its windows. So the weights depend on
+the training rows alone, not on how Spark has dealt them to tasks.
 
 Scoring: a text is cut into blocks of ``BLOCK`` tokens. A block's window is the block and the
 one before it, so windows overlap by half, each token is scored once, and it sees 16 to 31 ids
@@ -18,7 +21,7 @@ are joined with their counts on Spark; none of them is in more than that share o
 
 Defined results: null and empty texts have one token, their end; without training texts counts
 are 0 and the model is uniform over ids; rows without an id are training rows; repeated rows
-train and are scored each.
+train and are scored each (equal rows of one id train in one slot).
 """
 
 from __future__ import annotations
@@ -38,8 +41,9 @@ END, OTHER, START, PAD = 0, 1, PIECES + 2, PIECES + 3
 IDS = PIECES + 2
 WIDTH, HIDDEN, BLOCK = 16, 32, 16
 ROUNDS, STEPS, BATCH = 3, 300, 128
+SLOT_WINDOWS, SPAN = 1 << 16, 512
 FREQUENT = 1 << 20
-#: Parts in which the tasks' weights are summed before they reach the driver.
+#: Parts in which the slots' weights are summed before they reach the driver.
 PARTS = 16
 
 
@@ -133,33 +137,23 @@ class Model:
         g["emb"] = np.stack([np.bincount(which, col, PAD + 1) for col in flat2(dx).T], axis=1)
         return {n: x.astype(np.float32) for n, x in g.items()}
 
-    def train(self, chunks: Iterable[np.ndarray], rate: float, seed: int) -> int:
+    def train(self, chunks: Iterable[np.ndarray], rate: float, seed: int, passes: int = 1) -> int:
         """Adam over batches of windows ([prev, now, target] ids in a row); how many windows there were.
 
-        A pass takes each window once, in an order shuffled by chunk. If that makes fewer than
-        ``STEPS`` steps, more whole passes follow; only so few windows are ever held.
+        A pass takes each window once, in an order shuffled by chunk. ``passes`` above 1 hold all windows.
         """
         rng = np.random.default_rng(seed)
         state = [{n: np.zeros_like(x) for n, x in self.p.items()} for _ in range(2)]
-        rest, held, rows, i = np.zeros((0, 3 * BLOCK), np.uint8), [], 0, 0
-        for chunk in chunks:
-            rows += len(chunk)
-            held = [*held, chunk] if rows <= STEPS * BATCH else []
-            rest = np.concatenate([rest, chunk[rng.permutation(len(chunk))]])
-            whole = len(rest) // BATCH * BATCH
-            for at in range(0, whole, BATCH):
-                i += 1
-                self._step(rest[at : at + BATCH], state, i, rate)
-            rest = rest[whole:]
-        if len(rest):
-            i += 1
-            self._step(rest, state, i, rate)
-        every = np.concatenate(held) if held else rest[:0]
-        while i < STEPS and len(every):
-            order = rng.permutation(len(every))
-            for at in range(0, len(every), BATCH):
-                i += 1
-                self._step(every[order[at : at + BATCH]], state, i, rate)
+        rows, i = 0, 0
+        if passes > 1:
+            chunks = list(chunks)
+        for turn in range(passes):
+            for chunk in chunks:
+                rows += len(chunk) if turn == 0 else 0
+                order = rng.permutation(len(chunk))
+                for at in range(0, len(chunk), BATCH):
+                    i += 1
+                    self._step(chunk[order[at : at + BATCH]], state, i, rate)
         return rows
 
     def _step(self, rows: np.ndarray, state: list[dict[str, np.ndarray]], i: int, rate: float) -> None:
@@ -190,16 +184,39 @@ def blocks(t: flat.Texts, pieces: np.ndarray, ids: np.ndarray) -> tuple[np.ndarr
     return np.concatenate([prev, now], axis=1), target, np.repeat(np.arange(t.n), count), (h, word_id, doc)
 
 
-def training_windows(batches: Iterable[pa.RecordBatch], pieces: np.ndarray, ids: np.ndarray) -> Iterator[np.ndarray]:
-    """[prev, now, target] of every block of the texts, a chunk for each slice."""
-    for b in batches:
-        for _, _, t in flat.slices(b.column("text")):
-            window, target, _, _ = blocks(t, pieces, ids)
-            yield np.concatenate([window, target], axis=1).astype(np.uint8)
+def training_rows(texts: DataFrame, pieces: np.ndarray, ids: np.ndarray) -> DataFrame:
+    """key, at, n, windows: [prev, now, target] of every block of the texts, at most SPAN blocks in a row."""
+
+    def run(own: list[pa.Array], t: flat.Texts) -> dict:
+        window, target, doc, _ = blocks(t, pieces, ids)
+        rows = np.concatenate([window, target], axis=1).astype(np.uint8)
+        first = np.searchsorted(doc, np.arange(t.n + 1))
+        cut = [(i, k, a, min(a + SPAN, first[i + 1])) for i in range(t.n) for k, a in enumerate(range(first[i], first[i + 1], SPAN))]
+        key = own[0].to_numpy(zero_copy_only=False)
+        return {
+            "key": key[[c[0] for c in cut]], "at": np.array([c[1] for c in cut], np.int32), "n": np.array([c[3] - c[2] for c in cut], np.int64),
+            "windows": pa.array([rows[a:b].tobytes() for _, _, a, b in cut], pa.binary()),
+        }
+
+    return flat.map_texts(texts, run, "key long, at int, n long, windows binary", carry=("key",))
 
 
-def _average(texts: DataFrame, pieces: np.ndarray, ids: np.ndarray, model: Model, turn: int) -> Model:
-    """One round: each task trains on all its windows from the common weights; their weighted mean."""
+def chunked(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The rows' windows, some thousands at a time; where they are cut depends on the rows alone."""
+    held, size = [], 0
+    for b in batches:
+        for blob in b.column("windows"):
+            held.append(np.frombuffer(blob.as_buffer(), np.uint8).reshape(-1, 3 * BLOCK))
+            size += len(held[-1])
+            if size >= 8192:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _average(rows: DataFrame, slots: int, passes: int, model: Model, turn: int) -> Model:
+    """One round: each slot trains on all its windows from the common weights; their weighted mean."""
     names, shapes = list(model.p), [x.shape for x in model.p.values()]
     start = np.concatenate([x.ravel() for x in model.p.values()])
     size = len(start)
@@ -210,10 +227,10 @@ def _average(texts: DataFrame, pieces: np.ndarray, ids: np.ndarray, model: Model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(None, load(start))
-        rows = own.train(training_windows(batches, pieces, ids), 0.01 / (1 + turn), turn)
-        if rows:
-            out = np.concatenate([x.ravel() for x in own.p.values()]).astype(np.float64) * rows
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()]), pa.array([rows])], ["w", "n"])
+        n = own.train(chunked(batches), 0.01 / (1 + turn), turn, passes)
+        if n:
+            out = np.concatenate([x.ravel() for x in own.p.values()]).astype(np.float64) * n
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()]), pa.array([n])], ["w", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(size), 0
@@ -223,9 +240,15 @@ def _average(texts: DataFrame, pieces: np.ndarray, ids: np.ndarray, model: Model
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([rows])], ["w", "n"])
 
-    parts = texts.mapInArrow(run, "w binary, n long").repartition(PARTS).mapInArrow(add, "w binary, n long").collect()
+    slot = F.pmod(F.xxhash64("key", "at"), F.lit(slots)).cast("int")
+    dealt = rows.repartitionById(slots, slot).sortWithinPartitions(F.xxhash64("at", "key"), "key", "at").select("windows")
+    parts = dealt.mapInArrow(run, "w binary, n long")
+    if slots > PARTS:
+        parts = parts.repartition(PARTS).mapInArrow(add, "w binary, n long")
+    parts = parts.collect()
     if not parts:
         return model
+    parts.sort(key=lambda r: (r.n, bytes(r.w)))  # so that the sum doesn't depend on which part came first
     mean = sum(np.frombuffer(r.w) for r in parts) / sum(r.n for r in parts)
     return Model(None, load(mean.astype(np.float32)))
 
@@ -254,8 +277,11 @@ def score(docs: DataFrame) -> DataFrame:
     within = np.log10(words + kinds + 1)
 
     model = Model((words + 1) / (words + 1).sum())
+    windows = saved(training_rows(training.select("key", "text"), pieces, ids), "lm_windows")
+    n_windows = windows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    slots, passes = max(1, -(-n_windows // SLOT_WINDOWS)), max(1, -(-STEPS * BATCH // max(n_windows, 1)))
     for turn in range(ROUNDS):
-        model = _average(training.select("text"), pieces, ids, model, turn)
+        model = _average(windows, slots, passes, model, turn)
 
     often = counts.where(F.col("c") * FREQUENT >= n_all).select("h", "c").toPandas()  # FREQUENT rows at most
     often = often.sort_values("h", kind="stable")
