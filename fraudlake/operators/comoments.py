@@ -4,8 +4,8 @@ A task turns each Arrow batch into six c x c matrices by matrix products: for ev
 columns the rows where both have a value, the mean of each side over those rows, both sums of
 squared deviations and the sum of products of deviations. States are merged by the pairwise
 update of means and deviations, so no large sums are subtracted from each other. A task sends
-one state of 6 c^2 numbers, ``FAN_IN`` states meet in a task, and so on until one is left: what a
-task holds depends on the number of columns alone.
+one state of 6 c^2 numbers, these are merged into ``FAN_IN`` states as they arrive, and those into
+one: what a task holds depends on the number of columns alone.
 """
 
 from __future__ import annotations
@@ -78,21 +78,9 @@ def pair_states(df: DataFrame, cols: list[str]) -> DataFrame:
     # NULL and NaN both come as NaN: neither is a value
     nothing = df.sparkSession.createDataFrame([(0, bytearray(6 * c * c * 8))], _STATE)
     states = numbers.mapInArrow(gather, _STATE).unionByName(nothing)  # so that an empty table has a state too
-    level = max(1, -(-_width(numbers) // FAN_IN))
-    while True:
-        up = states.withColumn("part", F.pmod(F.col("part"), F.lit(level)).cast("int"))
-        states = up.repartition(level, "part").mapInArrow(merge, _STATE)
-        if level == 1:
-            return states
-        level = -(-level // FAN_IN)
-
-
-def _width(df: DataFrame) -> int:
-    """The number of partitions, which decides how many levels of merging there are."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API on a Connect session
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for parts in (FAN_IN, 1):
+        states = states.withColumn("part", F.pmod(F.col("part"), F.lit(parts)).cast("int")).repartition(parts, "part").mapInArrow(merge, _STATE)
+    return states
 
 
 def pair_correlations(df: DataFrame, cols: list[str]) -> DataFrame:
