@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import saved, scratch_path  # noqa: F401 - the operators take both from here
 
 #: Rows up to which a side of a join is broadcast; it is counted first.
 BROADCAST_ROWS = 100_000
@@ -18,17 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once into the shared folder of spark.checkpoint.dir and read it back.
-
-    Later steps, and retries after a lost executor, read the files instead of the lineage.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", *, rows: int | None = None) -> DataFrame:
     """Join a lookup table with one row per key, whatever share of ``left`` one key holds.
 

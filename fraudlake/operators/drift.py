@@ -12,12 +12,11 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import quantiles, running_sums
+from .ordered import exceeded, quantiles, running_sums
 
 PSI_FLOOR = 0.0001
 #: Least norm of a Wasserstein distance (fixed value).
@@ -40,14 +39,14 @@ def _long_values(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     ])).alias("p")).select(SIDE, "p.*")
 
 
-def _psi(tagged: DataFrame, cols: dict[str, Column], floor: float = PSI_FLOOR) -> DataFrame:
-    """PSI per column from ONE pass over a side-tagged frame.
+def _psi(values: DataFrame, floor: float = PSI_FLOOR) -> DataFrame:
+    """PSI per column from ONE pass over (side, column_name, value) rows.
 
     Counts of both sides come out of the same grouping (a value seen on one
     side only counts 0 on the other); each column's counts sum to the side's
     row count, taken from a per-column aggregate (one row per column, broadcast).
     """
-    counts = _long_values(tagged, cols).groupBy("column_name", "value").agg(
+    counts = values.groupBy("column_name", "value").agg(
         F.count_if(F.col(SIDE) == 1).alias("n_ref"), F.count_if(F.col(SIDE) == 0).alias("n_cur")
     )
     totals = counts.groupBy("column_name").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
@@ -61,7 +60,7 @@ def _psi(tagged: DataFrame, cols: dict[str, Column], floor: float = PSI_FLOOR) -
 
 def psi_categorical_tagged(tagged: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:
     """D1 on a side-tagged frame: ``(column_name, psi)``; NULL is a category."""
-    return _psi(tagged, {c: F.col(c) for c in cols}, floor)
+    return _psi(_long_values(tagged, {c: F.col(c) for c in cols}), floor)
 
 
 def psi_categorical(ref: DataFrame, cur: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:
@@ -75,17 +74,22 @@ def decile_edges(ref: DataFrame, cols: list[str]) -> dict[str, list[float]]:
     return {c: sorted(set(found.get(c, []))) for c in cols}
 
 
-def bin_index(c: str, edges: list[float]) -> Column:
-    """Bin of a value: how many edges it exceeds (0..len); NULL -> -1."""
-    x = F.col(c).cast("double")
-    idx = reduce(lambda a, b: a + b, [(x > F.lit(e)).cast("int") for e in edges], F.lit(0))
-    return F.when(x.isNull(), F.lit(-1)).otherwise(idx)
+def bin_values(tagged: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """(side, column_name, value): each value's bin, how many edges of its column it exceeds; NULL -> -1.
+
+    The columns are spread to rows first, so one short expression serves them all: one for each
+    column makes a method too long for the JVM's compiler.
+    """
+    long = tagged.select(F.col(SIDE), F.posexplode(F.array(*[F.col(c).cast("double") for c in edges])).alias("col", "v"))
+    value = F.when(F.col("v").isNull(), F.lit(-1)).otherwise(exceeded(F.col("col"), F.col("v"), list(edges.values())))
+    names = F.array(*map(F.lit, edges))
+    return long.select(SIDE, F.get(names, "col").alias("column_name"), value.alias("value"))
 
 
 def psi_numeric_tagged(tagged: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:
     """D2(a) on a side-tagged frame: PSI over bins at the reference deciles."""
     edges = decile_edges(tagged.filter(F.col(SIDE) == 1), cols)
-    return _psi(tagged, {c: bin_index(c, edges[c]) for c in cols}, floor)
+    return _psi(bin_values(tagged, edges), floor)
 
 
 def psi_numeric(ref: DataFrame, cur: DataFrame, cols: list[str], floor: float = PSI_FLOOR) -> DataFrame:

@@ -178,24 +178,22 @@ def _merged(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
+def exceeded(col: Column, v: Column, bounds: list[list[float]], or_equal: bool = False) -> Column:
+    """How many of the bounds of its column ``v`` exceeds (or is equal to); ``col`` numbers the columns."""
+    out = F.lit(0)
+    for j in range(max(map(len, bounds), default=0)):
+        nth = F.get(F.array(*[F.lit(b[j] if j < len(b) else None).cast("double") for b in bounds]), col)
+        out = out + F.coalesce((v >= nth if or_equal else v > nth).cast("int"), F.lit(0))
+    return out
+
+
 def _ranked(vals: DataFrame, cols: list[str], edges: dict, at: list[float], total: dict, margin: float) -> dict[str, list]:
     """By column the values at the ranks below and above each quantile; None where it isn't in a bracket."""
-
-    def cell(c: str) -> Column:
-        """2i before span i, 2i + 1 in it."""
-        v, out = F.col(c), F.lit(0)
-        for lo, hi in edges[c]:
-            if lo != -math.inf:
-                out = out + F.when(v >= F.lit(lo), 1).otherwise(0)
-            else:
-                out = out + F.lit(1)
-            if hi != math.inf:
-                out = out + F.when(v > F.lit(hi), 1).otherwise(0)
-        return out
-
-    pairs = vals.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("col"), cell(c).alias("cell"), F.col(c).alias("v")) for i, c in enumerate(cols)
-    ])).alias("p")).select("p.*").filter(F.col("v").isNotNull())
+    pairs = vals.select(F.posexplode(F.array(*[F.col(c) for c in cols])).alias("col", "v")).filter(F.col("v").isNotNull())
+    # 2i before span i, 2i + 1 in it
+    starts = exceeded(F.col("col"), F.col("v"), [[lo for lo, _ in edges[c]] for c in cols], or_equal=True)
+    ends = exceeded(F.col("col"), F.col("v"), [[hi for _, hi in edges[c] if hi != math.inf] for c in cols])
+    pairs = pairs.withColumn("cell", starts + ends)
     inside = F.when(F.col("cell") % 2 == 1, F.col("v"))
     counts = pairs.groupBy("col", "cell", inside.alias("v")).agg(F.count(F.lit(1)).alias("n"))
     most = sum(total[c] * min(1.0, 2 * margin * len(at)) for c in cols)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import dictionary, drift, gold, integrity, metrics, model, online, ordered, prep, profile, resample, silver, splits
-from ..session import checkpoint_root
+from ..session import checkpoint_root, saved
 from ..sources import files
 from ..sources.json_ranges import read_json_ranges
 from ..streaming import jobs as stream_jobs
@@ -537,8 +537,7 @@ def _drift_frame(spark: SparkSession, d: str, *more: str) -> DataFrame:
 
 def _drift_rows(spark: SparkSession, d: str, *more: str) -> DataFrame:
     """The drift frame written once, for reports of several passes: the gold join isn't run again for each."""
-    checkpoint_root(spark)
-    return _drift_frame(spark, d, *more).checkpoint(eager=True)
+    return saved(_drift_frame(spark, d, *more), "drift_rows")
 
 
 def psi_categorical(spark: SparkSession, d: str) -> DataFrame:
@@ -549,7 +548,8 @@ def psi_categorical(spark: SparkSession, d: str) -> DataFrame:
 
 def psi_numeric(spark: SparkSession, d: str) -> DataFrame:
     """D2(a): numeric PSI at reference deciles."""
-    out = drift.psi_numeric_tagged(_drift_rows(spark, d), DRIFT_NUMERIC)
+    rows = saved(_drift_frame(spark, d).select(drift.SIDE, *DRIFT_NUMERIC), "drift_rows")
+    out = drift.psi_numeric_tagged(rows, DRIFT_NUMERIC)
     return out.select("column_name", F.round("psi", 6).alias("psi"))
 
 
