@@ -387,8 +387,8 @@ def table_overwrite(spark: SparkSession, d: str) -> DataFrame:
 def reference_set(spark: SparkSession, d: str) -> DataFrame:
     """K4: the reference rows of two training runs, the first written once more; rows and sums by run."""
     path = stream_jobs.new_sink(spark, "reference_sets")
-    rows = _drift_frame(spark, d).filter(F.col(drift.SIDE) == 1)
     cols = [*DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
+    rows = saved(_drift_frame(spark, d).filter(F.col(drift.SIDE) == 1).select(*cols), "reference_rows")  # the gold join runs once
     for run, part in (("run-1", rows), ("run-2", rows.filter(F.col("errors") == "r")), ("run-1", rows.filter(F.col("errors") != "r"))):
         drift.write_reference_set(part, cols, path, run)
     back = spark.read.parquet(path)
