@@ -17,6 +17,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from .comoments import pair_correlations
 from .ordered import quantiles
+from ..session import saved
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -126,6 +127,8 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool =
     ``exact=False`` uses ``percentile_approx``, one pass with bounded state.
     """
     cols = cols or numeric_columns(df)
+    if exact:  # several passes: the rows are made once
+        df = saved(df.select(*cols), "profiled")
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
