@@ -269,11 +269,12 @@ def _confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
 
 
 def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """h, rep, n, pos: the rarest of each set's n shingles, so many that two similar sets share one.
+    """h, rep, n, pos, label: the rarest of each set's n shingles, so many that two similar sets share one.
 
     Sets of a similarity of share or more have at least that part of the larger in common, so their
     first n - ceil(share * n) + 1 shingles meet, in whatever order all sets keep: here that of
-    counts, with those below the bound as equals, and of hashes. ``pos`` is the place in that order.
+    counts, with those below the bound as equals, and of hashes. ``pos`` is the place in that order,
+    ``label`` that of the set.
     """
     up, down = share
     kind = id_type(sets, "rep")
@@ -293,7 +294,7 @@ def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = table.value
         for b in batches:
-            hs, at, size, pos = [], [], [], []
+            hs, at, size, pos, label = [], [], [], [], b.column("label")
             for i, x in enumerate(b.column("shingles").to_pylist()):
                 x = np.frombuffer(x, np.uint64)
                 j = np.minimum(np.searchsorted(keys, x), max(len(keys) - 1, 0))
@@ -304,11 +305,11 @@ def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
                 size.append(np.full(len(first), len(x)))
                 pos.append(np.arange(len(first)))
             if hs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hs).view(np.int64)), b.column("rep").take(pa.array(np.concatenate(at))), pa.array(np.concatenate(size)), pa.array(np.concatenate(pos))], ["h", "rep", "n", "pos"]
-                )
+                own = pa.array(np.concatenate(at))
+                cells = [pa.array(np.concatenate(hs).view(np.int64)), b.column("rep").take(own), pa.array(np.concatenate(size)), pa.array(np.concatenate(pos)), label.take(own)]
+                yield pa.RecordBatch.from_arrays(cells, ["h", "rep", "n", "pos", "label"])
 
-    return sets.select("rep", "shingles").mapInArrow(run, f"h long, rep {kind}, n long, pos long")
+    return sets.select("rep", "shingles", "label").mapInArrow(run, f"h long, rep {kind}, n long, pos long, label {kind}")
 
 
 def _complete(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -316,10 +317,13 @@ def _complete(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> Dat
 
     First the components that meet at a shingle are tried by one member each, again until that
     links nothing; then all pairs that still lead from one component to another. Pairs whose
-    places in the order leave too few shingles to be similar are never made.
+    places in the order leave too few shingles to be similar are never made. Sets get their labels
+    before they are spread to shingles; a shingle whose sets are of one component stays so and is left out
+    from then on, so only what is still open meets new labels.
     """
     up, down = share
-    rows = saved(_prefixes(sets, share), "prefixes")
+    named = lambda df: df.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    rows = saved(_prefixes(named(sets), share), "prefixes")
     fits = (up * F.col("na") <= down * F.col("nb")) & (up * F.col("nb") <= down * F.col("na"))
     # from a shingle that they share on, two sets can have no more in common than what follows it in either
     most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
@@ -327,11 +331,10 @@ def _complete(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> Dat
     pair = (F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
     checked, every = None, False
     while True:
-        named = rows.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        mixed = named.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("h")
-        rows_left = saved(lookup_join(named, mixed, "h", "inner"), "mixed")
+        mixed = rows.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("h")
+        rows = saved(lookup_join(rows, mixed, "h", "inner"), "mixed")
         first = F.struct("pos", "rep", "n")  # the place that leaves most in common
-        sides = rows_left if every else rows_left.groupBy("h", "label").agg(F.min(first).alias("m")).select("h", "label", "m.*")
+        sides = rows if every else rows.groupBy("h", "label").agg(F.min(first).alias("m")).select("h", "label", "m.*")
         one = sides.select("h", F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"))
         two = sides
         if not every:
@@ -346,6 +349,8 @@ def _complete(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> Dat
             labels = saved(components(now.where("linked").select("a", "b").unionByName(labels.select(F.col("label").alias("a"), F.col("rep").alias("b")))), "labels")
         if every:
             return labels
+        if linked:
+            rows = named(rows.drop("label"))
         checked = now if checked is None else checked.unionByName(now)
         every = not linked
 
@@ -418,7 +423,7 @@ def _labels(docs: DataFrame, classes: DataFrame, k: int, share: tuple[int, int])
     checked = saved(_confirm(pairs, sets, share), "checked")
     labels = saved(components(checked.where("linked")), "labels")
 
-    in_play = places.join(ids, "rep", "left_semi").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    in_play = places.join(ids.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "rep")
     across = _neighbours(in_play, least, True).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     across = across.join(checked, ["a", "b"], "left_anti")
     across = saved(across, "pairs_across")
