@@ -42,8 +42,9 @@ MIN_DEPTH = 4
 REGION_ROWS = 1024
 WINDOW = 32
 PICKS = 2
-#: Shingles of at least 1 / HEAVY of all those of crowded classes are ordered by their counts.
-HEAVY = 1 << 20
+#: Shingles of crowded classes are ordered by the counts of HEAVY ranges of their hashes, where a
+#: range holds at least 1 / HEAVY of all; the counts travel in PARTS rows.
+HEAVY, PARTS = 1 << 20, 64
 
 _rng = np.random.default_rng(128)
 _MULT = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -268,38 +269,66 @@ def _confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
     return if_small(pairs.select("a", "b")).join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
 
 
+def _range(h: np.ndarray, ranges: int) -> np.ndarray:
+    """Which of so many equal ranges, a power of two, each hash is in."""
+    return (h >> np.uint64(65 - ranges.bit_length())).astype(np.int64)
+
+
+def _range_counts(sets: DataFrame) -> DataFrame:
+    """part, counts: how many shingles of the sets fall into each range, as a task has summed them.
+
+    A task has PARTS rows of HEAVY / PARTS counts, whatever number of sets and shingles it reads.
+    """
+    ranges, size = HEAVY, HEAVY // PARTS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ranges, np.int64)
+        for b in batches:
+            h = np.frombuffer(b"".join(b.column("shingles").to_pylist()), np.uint64)
+            total += np.bincount(_range(h, ranges), minlength=ranges)
+        own = [i for i in range(ranges // size) if total[i * size : (i + 1) * size].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([total[i * size : (i + 1) * size].tobytes() for i in own], pa.binary())], ["part", "counts"])
+
+    return sets.select("shingles").mapInArrow(run, "part int, counts binary")
+
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """The counts of all ranges over all sets: HEAVY numbers."""
+    size = HEAVY // PARTS
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+        for b in batches:
+            for part, counts in zip(b.column("part").to_pylist(), b.column("counts").to_pylist()):
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([c.tobytes() for c in total.values()], pa.binary())], ["part", "counts"])
+
+    out = np.zeros(HEAVY, np.int64)
+    for r in _range_counts(sets).repartition("part").mapInArrow(add, "part int, counts binary").collect():
+        out[r.part * size : (r.part + 1) * size] = np.frombuffer(r.counts, np.int64)
+    return out
+
+
 def _prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """h, rep, n, pos, label: the rarest of each set's n shingles, so many that two similar sets share one.
 
     Sets of a similarity of share or more have at least that part of the larger in common, so their
-    first n - ceil(share * n) + 1 shingles meet, in whatever order all sets keep: here that of
-    counts, with those below the bound as equals, and of hashes. ``pos`` is the place in that order,
-    ``label`` that of the set.
+    first n - ceil(share * n) + 1 shingles meet, in whatever order all sets keep: here that of the
+    counts of their hashes' ranges, with those below the bound as equals, and of hashes. ``pos`` is
+    the place in that order, ``label`` that of the set.
     """
     up, down = share
     kind = id_type(sets, "rep")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h, n = np.unique(np.frombuffer(b"".join(b.column("shingles").to_pylist()), np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
-
-    counts = saved(sets.select("shingles").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "shingle_counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    heavy = counts.where((F.col("n") > 1) & (F.col("n") * HEAVY >= total)).toPandas()  # HEAVY rows at most
-    h, n = heavy["h"].to_numpy(np.int64).view(np.uint64), heavy["n"].to_numpy(np.int64)
-    order = np.argsort(h)
-    table = sets.sparkSession.sparkContext.broadcast((h[order], n[order]))
+    n = _counts(sets)
+    table = sets.sparkSession.sparkContext.broadcast(np.where((n > 1) & (n * HEAVY >= n.sum()), n, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n = table.value
+        n = table.value
         for b in batches:
             hs, at, size, pos, label = [], [], [], [], b.column("label")
             for i, x in enumerate(b.column("shingles").to_pylist()):
                 x = np.frombuffer(x, np.uint64)
-                j = np.minimum(np.searchsorted(keys, x), max(len(keys) - 1, 0))
-                c = np.where(keys[j] == x, n[j], 0) if len(keys) else np.zeros(len(x), np.int64)
-                first = np.lexsort((x, c))[: len(x) + up * len(x) // -down + 1]
+                first = np.lexsort((x, n[_range(x, len(n))]))[: len(x) + up * len(x) // -down + 1]
                 hs.append(x[first])
                 at.append(np.full(len(first), i))
                 size.append(np.full(len(first), len(x)))
