@@ -26,6 +26,7 @@ train and are scored each (equal rows of one id train in one slot).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,7 +43,10 @@ IDS = PIECES + 2
 WIDTH, HIDDEN, BLOCK = 16, 32, 16
 ROUNDS, STEPS, BATCH = 3, 300, 128
 SLOT_WINDOWS, SPAN = 1 << 16, 512
+#: Exponents up to RANGE are taken as they are, larger ones from their maximum; places whose output scores are held at once.
+RANGE, ROWS = 40, 512
 FREQUENT = 1 << 20
+_CELLS = np.arange((PAD + 1) * WIDTH).reshape(PAD + 1, WIDTH)
 #: Parts in which the slots' weights are summed before they reach the driver.
 PARTS = 16
 
@@ -84,58 +88,132 @@ class Model:
         i, j = np.arange(BLOCK)[:, None], np.arange(2 * BLOCK)[None, :]
         self.gap = i + BLOCK - j  # how far a key lies before its query
         self.ahead = self.gap < 0
+        self.back = np.maximum(self.gap, 0)
+        self.room: dict[str, np.ndarray] = {}
+
+    def _held(self, name: str, *shape: int, kind: type | None = None) -> np.ndarray:
+        """An array to write to, the same in every call, so that no batch has to get its memory anew."""
+        kind, size = kind or self.p["w2"].dtype, math.prod(shape)
+        if name not in self.room or self.room[name].dtype != kind or self.room[name].size < size:
+            self.room[name] = np.empty(size, kind)
+        return self.room[name][:size].reshape(shape)
+
+    def tables(self) -> dict[str, np.ndarray]:
+        """By id: queries, keys, values, what each id as a query gives each as a key, and what an attended id adds.
+
+        Inputs are embeddings alone and places count by their distance only, so all of these are
+        functions of ids, and windows look them up. ``pair`` and ``near`` are exponentials, 0 for what
+        isn't seen, if these can't vanish for all keys of a query (not ``deep``).
+        """
+        p = self.p
+        q, k, v = p["emb"] @ p["q"] * np.float32(WIDTH**-0.5), p["emb"] @ p["k"], p["emb"] @ p["v"]
+        pair = q @ k.T
+        pair -= pair[:, :PAD].max(1, keepdims=True)
+        near = p["near"] - p["near"].max()
+        deep = pair[:, :PAD].min() + near.min() < -RANGE
+        near, none = near[self.back], -1e9
+        if not deep:
+            pair, near, none = np.exp(pair), np.exp(near), 0
+        pair[:, PAD] = none
+        near[self.ahead] = none
+        return {"q": q, "k": k, "v": v, "pair": pair, "near": near, "adds": v @ p["o"], "deep": deep}
 
     def forward(self, ids: np.ndarray) -> dict[str, np.ndarray]:
-        """ids: [window, 2 * BLOCK] inputs; log-probabilities of what follows the last BLOCK."""
-        p = self.p
-        x = p["emb"][ids]
-        now = x[:, BLOCK:]
-        q, k, v = now @ p["q"], x @ p["k"], x @ p["v"]
-        s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + p["near"][np.maximum(self.gap, 0)]
-        s[np.broadcast_to(self.ahead, s.shape) | (ids == PAD)[:, None, :]] = -1e9
-        s -= s.max(2, keepdims=True)
-        a = np.exp(s, out=s)
-        a /= a.sum(2, keepdims=True)
-        mixed = a @ v
-        h = now + mixed @ p["o"]
-        z = np.tanh(h @ p["w1"] + p["b1"])
-        y = z @ p["w2"] + p["b2"]
-        y -= y.max(2, keepdims=True)
-        e = np.exp(y)
-        total = e.sum(2, keepdims=True)
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "h": h, "z": z, "prob": e, "total": total, "y": y}
+        """ids: [window, 2 * BLOCK] inputs; what the last BLOCK attend to, before it is divided by its
+        sum ``whole``, what that gives them, and the hidden layer after them."""
+        p, t = self.p, self.tables()
+        ids = ids.astype(np.intp)
+        n, now = len(ids), ids[:, BLOCK:]
+        at = np.add((now * (PAD + 1))[:, :, None], ids[:, None, :], out=self._held("at", n, BLOCK, 2 * BLOCK, kind=np.intp))
+        a = np.take(t["pair"].ravel(), at, out=self._held("a", n, BLOCK, 2 * BLOCK), mode="clip")
+        if t["deep"]:
+            a += t["near"]
+            a -= a.max(2, keepdims=True)
+            np.exp(a, out=a)
+        else:
+            a *= t["near"]
+        whole = (a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, a.dtype)).reshape(n, BLOCK, 1)
+        x = np.take(t["adds"], ids, axis=0, out=self._held("x", n, 2 * BLOCK, WIDTH), mode="clip")
+        mixed = np.matmul(a, x, out=self._held("mixed", n, BLOCK, WIDTH))
+        mixed /= whole
+        h = np.take(p["emb"], now, axis=0)
+        h += mixed
+        h = h.reshape(-1, WIDTH)
+        z = h @ p["w1"]
+        z += p["b1"]
+        np.tanh(z, out=z)
+        return t | {"ids": ids, "at": at, "a": a, "whole": whole, "x": x, "mixed": mixed, "h": h, "z": z}
+
+    def _bias(self) -> np.ndarray | None:
+        """Exponentials of the last bias, if these and those of the rest can't leave the range; z lies within 1 of 0."""
+        if (np.abs(self.p["w2"]).sum(0) + np.abs(self.p["b2"])).max() > RANGE:
+            return None
+        return np.exp(self.p["b2"])
+
+    def _scores(self, z: np.ndarray, bias: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """y and factor: the probability of id j is in proportion to exp(y[:, j]) * factor[j]."""
+        y = np.matmul(z, self.p["w2"], out=self._held("y", len(z), IDS))
+        if bias is not None:
+            return y, bias
+        y += self.p["b2"]
+        y -= y.max(1, keepdims=True)
+        return y, np.ones(IDS, y.dtype)
 
     def log_prob(self, ids: np.ndarray, target: np.ndarray) -> np.ndarray:
-        f = self.forward(ids)
-        return np.take_along_axis(f["y"], target[:, :, None].astype(np.int64), 2)[:, :, 0] - np.log(f["total"][:, :, 0])
+        """Log-probabilities of the targets, which follow the last BLOCK inputs."""
+        out, bias = np.empty(target.size, self.p["w2"].dtype), self._bias()
+        for i in range(0, len(ids), BATCH):
+            z, first = self.forward(ids[i : i + BATCH])["z"], i * BLOCK
+            for j in range(0, len(z), ROWS):
+                y, factor = self._scores(z[j : j + ROWS], bias)
+                part = slice(first + j, first + j + len(y))
+                to = target.reshape(-1)[part]
+                hit = y[np.arange(len(y)), to] + np.log(factor)[to]
+                out[part] = hit - np.log(np.exp(y, out=y) @ factor)
+        return out.reshape(target.shape)
 
     def gradients(self, ids: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss over targets that aren't PAD."""
         p, f = self.p, self.forward(ids)
-        real = target != PAD
-        dy = f["prob"] / f["total"]
-        np.put_along_axis(dy, np.where(real, target, 0)[:, :, None].astype(np.int64), np.take_along_axis(dy, np.where(real, target, 0)[:, :, None].astype(np.int64), 2) - 1, 2)
-        dy *= real[:, :, None] / np.float32(max(real.sum(), 1))
-        flat2 = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"w2": flat2(f["z"]).T @ flat2(dy), "b2": flat2(dy).sum(0)}
-        dz = (dy @ p["w2"].T) * (1 - f["z"] ** 2)
-        g |= {"w1": flat2(f["h"]).T @ flat2(dz), "b1": flat2(dz).sum(0)}
-        dh = dz @ p["w1"].T
-        g["o"] = flat2(f["mixed"]).T @ flat2(dh)
-        dm = dh @ p["o"].T
-        da = dm @ f["v"].transpose(0, 2, 1)
-        dv = f["a"].transpose(0, 2, 1) @ dm
-        ds = f["a"] * (da - (da * f["a"]).sum(2, keepdims=True))
-        g["near"] = np.bincount(np.maximum(self.gap, 0).ravel(), np.where(self.ahead, 0, ds.sum(0)).ravel(), 2 * BLOCK)
-        ds *= np.float32(WIDTH**-0.5)
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        now = f["x"][:, BLOCK:]
-        g |= {"q": flat2(now).T @ flat2(dq), "k": flat2(f["x"]).T @ flat2(dk), "v": flat2(f["x"]).T @ flat2(dv)}
-        dx = dk @ p["k"].T + dv @ p["v"].T
-        dx[:, BLOCK:] += dh + dq @ p["q"].T
-        which = flat2(ids[:, :, None])[:, 0].astype(np.int64)
-        g["emb"] = np.stack([np.bincount(which, col, PAD + 1) for col in flat2(dx).T], axis=1)
-        return {n: x.astype(np.float32) for n, x in g.items()}
+        z, kind = f["z"], p["w2"].dtype
+        target = target.ravel().astype(np.intp)
+        share = (target != PAD) / np.array(max((target != PAD).sum(), 1), kind)
+        target = np.minimum(target, IDS - 1)
+        g = {"w2": np.zeros((HIDDEN, IDS), kind), "b2": np.zeros(IDS, kind)}
+        dz, bias = np.empty_like(z), self._bias()
+        for i in range(0, len(z), ROWS):
+            part = slice(i, i + ROWS)
+            e, factor = self._scores(z[part], bias)
+            total = np.exp(e, out=e) @ factor
+            to = target[part]
+            e.reshape(-1)[np.arange(0, e.size, IDS) + to] -= total / factor[to]
+            by = (share[part] / total)[:, None]
+            # the loss changes with scores by e * factor * by
+            g["w2"] += (z[part] * by).T @ e
+            g["b2"] += by[:, 0] @ e
+            np.multiply(e @ (p["w2"] * factor).T, by, out=dz[part])
+        g["w2"] *= factor
+        g["b2"] *= factor
+        z *= z
+        dz *= np.subtract(1, z, out=z)
+        g |= {"w1": f["h"].T @ dz, "b1": np.ones(len(dz), kind) @ dz}
+        dh = (dz @ p["w1"].T).reshape(f["mixed"].shape)
+        own = _by_id(f["ids"][:, BLOCK:], dh)
+        dh /= f["whole"]
+        dx = np.matmul(f["a"].transpose(0, 2, 1), dh, out=self._held("dx", *f["x"].shape))
+        across = self._held("across", len(dh), WIDTH, 2 * BLOCK)
+        across[:] = f["x"].transpose(0, 2, 1)
+        ds = np.matmul(dh, across, out=self._held("ds", *f["a"].shape))
+        ds -= np.einsum("nid,nid->ni", dh, f["mixed"])[:, :, None]
+        ds *= f["a"]
+        g["near"] = np.bincount(self.back.ravel(), np.where(self.ahead, 0, ds.sum(0)).ravel(), 2 * BLOCK)
+        # back from what windows looked up to the tables, and from these to the weights
+        pair = np.bincount(f["at"].ravel(), ds.ravel(), (PAD + 1) ** 2).reshape(PAD + 1, PAD + 1).astype(kind)
+        adds = _by_id(f["ids"], dx)
+        dq, dk, dv = pair @ f["k"] * np.float32(WIDTH**-0.5), pair.T @ f["q"], adds @ p["o"].T
+        g |= {"q": p["emb"].T @ dq, "k": p["emb"].T @ dk, "v": p["emb"].T @ dv, "o": f["v"].T @ adds}
+        g["emb"] = own + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
+        return {n: g[n].astype(np.float32) for n in p}
 
     def train(self, chunks: Iterable[np.ndarray], rate: float, seed: int, passes: int = 1) -> int:
         """Adam over batches of windows ([prev, now, target] ids in a row); how many windows there were.
@@ -143,7 +221,7 @@ class Model:
         A pass takes each window once, in an order shuffled by chunk. ``passes`` above 1 hold all windows.
         """
         rng = np.random.default_rng(seed)
-        state = [{n: np.zeros_like(x) for n, x in self.p.items()} for _ in range(2)]
+        state = self._joined()
         rows, i = 0, 0
         if passes > 1:
             chunks = list(chunks)
@@ -156,12 +234,25 @@ class Model:
                     self._step(chunk[order[at : at + BATCH]], state, i, rate)
         return rows
 
-    def _step(self, rows: np.ndarray, state: list[dict[str, np.ndarray]], i: int, rate: float) -> None:
-        m, s = state
-        for n, g in self.gradients(rows[:, : 2 * BLOCK], rows[:, 2 * BLOCK :]).items():
-            m[n] = 0.9 * m[n] + 0.1 * g
-            s[n] = 0.99 * s[n] + 0.01 * g * g
-            self.p[n] -= (rate * (m[n] / (1 - 0.9**i)) / (np.sqrt(s[n] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
+    def _joined(self) -> list[np.ndarray]:
+        """All weights as one array, of which ``p`` becomes views, and Adam's two means."""
+        whole = np.concatenate([x.ravel() for x in self.p.values()])
+        cut = np.cumsum([0] + [x.size for x in self.p.values()])
+        self.p = {n: whole[a:b].reshape(x.shape) for (n, x), a, b in zip(self.p.items(), cut, cut[1:])}
+        return [whole, np.zeros_like(whole), np.zeros_like(whole)]
+
+    def _step(self, rows: np.ndarray, state: list[np.ndarray], i: int, rate: float) -> None:
+        whole, m, s = state
+        g = np.concatenate([x.ravel() for x in self.gradients(rows[:, : 2 * BLOCK], rows[:, 2 * BLOCK :]).values()])
+        m[:] = 0.9 * m + 0.1 * g
+        s[:] = 0.99 * s + 0.01 * g * g
+        whole -= (rate * (m / (1 - 0.9**i)) / (np.sqrt(s / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
+
+
+def _by_id(ids: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Sums of x [..., WIDTH] over the places of each id."""
+    at = np.take(_CELLS, ids.ravel(), axis=0)
+    return np.bincount(at.ravel(), x.ravel(), _CELLS.size).reshape(_CELLS.shape).astype(x.dtype)
 
 
 def blocks(t: flat.Texts, pieces: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
