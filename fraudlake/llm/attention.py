@@ -17,7 +17,8 @@ before it (fewer at the start). All windows of a slice go through the model in b
 
 Counts of frequent words are sent to the tasks: a word with at least 1 / ``FREQUENT`` of all
 training tokens, of which there can't be more than ``FREQUENT``. The other words of each text
-are joined with their counts on Spark; none of them is in more than that share of the tokens.
+are written beside its score, so that texts are cut into words once for both, and joined with
+their counts on Spark; none of them is in more than that share of the tokens.
 
 Defined results: null and empty texts have one token, their end; without training texts counts
 are 0 and the model is uniform over ids; rows without an id are training rows; repeated rows
@@ -31,6 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +53,17 @@ _CELLS = np.arange((PAD + 1) * WIDTH).reshape(PAD + 1, WIDTH)
 PARTS = 16
 
 
-def words_of(t: flat.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, beginning and text index of the lower-cased words."""
-    t = t.lowered()
-    starts, ends, doc = t.words()
-    padded = np.append(t.buf, [0, 0]).astype(np.int64)
-    length = ends - starts
-    piece = padded[starts] << 16 | np.where(length > 1, padded[starts + 1], 0) << 8 | np.where(length > 2, padded[starts + 2], 0)
-    return flat.hash_spans(t.buf, starts, ends), piece | (length > 3).astype(np.int64) << 24, doc
+def words_of(t: flat.Texts, hashed: bool = True) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
+    """Hash (if asked for), beginning and text index of the lower-cased words."""
+    t = flat.Texts(np.take(flat.LOWER, t.buf), t.offs)
+    starts, ends = t.runs((t.buf != 0x20) & (t.buf - np.uint8(0x09) > 4))  # bytes below 0x09 wrap round
+    doc = np.repeat(np.arange(t.n), np.diff(np.searchsorted(starts, t.offs)))
+    padded, length = np.append(t.buf, np.zeros(2, np.uint8)), ends - starts
+    piece = padded[starts].astype(np.int64) << 16
+    piece |= (padded[starts + 1] * (length > 1)).astype(np.int64) << 8
+    piece |= padded[starts + 2] * (length > 2)
+    piece |= (length > 3).astype(np.int64) << 24
+    return flat.hash_spans(t.buf, starts, ends) if hashed else None, piece, doc
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -118,10 +123,10 @@ class Model:
         near[self.ahead] = none
         return {"q": q, "k": k, "v": v, "pair": pair, "near": near, "adds": v @ p["o"], "deep": deep}
 
-    def forward(self, ids: np.ndarray) -> dict[str, np.ndarray]:
+    def forward(self, ids: np.ndarray, tables: dict[str, np.ndarray] | None = None) -> dict[str, np.ndarray]:
         """ids: [window, 2 * BLOCK] inputs; what the last BLOCK attend to, before it is divided by its
-        sum ``whole``, what that gives them, and the hidden layer after them."""
-        p, t = self.p, self.tables()
+        sum ``whole``, what that gives them, and the hidden layer after them. ``tables``: those of the present weights."""
+        p, t = self.p, tables or self.tables()
         ids = ids.astype(np.intp)
         n, now = len(ids), ids[:, BLOCK:]
         at = np.add((now * (PAD + 1))[:, :, None], ids[:, None, :], out=self._held("at", n, BLOCK, 2 * BLOCK, kind=np.intp))
@@ -161,9 +166,9 @@ class Model:
 
     def log_prob(self, ids: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probabilities of the targets, which follow the last BLOCK inputs."""
-        out, bias = np.empty(target.size, self.p["w2"].dtype), self._bias()
+        out, bias, tables = np.empty(target.size, self.p["w2"].dtype), self._bias(), self.tables()
         for i in range(0, len(ids), BATCH):
-            z, first = self.forward(ids[i : i + BATCH])["z"], i * BLOCK
+            z, first = self.forward(ids[i : i + BATCH], tables)["z"], i * BLOCK
             for j in range(0, len(z), ROWS):
                 y, factor = self._scores(z[j : j + ROWS], bias)
                 part = slice(first + j, first + j + len(y))
@@ -201,9 +206,7 @@ class Model:
         own = _by_id(f["ids"][:, BLOCK:], dh)
         dh /= f["whole"]
         dx = np.matmul(f["a"].transpose(0, 2, 1), dh, out=self._held("dx", *f["x"].shape))
-        across = self._held("across", len(dh), WIDTH, 2 * BLOCK)
-        across[:] = f["x"].transpose(0, 2, 1)
-        ds = np.matmul(dh, across, out=self._held("ds", *f["a"].shape))
+        ds = np.matmul(dh, f["x"].transpose(0, 2, 1), out=self._held("ds", *f["a"].shape))
         ds -= np.einsum("nid,nid->ni", dh, f["mixed"])[:, :, None]
         ds *= f["a"]
         g["near"] = np.bincount(self.back.ravel(), np.where(self.ahead, 0, ds.sum(0)).ravel(), 2 * BLOCK)
@@ -255,9 +258,9 @@ def _by_id(ids: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.bincount(at.ravel(), x.ravel(), _CELLS.size).reshape(_CELLS.shape).astype(x.dtype)
 
 
-def blocks(t: flat.Texts, pieces: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
+def blocks(t: flat.Texts, pieces: np.ndarray, ids: np.ndarray, hashed: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
     """Windows [prev, now] and targets per block, the text of each, and (hash, id, text) of the words."""
-    h, piece, doc = words_of(t)
+    h, piece, doc = words_of(t, hashed)
     at = np.minimum(np.searchsorted(pieces, piece), max(len(pieces) - 1, 0))
     word_id = np.where(pieces[at] == piece, ids[at], OTHER) if len(pieces) else np.full(len(piece), OTHER)
     n = np.bincount(doc, minlength=t.n) + 1
@@ -279,7 +282,7 @@ def training_rows(texts: DataFrame, pieces: np.ndarray, ids: np.ndarray) -> Data
     """key, at, n, windows: [prev, now, target] of every block of the texts, at most SPAN blocks in a row."""
 
     def run(own: list[pa.Array], t: flat.Texts) -> dict:
-        window, target, doc, _ = blocks(t, pieces, ids)
+        window, target, doc, _ = blocks(t, pieces, ids, hashed=False)
         rows = np.concatenate([window, target], axis=1).astype(np.uint8)
         first = np.searchsorted(doc, np.arange(t.n + 1))
         cut = [(i, k, a, min(a + SPAN, first[i + 1])) for i in range(t.n) for k, a in enumerate(range(first[i], first[i + 1], SPAN))]
@@ -306,7 +309,13 @@ def chunked(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def _average(rows: DataFrame, slots: int, passes: int, model: Model, turn: int) -> Model:
+def dealt(rows: DataFrame, slots: int) -> DataFrame:
+    """The rows' windows in a partition for each slot, ordered there; a function of the rows alone."""
+    slot = F.pmod(F.xxhash64("key", "at"), F.lit(slots)).cast("int")
+    return rows.repartitionById(slots, slot).sortWithinPartitions(F.xxhash64("at", "key"), "key", "at").select("windows")
+
+
+def _average(slots_rows: DataFrame, slots: int, passes: int, model: Model, turn: int) -> Model:
     """One round: each slot trains on all its windows from the common weights; their weighted mean."""
     names, shapes = list(model.p), [x.shape for x in model.p.values()]
     start = np.concatenate([x.ravel() for x in model.p.values()])
@@ -331,9 +340,7 @@ def _average(rows: DataFrame, slots: int, passes: int, model: Model, turn: int)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([rows])], ["w", "n"])
 
-    slot = F.pmod(F.xxhash64("key", "at"), F.lit(slots)).cast("int")
-    dealt = rows.repartitionById(slots, slot).sortWithinPartitions(F.xxhash64("at", "key"), "key", "at").select("windows")
-    parts = dealt.mapInArrow(run, "w binary, n long")
+    parts = slots_rows.mapInArrow(run, "w binary, n long")
     if slots > PARTS:
         parts = parts.repartition(PARTS).mapInArrow(add, "w binary, n long")
     parts = parts.collect()
@@ -371,8 +378,10 @@ def score(docs: DataFrame) -> DataFrame:
     windows = saved(training_rows(training.select("key", "text"), pieces, ids), "lm_windows")
     n_windows = windows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     slots, passes = max(1, -(-n_windows // SLOT_WINDOWS)), max(1, -(-STEPS * BATCH // max(n_windows, 1)))
+    windows = dealt(windows, slots).persist(StorageLevel.DISK_ONLY)  # shuffled and ordered once for all rounds
     for turn in range(ROUNDS):
         model = _average(windows, slots, passes, model, turn)
+    windows.unpersist()
 
     often = counts.where(F.col("c") * FREQUENT >= n_all).select("h", "c").toPandas()  # FREQUENT rows at most
     often = often.sort_values("h", kind="stable")
@@ -397,19 +406,13 @@ def score(docs: DataFrame) -> DataFrame:
         return {
             "doc_id": own[0], "held_out": own[1], "key": own[2], "n_tokens": np.bincount(word_doc, minlength=t.n) + 1,
             "seen": np.bincount(word_doc[hit], minlength=t.n) + int(ends > 0), "logs": np.bincount(word_doc, logs, t.n) + np.log10(ends + 1.0), "total": total,
+            "rare": pa.ListArray.from_arrays(np.searchsorted(word_doc[~hit], np.arange(t.n + 1)).astype(np.int32), pa.array(h[~hit].view(np.int64))),
         }
 
-    def rare(own: list[pa.Array], t: flat.Texts) -> dict:
-        h, _, doc = words_of(t)
-        hit, _ = known(h)
-        h, doc = h[~hit], doc[~hit]
-        keys = own[0].to_numpy(zero_copy_only=False)
-        return {"key": keys[doc], "h": h.view(np.int64)}
-
     kind = id_type(docs)
-    main = flat.map_texts(rows, run, f"doc_id {kind}, held_out boolean, key long, n_tokens long, seen long, logs double, total double", carry=("doc_id", "held_out", "key"))
+    main = flat.map_texts(rows, run, f"doc_id {kind}, held_out boolean, key long, n_tokens long, seen long, logs double, total double, rare array<long>", carry=("doc_id", "held_out", "key"))
     main = saved(main, "lm_rows")
-    pairs = flat.map_texts(rows, rare, "key long, h long", carry=("key",))
+    pairs = main.select("key", F.explode("rare").alias("h"))
     few = counts.where(F.col("c") * FREQUENT < n_all).select("h", "c")
     more = pairs.join(few, "h").groupBy("key").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("l"), F.count("*").alias("k"))
     more = more.join(main.groupBy("key").agg(F.count("*").alias("r")), "key")  # equal rows share a key
