@@ -179,14 +179,14 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     hot = saved(rows.where(F.col("n") > REGION_ROWS).select("rep", "t", "sig", "region", "first"), "crowded")
     while hot.head(1):
         depth = min(2 * depth, HASHES)
-        firsts = hot.groupBy("region").agg(F.min("first").alias("root")).withColumnRenamed("region", "parent")
+        firsts = saved(hot.groupBy("region").agg(F.min("first").alias("root")).withColumnRenamed("region", "parent"), "firsts")
         cut = saved(_deeper(hot, depth, kind), "deeper")
         if depth == HASHES:  # equal signatures: parts of any make, tied by their first classes
             cut = cut.withColumn("region", F.xxhash64("region", F.pmod(F.xxhash64("rep"), F.lit(1024))))
         sizes = cut.groupBy("region").agg(F.count("*").alias("n"), F.min("rep").alias("first"), F.first("parent").alias("parent"))
         sizes = saved(sizes, "parts")
-        pairs.append(lookup_join(sizes, firsts, "parent", "inner", rows=None).where("first <> root").select(F.least("first", "root").alias("a"), F.greatest("first", "root").alias("b")))
-        sized = lookup_join(cut.drop("parent"), sizes.drop("parent"), "region", "inner", rows=None)
+        pairs.append(lookup_join(sizes, firsts, "parent", "inner", rows=firsts.count()).where("first <> root").select(F.least("first", "root").alias("a"), F.greatest("first", "root").alias("b")))
+        sized = lookup_join(cut.drop("parent"), sizes.drop("parent"), "region", "inner", rows=sizes.count())
         more = (F.col("n") > REGION_ROWS) & F.lit(depth < HASHES)
         done.append(sized.where((F.col("n") > 1) & ~more).select("rep", "t", _low(), "region"))
         hot = saved(sized.where(more).select("rep", "t", "sig", "region", "first"), "crowded")
@@ -361,15 +361,16 @@ def _complete(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> Dat
     checked, every = None, False
     while True:
         mixed = rows.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("h")
-        rows = saved(lookup_join(rows, mixed, "h", "inner"), "mixed")
+        mixed = saved(mixed, "mixed_shingles")
+        rows = saved(lookup_join(rows, mixed, "h", "inner", rows=mixed.count()), "mixed")
         first = F.struct("pos", "rep", "n")  # the place that leaves most in common
         sides = rows if every else rows.groupBy("h", "label").agg(F.min(first).alias("m")).select("h", "label", "m.*")
         one = sides.select("h", F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"))
         two = sides
         if not every:
-            two = sides.groupBy("h").agg(F.min(F.struct("label", "rep", "n", "pos")).alias("m")).select("h", "m.*")
+            two = saved(sides.groupBy("h").agg(F.min(F.struct("label", "rep", "n", "pos")).alias("m")).select("h", "m.*"), "least_members")
         two = two.select("h", F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"))
-        tried = lookup_join(one, two, "h", "inner").where(F.col("la") > F.col("lb")).where(fits).select(*pair).distinct()
+        tried = lookup_join(one, two, "h", "inner", rows=two.count()).where(F.col("la") > F.col("lb")).where(fits).select(*pair).distinct()
         if checked is not None:
             tried = tried.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         now = saved(_confirm(saved(tried, "crowded_pairs"), sets, share), "crowded_checked")
@@ -426,9 +427,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: tuple[int, int] = (80, 1
     labels = _labels(docs, classes, k, share)
     comp = F.coalesce("label", "rep")
     named = classes.join(labels, "rep", "left").where((F.col("n") > 1) | F.col("label").isNotNull())
-    named = named.select(F.struct("fp1", "fp2").alias("fp"), comp.alias("component_id"))
+    named = saved(named.select(F.struct("fp1", "fp2").alias("fp"), comp.alias("component_id")), "named_classes")
     rows = rows.withColumn("fp", F.when(F.col("n_shingles") > 0, F.struct("fp1", "fp2"))).select("doc_id", "n_shingles", "fp")
-    out = lookup_join(rows, named, "fp").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    out = lookup_join(rows, named, "fp", rows=named.count()).withColumn("component_id", F.coalesce("component_id", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 

@@ -21,16 +21,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", *, rows: int | None = None) -> DataFrame:
     """Join a lookup table with one row per key, whatever share of ``left`` one key holds.
 
-    ``rows``: the counted rows of ``right``. Up to BROADCAST_ROWS it is broadcast. Beyond, the
-    rows of each key are dealt over SALTS parts, by a hash of the whole row, so that a repeated task
-    deals them alike, and the lookup rows are copied to each part.
+    ``rows``: the counted rows of ``right``. Up to BROADCAST_ROWS it is broadcast. Beyond, or if they
+    weren't counted, the rows of each key are dealt over SALTS parts, by a hash of the whole row, so that
+    a repeated task deals them alike, and the lookup rows are copied to each part. Those copies are always
+    shuffled: Spark would size them by the written file, which may be small for what it holds.
     """
     if rows is not None and rows <= BROADCAST_ROWS:
         return left.join(F.broadcast(right), key, how)
     hashed = [c for c in left.columns if "map<" not in left.schema[c].dataType.simpleString()]
     salted = left.withColumn("__salt", F.pmod(F.xxhash64(F.lit(7), *hashed), F.lit(SALTS)).cast("int"))
     copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "__salt"], how).drop("__salt")
+    return salted.join(copies.hint("merge"), [key, "__salt"], how).drop("__salt")
 
 
 def packed(docs: DataFrame, *names: str) -> DataFrame:
